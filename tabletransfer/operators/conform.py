@@ -53,8 +53,6 @@ def _convert(col: Column, source: T.DataType, target: ExternalType) -> Column:
             fits = fits & (F.length(bits) <= target.size)
         return F.when(fits, bits)
     if target.kind is None:
-        if source == target.spark_type:
-            return col
         if isinstance(source, T.StringType) and isinstance(target.spark_type, T.BinaryType):
             return F.try_to_binary(col, F.lit("base64"))
         return col.try_cast(target.spark_type)
@@ -71,7 +69,11 @@ def _convert(col: Column, source: T.DataType, target: ExternalType) -> Column:
 
 
 def _pairs(df: DataFrame, target) -> list[tuple[str, str | None, Column]]:
-    """(target column, source column, converted value) for each target field."""
+    """(target column, source column, converted value) for each target field.
+
+    There is no source column where nothing can be lost: the column is new, or its type
+    is the target's already.
+    """
     types = {f.name.lower(): f for f in df.schema}
     fields = _fields(target)
     extra = set(types) - {n.lower() for n, _ in fields}
@@ -82,6 +84,8 @@ def _pairs(df: DataFrame, target) -> list[tuple[str, str | None, Column]]:
         field = types.get(name.lower())
         if field is None:
             result.append((name, None, F.lit(None).cast(ext.spark_type)))
+        elif ext.kind is None and ext.spark_type == field.dataType:
+            result.append((name, None, F.col(quote(field.name))))
         else:
             result.append((name, field.name, _convert(F.col(quote(field.name)), field.dataType, ext)))
     return result

@@ -203,17 +203,22 @@ def filter_literals(spark, folder):
     return read_table(spark, "events", columns=["event_id", "user_id"], filters=keep)
 
 
-@query("SELECT doc_id, source FROM documents WHERE contains(text, '_') OR contains(text, '50%') OR contains(text, '''s')")
+@query("""
+SELECT doc_id AS id, source AS place FROM documents WHERE contains(text, '%') OR ends_with(text, '_')
+UNION ALL SELECT page_id, url FROM pages WHERE contains(url, '_') OR contains(html, '%') OR starts_with(url, '%h')
+""")
 def filter_wildcards(spark, folder):
-    views(spark, folder, "documents")
-    keep = contains("text", "_") | contains("text", "50%") | contains("text", "'s")
-    return read_table(spark, "documents", columns=["doc_id", "source"], filters=keep)
+    views(spark, folder, "documents", "pages")
+    documents = read_table(spark, "documents", filters=contains("text", "%") | ends_with("text", "_"))
+    pages = read_table(spark, "pages", filters=contains("url", "_") | contains("html", "%") | starts_with("url", "%h"))
+    return (documents.select(F.col("doc_id").alias("id"), F.col("source").alias("place"))
+            .union(pages.select("page_id", "url")))
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 1000 AND o_orderkey % 3 = 1")
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 1000 AND length(o_orderpriority) > 5")
 def filter_residual(spark, folder):
     views(spark, folder, "orders")
-    keep = [gt("o_totalprice", 1000), F.col("o_orderkey") % 3 == 1]
+    keep = [gt("o_totalprice", 1000), F.length("o_orderpriority") > 5]
     return read_transfer(
         spark, "INSERT INTO <ext_table> SELECT o_orderkey, o_totalprice FROM orders WHERE <pushed_filters>",
         filters=keep)
@@ -494,12 +499,12 @@ def text_bits(spark, folder):
 
 @query("""
 SELECT conv_id, turn, lower(role) IN ('true', 't', '1', 'y', 'yes') AS by_role,
-       lower(substr(text, 1, 1)) IN ('t', '1', 'y') AS by_text FROM conversations
+       lower(CAST(turn AS VARCHAR)) IN ('true', 't', '1', 'y', 'yes') AS by_turn FROM conversations
 """)
 def text_bool(spark, folder):
     (conversations,) = views(spark, folder, "conversations")
     return conversations.select("conv_id", "turn", bool_from_text(F.col("role")).alias("by_role"),
-                                bool_from_text(F.substring("text", 1, 1)).alias("by_text"))
+                                bool_from_text(F.col("turn").cast("string")).alias("by_turn"))
 
 
 @query("SELECT o_orderkey, true AS made, false AS status FROM orders")
@@ -641,6 +646,10 @@ def uuid_table(spark, folder):
 # -- streams -----------------------------------------------------------------------
 
 
+def scratch_of(spark, db) -> str:
+    return spark.catalog.getDatabase(db).locationUri
+
+
 def _newest(spark, folder) -> int:
     return spark.read.parquet(f"{folder}/events.parquet").agg(F.max("event_id")).head()[0]
 
@@ -653,12 +662,8 @@ def _run_to(spark, folder, db, ending, **source):
     running.awaitTermination()
 
 
-def scratch_of(spark, db) -> str:
-    return spark.catalog.getDatabase(db).locationUri
-
-
 _THREE_ENDS = """
-SELECT CASE WHEN event_id <= (SELECT max(event_id) * 4 // 10 FROM events) THEN 0
+SELECT CASE WHEN event_id <= (SELECT max(event_id) * 4 // 10 FROM events) THEN 0::BIGINT
             WHEN event_id <= (SELECT max(event_id) * 7 // 10 FROM events) THEN 1 ELSE 2 END AS batch_id,
        event_id, user_id FROM events
 """
@@ -716,6 +721,7 @@ def stream_script_sink(spark, folder):
 
 def _sql_offset_run(spark, db, tenths, starting="earliest"):
     """One run of a stream whose position is a SQL query over the events view."""
+    position = f"max(event_id) * {tenths} DIV 10" if tenths else "min(event_id) - 1"
     running = stream_transfer(
         spark,
         """INSERT INTO <ext_table> SELECT event_id, user_id FROM events
@@ -723,7 +729,7 @@ def _sql_offset_run(spark, db, tenths, starting="earliest"):
              AND event_id <= CAST(get_json_object('<end_offset_json>', '$.k') AS BIGINT)""",
         table_sink(f"{db}.target"),
         f"{scratch_of(spark, db)}/checkpoint",
-        offset_select=f"SELECT to_json(named_struct('k', max(event_id) * {tenths} DIV 10)) FROM events",
+        offset_select=f"SELECT to_json(named_struct('k', {position})) FROM events",
         offset_update=f"INSERT INTO {db}.positions VALUES (?)",
         starting=starting,
         available_now=True,
@@ -756,14 +762,15 @@ def stream_offset_update(spark, folder):
 
 
 @query("""
-SELECT CASE WHEN event_id <= (SELECT max(event_id) * 7 // 10 FROM events) THEN 0 ELSE 1 END AS batch_id,
-       event_id, user_id FROM events WHERE event_id > (SELECT max(event_id) * 4 // 10 FROM events)
+SELECT CASE WHEN event_id <= (SELECT max(event_id) * 7 // 10 FROM events) THEN 0::BIGINT ELSE 1 END AS batch_id,
+       event_id, user_id FROM events
 """)
 def stream_from_latest(spark, folder):
     views(spark, folder, "events")
     db = scratch_database(spark)
     spark.sql(f"CREATE TABLE {db}.positions (doc STRING) USING parquet")
-    for tenths in (4, 7, 10):
+    # The first run only notes the position then, before the first event; rows come after it.
+    for tenths in (0, 7, 10):
         _sql_offset_run(spark, db, tenths, starting="latest")
     return read_table(spark, f"{db}.target").select("batch_id", "event_id", "user_id")
 

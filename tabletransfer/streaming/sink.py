@@ -32,20 +32,26 @@ def _create_epoch_table(df: DataFrame, target: Target) -> None:
         f"TBLPROPERTIES ('{OWNED}' = 'true')")
 
 
-def write_epoch(df: DataFrame, name: str, epoch: int, schemas=None) -> None:
+def epoch_table(df: DataFrame, name: str, schemas=None) -> tuple[Target, T.StructType]:
+    """The table for micro-batches like ``df`` and its columns; created if it is missing."""
+    spark = df.sparkSession
+    target = resolve(spark, name, schemas)
+    if not table_exists(spark, target):
+        _create_epoch_table(df, target)
+    stored = spark.table(target.sql_name).schema
+    if EPOCH_COLUMN not in stored.names:
+        raise ValueError(f"{target.sql_name} has no column {EPOCH_COLUMN}, so batches could not be replayed")
+    return target, T.StructType([f for f in stored if f.name != EPOCH_COLUMN])
+
+
+def write_epoch(df: DataFrame, target: Target, columns: T.StructType, epoch: int) -> None:
     """Store one micro-batch in partition ``batch_id = epoch``, replacing what is there.
 
     A replayed batch overwrites its own partition only, so rows are never doubled.
     """
     spark = df.sparkSession
-    target = resolve(spark, name, schemas)
-    if EPOCH_COLUMN in df.columns:
-        df = df.drop(EPOCH_COLUMN)
-    if not table_exists(spark, target):
-        _create_epoch_table(df, target)
-    stored = T.StructType([f for f in spark.table(target.sql_name).schema if f.name != EPOCH_COLUMN])
     view = unique_name("epoch")
-    conform(df, stored).createOrReplaceTempView(view)
+    conform(df, columns).createOrReplaceTempView(view)
     try:
         spark.sql(f"INSERT OVERWRITE {target.sql_name} PARTITION ({EPOCH_COLUMN} = {int(epoch)}) "
                   f"SELECT * FROM {view}")
@@ -59,12 +65,18 @@ def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None)
     if mode == "update":
         raise ValueError("update mode needs a script that says how to merge; a table takes append or complete")
 
+    found: list[tuple[Target, T.StructType]] = []
+
     def store(df: DataFrame, epoch: int) -> None:
         if mode == "complete":
             write_table(df, name, OVERWRITE, schemas=schemas, undo=undo)
             return
         try:
-            write_epoch(df, name, epoch, schemas)
+            if EPOCH_COLUMN in df.columns:
+                df = df.drop(EPOCH_COLUMN)
+            if not found:
+                found.append(epoch_table(df, name, schemas))
+            write_epoch(df, *found[0], epoch)
         except Exception:
             run_undo(df.sparkSession, undo)
             raise
