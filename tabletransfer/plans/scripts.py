@@ -180,18 +180,24 @@ def write_transfer(
                 stream_mode=stream_mode,
             )
         )
-    except Exception:
-        run_undo(spark, undo)
+    except Exception as error:
+        run_undo(spark, undo, error)
         raise
     finally:
         spark.catalog.dropTempView(view)
 
 
-def run_undo(spark: SparkSession, undo) -> None:
-    """Best effort to undo side effects: SQL text or a callable without arguments."""
+def run_undo(spark: SparkSession, undo, error: Exception) -> None:
+    """Best effort to undo side effects: SQL text or a callable without arguments.
+
+    A failure here is added to ``error``, which the caller raises.
+    """
     if undo is None:
         return
-    if callable(undo):
-        undo()
-    else:
-        spark.sql(undo)
+    try:
+        if callable(undo):
+            undo()
+        else:
+            spark.sql(undo)
+    except Exception as failure:
+        error.add_note(f"undo failed as well: {failure}")

@@ -134,8 +134,8 @@ def write_table(
                 raise
             files, size = path_usage(spark, path)
         spark.catalog.refreshTable(target.sql_name)
-    except Exception:
-        run_undo(spark, undo)
+    except Exception as error:
+        run_undo(spark, undo, error)
         raise
     ms = int((time.monotonic() - started) * 1000)
     return WriteReport(target.sql_name, action, seen.get["rows"], files, size, ms)

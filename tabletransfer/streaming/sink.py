@@ -77,8 +77,8 @@ def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None)
             if not found:
                 found.append(epoch_table(df, name, schemas))
             write_epoch(df, *found[0], epoch)
-        except Exception:
-            run_undo(df.sparkSession, undo)
+        except Exception as error:
+            run_undo(df.sparkSession, undo, error)
             raise
 
     return store

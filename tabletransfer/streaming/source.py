@@ -84,7 +84,9 @@ class OffsetStreamReader(DataSourceStreamReader):
             if stats is not None and stats.has_min_max:
                 groups.append(RowGroup(i, _plain(stats.min), _plain(stats.max), group.total_byte_size))
             elif group.num_rows and not (stats is not None and stats.null_count == group.num_rows):
-                raise ValueError(f"{path} has no statistics for {self.column}")
+                raise ValueError(
+                    f"{path} has no statistics for {self.column}, so its newest offset is unknown; timestamps "
+                    "have them when written with spark.sql.parquet.outputTimestampType=TIMESTAMP_MICROS")
         return groups
 
     def _refresh(self) -> dict[str, list[RowGroup]]:
