@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+from tabletransfer.sources.targets import quote
 
 REPLICATED, RANDOMLY, BY_KEY = "replicated", "randomly", "by_key"
 
@@ -14,6 +16,9 @@ _KEYS = re.compile(r"\s*(?:distributed\s+by\s*\((?P<inner>[^)]+)\)|(?P<plain>[^(
 _COLUMN = re.compile(r'\s*(?:(?P<word>\w+)|"(?P<dq>[^"]+)"|`(?P<bq>[^`]+)`)(?:\s[^,]*)?')
 
 
+_SALT, _SALTS = "_transfer_salt", 32
+
+
 @dataclass(frozen=True)
 class Distribution:
     kind: str
@@ -47,7 +52,13 @@ def spread(df: DataFrame, columns: tuple[str, ...] | list[str] = (), parts: int
 
     This is Spark's REBALANCE: rows with equal keys go together, but at run time a hot
     key is split over several tasks and small partitions are merged, so one key with a
-    third of all rows does not end up in one task.
+    third of all rows does not end up in one task. Without adaptive execution, which does
+    the splitting, every key is salted with the number of the task its row comes from.
     """
-    args = ([parts] if parts else []) + list(columns)
+    conf = df.sparkSession.conf
+    if columns and conf.get("spark.sql.adaptive.enabled") == "false":
+        parts = parts or int(conf.get("spark.sql.shuffle.partitions"))
+        salted = df.withColumn(_SALT, F.spark_partition_id() % _SALTS)
+        return salted.repartition(parts, *[F.col(quote(c)) for c in columns], _SALT).drop(_SALT)
+    args = ([parts] if parts else []) + [F.col(quote(c)) for c in columns]
     return df.hint("rebalance", *args)

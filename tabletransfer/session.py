@@ -54,13 +54,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def path_usage(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(visible data files, bytes) below ``path``; names with ``_`` or ``.`` are skipped."""
+    """(data files, bytes) below ``path``, in one call whatever the number of files."""
     fs, p = hadoop_path(spark, path)
-    files, size = 0, 0
-    listing = fs.listFiles(p, True)
-    while listing.hasNext():
-        status = listing.next()
-        if not status.getPath().getName().startswith(("_", ".")):
-            files += 1
-            size += status.getLen()
-    return files, size
+    summary = fs.getContentSummary(p)
+    marker = int(path_exists(spark, f"{path}/_SUCCESS"))
+    return summary.getFileCount() - marker, summary.getLength()

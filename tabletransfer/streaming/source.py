@@ -2,7 +2,8 @@
 
 Each micro-batch holds the rows with ``start < offset <= end``. The newest position
 comes from parquet footers, and footers are read once per file, so a poll costs one
-listing plus the footers of new files. Row groups outside the range are never read.
+listing plus the footers of new files. The footers of a large folder are read by a
+Spark job when the stream is set up. Row groups outside the range are never read.
 """
 
 from __future__ import annotations
@@ -12,19 +13,26 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from tabletransfer.session import scratch_path
+
 SOURCE_NAME = "transfer_offsets"
 
 LATEST, EARLIEST = "latest", "earliest"
 
 _READ_THREADS = 16
 _BATCH_ROWS = 65_536
+# From this many files on, footers are read by a Spark job before the stream starts.
+_FOOTER_JOB_FILES = 256
+
+_OFFSET_TYPES = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _plain(value):
-    """An offset value as JSON can hold it; times become microseconds."""
+def _plain(value) -> int:
+    """An offset as a whole number: days of a date, microseconds of a time."""
     if isinstance(value, dt.datetime):
         epoch = dt.datetime(1970, 1, 1, tzinfo=value.tzinfo and dt.timezone.utc)
         return (value - epoch) // dt.timedelta(microseconds=1)
@@ -33,11 +41,11 @@ def _plain(value):
     return value
 
 
-@dataclass(frozen=True)
+@dataclass(slots=True)
 class RowGroup:
     index: int
-    low: object
-    high: object
+    low: int
+    high: int
     size: int
 
 
@@ -51,6 +59,66 @@ class OffsetSlice(InputPartition):
     end: object
 
 
+def open_filesystem(path: str):
+    """(file system, path inside it); both ends of a path in the cluster's shared storage."""
+    from pyarrow import fs
+
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return fs.LocalFileSystem(), path
+
+
+def list_files(path: str) -> list[str]:
+    """Data files below ``path``; names that start with ``_`` or ``.`` are not data."""
+    from pyarrow import fs
+
+    filesystem, root = open_filesystem(path)
+    if filesystem.get_file_info(root).type == fs.FileType.File:
+        return [root]
+    found = filesystem.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+    inside = lambda p: p[len(root):].strip("/").split("/")
+    return [f.path for f in found
+            if f.type == fs.FileType.File and not any(s.startswith(("_", ".")) for s in inside(f.path))]
+
+
+def footer_groups(filesystem, path: str, column: str) -> list[RowGroup]:
+    """Offset range and size of each row group of a file, from its footer."""
+    import pyarrow.parquet as pq
+
+    meta = pq.read_metadata(path, filesystem=filesystem)
+    names = [meta.schema.column(i).path for i in range(meta.num_columns)]
+    position = names.index(column)
+    groups = []
+    for i in range(meta.num_row_groups):
+        group = meta.row_group(i)
+        stats = group.column(position).statistics
+        if stats is not None and stats.has_min_max:
+            groups.append(RowGroup(i, _plain(stats.min), _plain(stats.max), group.total_byte_size))
+        elif group.num_rows and not (stats is not None and stats.null_count == group.num_rows):
+            raise ValueError(
+                f"{path} has no statistics for {column}, so its newest offset is unknown; timestamps "
+                "have them when written with spark.sql.parquet.outputTimestampType=TIMESTAMP_MICROS")
+    return groups
+
+
+def write_footers(spark: SparkSession, path: str, column: str, files: list[str]) -> str:
+    """Read many footers in parallel on the executors; returns the folder that lists them."""
+
+    def ranges(batches):
+        filesystem, _ = open_filesystem(path)
+        for batch in batches:
+            rows = [(f, g.index, g.low, g.high, g.size)
+                    for f in batch["path"] for g in footer_groups(filesystem, f, column)]
+            yield pd.DataFrame(rows, columns=["path", "index", "low", "high", "size"])
+
+    out = scratch_path(spark, "footers")
+    names = spark.createDataFrame(pd.DataFrame({"path": files}))
+    parts = -(-len(files) // _FOOTER_JOB_FILES)
+    (names.repartition(parts, "path")
+     .mapInPandas(ranges, "path string, index int, low long, high long, size long").write.parquet(out))
+    return out
+
+
 class OffsetStreamReader(DataSourceStreamReader):
     def __init__(self, schema: T.StructType, options: dict[str, str]):
         self.path = options["path"]
@@ -60,59 +128,43 @@ class OffsetStreamReader(DataSourceStreamReader):
         self.ending = None if ending is None else json.loads(ending)
         self.split_bytes = int(options.get("split_bytes", 128 << 20))
         self.schema = schema
-        self._footers: dict[str, list[RowGroup]] = {}
+        self.newest: int | None = None
+        self.seen: set[str] = set()
+        self.open: dict[str, list[RowGroup]] = {}
+        if options.get("footers"):
+            self._load_footers(options["footers"])
 
     # -- driver side -------------------------------------------------------------
 
-    def _filesystem(self):
-        from pyarrow import fs
-
-        if "://" in self.path or self.path.startswith("file:"):
-            return fs.FileSystem.from_uri(self.path)
-        return fs.LocalFileSystem(), self.path
-
-    def _read_footer(self, filesystem, path: str) -> list[RowGroup]:
+    def _load_footers(self, folder: str) -> None:
+        """Take over what the footer job found."""
         import pyarrow.parquet as pq
 
-        meta = pq.read_metadata(path, filesystem=filesystem)
-        names = [meta.schema.column(i).path for i in range(meta.num_columns)]
-        index = names.index(self.column)
-        groups = []
-        for i in range(meta.num_row_groups):
-            group = meta.row_group(i)
-            stats = group.column(index).statistics
-            if stats is not None and stats.has_min_max:
-                groups.append(RowGroup(i, _plain(stats.min), _plain(stats.max), group.total_byte_size))
-            elif group.num_rows and not (stats is not None and stats.null_count == group.num_rows):
-                raise ValueError(
-                    f"{path} has no statistics for {self.column}, so its newest offset is unknown; timestamps "
-                    "have them when written with spark.sql.parquet.outputTimestampType=TIMESTAMP_MICROS")
-        return groups
-
-    def _refresh(self) -> dict[str, list[RowGroup]]:
-        """Footers of all files that are there now; files are taken to be immutable."""
-        from pyarrow import fs
-
-        filesystem, root = self._filesystem()
-        info = filesystem.get_file_info(root)
-        if info.type == fs.FileType.File:
-            files = [info.path]
-        else:
-            selector = fs.FileSelector(root, recursive=True, allow_not_found=True)
-            inside = lambda p: p[len(root):].strip("/").split("/")
-            files = [
-                f.path for f in filesystem.get_file_info(selector)
-                if f.type == fs.FileType.File and not any(s.startswith(("_", ".")) for s in inside(f.path))
-            ]
-        new = [f for f in files if f not in self._footers]
+        filesystem, _ = open_filesystem(folder)
+        for part in list_files(folder):
+            for row in pq.read_table(part, filesystem=filesystem, partitioning=None).to_pylist():
+                group = RowGroup(row["index"], row["low"], row["high"], row["size"])
+                self._add(row["path"], [group])
+
+    def _add(self, path: str, groups: list[RowGroup]) -> None:
+        self.seen.add(path)
+        if groups:
+            self.open.setdefault(path, []).extend(groups)
+            high = max(g.high for g in groups)
+            self.newest = high if self.newest is None else max(self.newest, high)
+
+    def _refresh(self) -> None:
+        """Read the footers of files that are new; files are taken to be immutable."""
+        new = [f for f in list_files(self.path) if f not in self.seen]
+        filesystem, _ = open_filesystem(self.path)
         with ThreadPoolExecutor(_READ_THREADS) as pool:
-            for path, groups in zip(new, pool.map(lambda p: self._read_footer(filesystem, p), new)):
-                self._footers[path] = groups
-        return {f: self._footers[f] for f in files}
+            read = lambda f: footer_groups(filesystem, f, self.column)
+            for path, groups in zip(new, pool.map(read, new)):
+                self._add(path, groups)
 
-    def _newest(self):
-        highs = [g.high for groups in self._refresh().values() for g in groups]
-        return max(highs, default=None)
+    def _newest(self) -> int | None:
+        self._refresh()
+        return self.newest
 
     def initialOffset(self) -> dict:
         if self.starting == EARLIEST:
@@ -135,7 +187,11 @@ class OffsetStreamReader(DataSourceStreamReader):
             return slices
         if low is not None and high < low:
             raise ValueError(f"the newest offset went back from {low} to {high}")
-        for path, groups in self._refresh().items():
+        self._refresh()
+        if low is not None:
+            # Offsets only go forward, so files that end before the range are done with.
+            self.open = {f: gs for f, gs in self.open.items() if any(g.high > low for g in gs)}
+        for path, groups in self.open.items():
             wanted: list[int] = []
             size = 0
             for group in groups:
@@ -161,7 +217,7 @@ class OffsetStreamReader(DataSourceStreamReader):
         import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        filesystem, _ = self._filesystem()
+        filesystem, _ = open_filesystem(self.path)
         wanted = to_arrow_schema(self.schema)
         columns = list(dict.fromkeys([*wanted.names, self.column]))
         with filesystem.open_input_file(partition.path) as handle:
@@ -207,11 +263,14 @@ def read_stream_offsets(
 
     ``starting``: ``latest`` (only rows that arrive later), ``earliest``, or a JSON
     document ``{"offset": value}``. ``ending`` is the last offset to read in this run.
-    Rows whose offset is null belong to no range and are never read. Only ``columns``
-    are read from the files.
+    The offset is a whole number, a date (days) or a timestamp (microseconds). Rows
+    whose offset is null belong to no range and are never read. Only ``columns`` are
+    read from the files.
     """
     if schema is None:
         schema = spark.read.parquet(path).schema
+    if offset_col in schema.names and not isinstance(schema[offset_col].dataType, _OFFSET_TYPES):
+        raise ValueError(f"{offset_col} is no whole number, date or timestamp")
     if columns:
         schema = T.StructType([schema[c] for c in columns])
     spark.dataSource.register(OffsetDataSource)
@@ -220,6 +279,9 @@ def read_stream_offsets(
         .option("path", path).option("offset_col", offset_col)
         .option("starting", starting).option("split_bytes", str(split_bytes))
     )
+    files = list_files(path)
+    if len(files) >= _FOOTER_JOB_FILES:
+        reader = reader.option("footers", write_footers(spark, path, offset_col, files))
     if ending is not None:
         reader = reader.option("ending", json.dumps(_plain(ending)))
     return reader.load()

@@ -164,6 +164,18 @@ def test_hot_key_is_split_over_tasks(spark, db):
     assert spark.table(f"{db}.hot").groupBy("k").count().where("k = -7").head()["count"] == 100_000
 
 
+def test_hot_key_is_salted_without_adaptive_execution(spark, db):
+    rows = spark.range(0, 30_000, 1, 8).select(F.when(F.col("id") % 3 == 0, -7).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_table(rows, f"{db}.hot", "append", distributed_by="k", buckets=8)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    stored = spark.table(f"{db}.hot")
+    assert stored.columns == ["k"] and stored.count() == 30_000
+    assert stored.where("k = -7").select(F.input_file_name()).distinct().count() > 2
+
+
 def test_plain_write_does_not_shuffle(spark, db, orders):
     spread_out = orders.repartition(6)
     write_table(spread_out, f"{db}.t", "append", writers=2)
