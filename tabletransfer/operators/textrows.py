@@ -45,38 +45,61 @@ def escape_text(col: Column, delimiter: str = "\t", ascii_only: bool = False) ->
     return col
 
 
-def _park(col: Column) -> Column:
-    """Put a line feed where an escaped backslash stands.
+def _park(col: Column, mark: str = "\n") -> Column:
+    """Put a mark where an escaped backslash stands.
 
-    A raw line feed ends a line, so it cannot occur inside one. From here on every
-    backslash starts an escape, which makes plain replacement exact.
+    From here on every backslash starts an escape, which makes plain replacement exact.
+    The default mark is a line feed: a raw one ends a line, so none can be inside.
     """
-    return F.replace(col, F.lit("\\\\"), F.lit("\n"))
+    return F.replace(col, F.lit("\\\\"), F.lit(mark))
 
 
-def _unescape_parked(col: Column, delimiter: str, unicode: bool) -> Column:
-    if unicode:
-        # Every \uXXXX run becomes text through its UTF-16 bytes; other pieces are kept.
-        pieces = F.split(col, "\\\\u(?=[0-9a-fA-F]{4})")
-        hex_of = lambda p: F.hex(F.encode(p, "UTF-16BE"))
-        joined = F.array_join(
-            F.transform(pieces, lambda p, i: F.when(i == 0, hex_of(p)).otherwise(
-                F.concat(F.substring(p, 1, 4), hex_of(F.substr(p, F.lit(5)))))), "")
-        col = F.when(col.contains("\\u"), F.decode(F.unhex(joined), "UTF-16BE")).otherwise(col)
+def _unicode_decoded(col: Column) -> Column:
+    """Text of ``\\uXXXX`` escapes, through the UTF-16 bytes of the whole string."""
+    pieces = F.split(col, "\\\\u(?=[0-9a-fA-F]{4})")
+    hex_of = lambda p: F.hex(F.encode(p, "UTF-16BE"))
+    joined = F.array_join(
+        F.transform(pieces, lambda p, i: F.when(i == 0, hex_of(p)).otherwise(
+            F.concat(F.substring(p, 1, 4), hex_of(F.substr(p, F.lit(5)))))), "")
+    return F.when(col.contains("\\u"), F.decode(F.unhex(joined), "UTF-16BE")).otherwise(col)
+
+
+def _simple_decoded(col: Column, delimiter: str) -> Column:
+    """All escapes but that of a line feed and the parked backslash."""
     known = [("\t", "\\t"), ("\r", "\\r"), *_READ_ESCAPES]
     if delimiter != "\t":
         known.append((delimiter, "\\" + delimiter))
-    col = reduce(lambda c, e: F.replace(c, F.lit(e[1]), F.lit(e[0])), known, col)
-    # What is left is \n; the backslash of an unknown escape is dropped.
-    col = F.regexp_replace(col, r"\\(?!n)", "")
-    # Swap \n and the parked backslash in one step.
-    col = F.replace(col, F.lit("\\n"), F.lit("\\"))
-    return F.translate(col, "\\\n", "\n\\")
+    return reduce(lambda c, e: F.replace(c, F.lit(e[1]), F.lit(e[0])), known, col)
+
+
+def _drop_unknown(col: Column) -> Column:
+    """The backslash of an escape that means nothing is dropped."""
+    return F.regexp_replace(col, r"\\(?!n)", "")
+
+
+def _unescape_parked(col: Column, delimiter: str, unicode: bool) -> Column:
+    """Text of a field whose escaped backslashes are parked as line feeds."""
+    if unicode:
+        col = _unicode_decoded(col)
+    col = _drop_unknown(_simple_decoded(col, delimiter))
+    # What is left is \n: swap it and the parked backslash in one step.
+    return F.translate(F.replace(col, F.lit("\\n"), F.lit("\\")), "\\\n", "\n\\")
+
+
+def _unescape_fast(col: Column, delimiter: str) -> Column:
+    """The same for a field without the character U+0001, which then is the mark."""
+    col = _drop_unknown(_simple_decoded(col, delimiter))
+    col = F.replace(col, F.lit("\\n"), F.lit("\n"))
+    return F.replace(col, F.lit("\x01"), F.lit("\\"))
 
 
 def unescape_text(col: Column, delimiter: str = "\t", unicode: bool = False) -> Column:
     """Reverse of ``escape_text``; strings without a backslash pass untouched."""
-    return F.when(col.contains("\\"), _unescape_parked(_park(col), delimiter, unicode)).otherwise(col)
+    exact = _unescape_parked(_park(col), delimiter, unicode)
+    if unicode:
+        return F.when(col.contains("\\"), exact).otherwise(col)
+    return (F.when(~col.contains("\\"), col)
+            .when(~col.contains("\x01"), _unescape_fast(_park(col, "\x01"), delimiter)).otherwise(exact))
 
 
 def pad_fraction(text: Column) -> Column:
@@ -146,31 +169,54 @@ def encode_rows(
     return plain.select(F.concat_ws(delimiter, *fields).alias("line"))
 
 
-def _field_value(raw: Column, kind: T.DataType, delimiter: str, tz: str, unicode: bool) -> Column:
-    """The typed value, or null where the text is not one."""
+def _field_value(text: Column, kind: T.DataType, tz: str) -> Column:
+    """The typed value of a field's text, or null where the text is not one."""
     if isinstance(kind, T.StringType):
-        return _unescape_guarded(raw, delimiter, unicode)
+        return text
     if isinstance(kind, T.BooleanType):
-        return bool_from_text(raw)
+        return bool_from_text(text)
     if isinstance(kind, T.BinaryType):
-        return F.try_to_binary(raw, F.lit("base64"))
+        return F.try_to_binary(text, F.lit("base64"))
     if isinstance(kind, T.TimestampType):
-        return F.when(F.length(raw) >= 19, F.concat(raw, F.lit(" " + tz)).try_cast(kind))
+        return F.when(F.length(text) >= 19, F.concat(text, F.lit(" " + tz)).try_cast(kind))
     if isinstance(kind, T.TimestampNTZType):
-        return F.when(F.length(raw) >= 19, raw.try_cast(kind))
+        return F.when(F.length(text) >= 19, text.try_cast(kind))
     if isinstance(kind, T.DateType):
-        return F.when(F.length(raw) >= 10, raw.try_cast(kind))
+        return F.when(F.length(text) >= 10, text.try_cast(kind))
     if isinstance(kind, T.NumericType):
-        return raw.try_cast(kind)
+        return text.try_cast(kind)
     raise ValueError(f"Unsupported type {kind.simpleString()}")
 
 
-def _unescape_guarded(raw: Column, delimiter: str, unicode: bool) -> Column:
-    """Unescape a field whose backslashes may already be parked (other delimiters)."""
+def _fields(line: Column, delimiter: str, null_token: str, unicode: bool) -> Column:
+    """Array of a line's fields, unescaped, with null for the null token.
+
+    Lines without a backslash, which are most, are only split. The others pass one
+    function per field, whatever the number of columns, so that the generated code of
+    a wide table stays small.
+    """
+    plain = F.split(line, re.escape(delimiter), -1)
     if delimiter == "\t":
-        return unescape_text(raw, delimiter, unicode)
-    touched = raw.contains("\\") | raw.contains("\n")
-    return F.when(touched, _unescape_parked(raw, delimiter, unicode)).otherwise(raw)
+        pieces = plain
+        text = lambda f: unescape_text(f, delimiter, unicode)
+    else:
+        pieces = F.split(_park(line), r"(?<!\\)" + re.escape(delimiter), -1)
+        text = lambda f: _unescape_guarded(f, delimiter, unicode)
+    escaped = F.transform(pieces, lambda f: F.when(f != null_token, text(f)))
+    if "\\" not in null_token:
+        plain = F.when(F.contains(line, F.lit(null_token)),
+                       F.transform(plain, lambda f: F.when(f != null_token, f))).otherwise(plain)
+    return F.when(line.contains("\\"), escaped).otherwise(plain)
+
+
+def _unescape_guarded(raw: Column, delimiter: str, unicode: bool) -> Column:
+    """Unescape a field whose backslashes are parked as line feeds already."""
+    exact = _unescape_parked(raw, delimiter, unicode)
+    untouched = ~raw.contains("\\") & ~raw.contains("\n")
+    if unicode:
+        return F.when(untouched, raw).otherwise(exact)
+    fast = _unescape_fast(F.replace(raw, F.lit("\n"), F.lit("\x01")), delimiter)
+    return F.when(untouched, raw).when(~raw.contains("\x01"), fast).otherwise(exact)
 
 
 def decode_rows(
@@ -197,11 +243,7 @@ def decode_rows(
         schema = T.StructType.fromDDL(schema)
     zone = _zone(df, tz)
     line = F.col(quote(line_col))
-    if delimiter == "\t":
-        fields = F.split(line, "\t", -1)
-    else:
-        fields = F.split(_park(line), r"(?<!\\)" + re.escape(delimiter), -1)
-    parts = df.select(fields.alias("_f"), line.contains("\n").alias("_lf"))
+    parts = df.select(_fields(line, delimiter, null_token, unicode).alias("_f"), line.contains("\n").alias("_lf"))
     n = len(schema)
     wrong_count = F.concat(F.lit(f"expected {n} fields, found "), F.size("_f").cast("string"))
     shape = F.when(F.col("_lf"), F.lit("raw line feed inside a line")).when(F.size("_f") != n, wrong_count)
@@ -212,14 +254,13 @@ def decode_rows(
     values, wrong = [], []
     for i, field in enumerate(schema):
         text = F.get(F.col("_f"), F.lit(i))
-        present = text != null_token
-        value = F.when(present, _field_value(text, field.dataType, delimiter, zone, unicode))
+        value = _field_value(text, field.dataType, zone)
         may_fail = not isinstance(field.dataType, (T.StringType, T.BooleanType))
         if may_fail and on_error == "error":
             message = F.concat(F.lit(f"column {field.name}: not a {field.dataType.simpleString()}: "), text)
-            value = F.coalesce(value, F.when(present, F.raise_error(message).cast(field.dataType)))
+            value = F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message).cast(field.dataType)))
         elif may_fail:
-            wrong.append(F.when(present & value.isNull(), F.lit(field.name)))
+            wrong.append(F.when(text.isNotNull() & value.isNull(), F.lit(field.name)))
         values.append(value.alias(field.name))
     if on_error == "error":
         return parts.select(*values)

@@ -59,3 +59,15 @@ def path_usage(spark: SparkSession, path: str) -> tuple[int, int]:
     summary = fs.getContentSummary(p)
     marker = int(path_exists(spark, f"{path}/_SUCCESS"))
     return summary.getFileCount() - marker, summary.getLength()
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Session settings that suit wide rows; call it once, or set them yourself.
+
+    The JVM does not compile methods above 8000 bytes of bytecode. With this limit Spark
+    generates smaller ones for projections over many columns, such as the text codec's.
+    Adaptive execution splits hot keys and merges small partitions.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return spark
