@@ -748,8 +748,9 @@ def stream_sql_offsets(spark, folder):
 
 
 @query("""
-SELECT '{"k":' || (max(event_id) * t // 10) || '}' AS doc, count(*) AS n_rows
-FROM events, (VALUES (4), (7), (10)) v(t) GROUP BY t
+SELECT '{"k":' || ((SELECT max(event_id) FROM events) * t // 10) || '}' AS doc,
+       (SELECT count(*) FROM events) AS n_rows
+FROM (VALUES (4), (7), (10)) v(t)
 """)
 def stream_offset_update(spark, folder):
     (events,) = views(spark, folder, "events")
@@ -757,8 +758,7 @@ def stream_offset_update(spark, folder):
     spark.sql(f"CREATE TABLE {db}.positions (doc STRING) USING parquet")
     for tenths in (4, 7, 10):
         _sql_offset_run(spark, db, tenths)
-    total = read_table(spark, f"{db}.target").agg(F.count("*").alias("n_rows"))
-    return read_table(spark, f"{db}.positions").join(F.broadcast(total))
+    return read_query(spark, f"SELECT doc, (SELECT count(*) FROM {db}.target) AS n_rows FROM {db}.positions")
 
 
 @query("""

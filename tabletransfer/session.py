@@ -53,6 +53,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Put a few bytes into a file that appears whole, replacing an older one."""
+    folder, _, name = path.rpartition("/")
+    fs, final = hadoop_path(spark, path)
+    _, draft = hadoop_path(spark, f"{folder}/_{unique_name(name)}")
+    out = fs.create(draft, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    fs.delete(final, False)
+    if not fs.rename(draft, final):
+        raise OSError(f"could not write {path}")
+
+
 def path_usage(spark: SparkSession, path: str) -> tuple[int, int]:
     """(data files, bytes) below ``path``, in one call whatever the number of files."""
     fs, p = hadoop_path(spark, path)

@@ -93,18 +93,27 @@ def write_jdbc(
         df = conform(df, target_types)
     if writers:
         df = df.coalesce(writers)
-    writer = (df.write.format("jdbc").options(**jdbc_options(df.sparkSession, options))
-              .option("dbtable", options.table).option("batchsize", batch_size)
-              .option("truncate", str(options.truncate).lower()))
-    if options.partition_by or options.distributed_by:
-        dist = parse_distribution(options.distributed_by)
-        clause = ""
-        if dist:
-            keys = ", ".join(identifier(c, "ansi") for c in dist.columns)
-            clause = f"DISTRIBUTED BY ({keys})" if keys else f"DISTRIBUTED {dist.kind.upper()}"
-        writer = writer.option("createTableOptions", " ".join(p for p in (clause, options.partition_by) if p))
+    more = write_options(options, target_types, batch_size)
+    df.write.format("jdbc").options(**jdbc_options(df.sparkSession, options), **more).mode(chosen).save()
+
+
+def write_options(
+    options: TransferOptions, target_types: Mapping[str, str] | None = None, batch_size: int = 10_000,
+) -> dict[str, str]:
+    """Options of Spark's JDBC sink: the target, its clauses and its sized column types."""
+    result = {"dbtable": options.table, "batchsize": str(batch_size), "truncate": str(options.truncate).lower()}
+    dist = parse_distribution(options.distributed_by)
+    clauses = []
+    if dist and dist.columns:
+        clauses.append(f"DISTRIBUTED BY ({', '.join(identifier(c, 'ansi') for c in dist.columns)})")
+    elif dist:
+        clauses.append(f"DISTRIBUTED {dist.kind.upper()}")
+    if options.partition_by:
+        clauses.append(options.partition_by)
+    if clauses:
+        result["createTableOptions"] = " ".join(clauses)
     sized = [f"{c} {t}" for c, t in (target_types or {}).items()
              if t.lower().startswith(("varchar", "char(", "decimal"))]
     if sized:
-        writer = writer.option("createTableColumnTypes", ", ".join(sized))
-    writer.mode(chosen).save()
+        result["createTableColumnTypes"] = ", ".join(sized)
+    return result

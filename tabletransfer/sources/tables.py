@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tabletransfer.operators.conform import apply_schema
 from tabletransfer.operators.distribution import REPLICATED, parse_distribution, spread
 from tabletransfer.plans.filters import Predicate, split_filters
 from tabletransfer.plans.schema import schema_argument
-from tabletransfer.sinks.catalog import table_info
+from tabletransfer.sinks.catalog import TableInfo, table_info
 from tabletransfer.session import path_usage
-from tabletransfer.sources.targets import quote, resolve, table_exists
+from tabletransfer.sources.targets import Target, quote, resolve, table_exists
 
 
 def _shape(df: DataFrame, schema, columns, filters) -> DataFrame:
@@ -34,17 +35,23 @@ def read_table(
     schema: T.StructType | str | None = None,
     columns: Sequence[str] | None = None,
     filters: Predicate | list | None = None,
+    refresh: bool = True,
 ) -> DataFrame:
     """Read a named table, found on the search path ``schemas``.
 
+    Spark remembers a table's files per session. They are looked up again here, because
+    a stream or another session may have written since; ``refresh=False`` skips that.
     A table stored as ``replicated`` is marked for broadcast, but only while its files
     are below Spark's broadcast threshold; a larger one is joined like any other.
     """
     target = resolve(spark, name, schemas)
     if not table_exists(spark, target):
         raise ValueError(f"no table {target.sql_name}")
+    info = _info_or_none(spark, target)
+    if info and refresh:
+        spark.catalog.refreshTable(target.sql_name)
     df = spark.table(target.sql_name)
-    if _fits_broadcast(spark, target.sql_name):
+    if info and _fits_broadcast(spark, info):
         df = df.hint("broadcast")
     return _shape(df, schema, columns, filters)
 
@@ -58,11 +65,15 @@ def _byte_size(text: str) -> int:
     return int(text)
 
 
-def _fits_broadcast(spark: SparkSession, name: str) -> bool:
+def _info_or_none(spark: SparkSession, target: Target) -> TableInfo | None:
+    """Facts about a catalog table; none for a view."""
     try:
-        info = table_info(spark, name)
-    except Exception:  # a temporary view has no table description
-        return False
+        return table_info(spark, target.sql_name)
+    except AnalysisException:
+        return None
+
+
+def _fits_broadcast(spark: SparkSession, info: TableInfo) -> bool:
     if info.distribution != REPLICATED or not info.location:
         return False
     limit = _byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
@@ -118,10 +129,7 @@ def read_distributed(
     if wanted is None or wanted.kind == REPLICATED:
         return df
     if wanted.columns:
-        try:
-            stored = table_info(spark, target.sql_name)
-        except Exception:  # a temporary view
-            stored = None
+        stored = _info_or_none(spark, target)
         if stored and list(wanted.columns) == stored.bucket_columns and n in (None, stored.num_buckets):
             return df
     return spread(df, wanted.columns, n)

@@ -12,13 +12,13 @@ import datetime as dt
 import json
 import logging
 from collections.abc import Callable
-from dataclasses import astuple, dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabletransfer.plans.scripts import read_transfer
-from tabletransfer.session import path_exists, unique_name
+from tabletransfer.session import path_exists, unique_name, write_note
 from tabletransfer.streaming.sink import EpochSink, start
 
 log = logging.getLogger(__name__)
@@ -45,7 +45,7 @@ class Range:
 
 
 class Ledger:
-    """A small table of ranges, one row per slot, in the checkpoint folder."""
+    """A few small files with one range each, in the checkpoint folder."""
 
     SCHEMA = "tick long, epoch long, start string, end string"
 
@@ -57,15 +57,11 @@ class Ledger:
     def _read_last(self) -> Range | None:
         if not path_exists(self.spark, self.path):
             return None
-        row = self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/slot=*").orderBy(F.desc("epoch")).head()
+        row = self.spark.read.schema(self.SCHEMA).json(self.path).orderBy(F.desc("epoch")).head()
         return Range(*row) if row else None
 
     def note(self, entry: Range) -> None:
-        slot = f"{self.path}/slot={entry.epoch % _SLOTS}"
-        row = self.spark.sql(
-            "SELECT CAST(? AS LONG) tick, CAST(? AS LONG) epoch, CAST(? AS STRING) start, CAST(? AS STRING) end",
-            args=list(astuple(entry)))
-        row.write.mode("overwrite").parquet(slot)
+        write_note(self.spark, f"{self.path}/{entry.epoch % _SLOTS}.json", json.dumps(asdict(entry)))
         self.last = entry
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -33,6 +35,21 @@ def with_delay(df: DataFrame, generated: str = "gen_ts") -> DataFrame:
     return stamped.withColumn("delay_s", seconds)
 
 
+def stop_between_batches(query: StreamingQuery, timeout: float = 60.0) -> bool:
+    """Stop a stream when no micro-batch is running; True if such a moment was found.
+
+    After ``timeout`` seconds the running batch is cut off; it is run again on restart.
+    """
+    deadline = time.monotonic() + timeout
+    idle = False
+    while query.isActive and time.monotonic() < deadline and not idle:
+        idle = not query.status["isTriggerActive"]
+        if not idle:
+            time.sleep(0.01)
+    query.stop()
+    return idle
+
+
 class OffsetUpdate(StreamingQueryListener):
     """Runs DML with one ``?`` for the end offset of each finished micro-batch of a query."""
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from bisect import bisect_right
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -128,9 +129,8 @@ class OffsetStreamReader(DataSourceStreamReader):
         self.ending = None if ending is None else json.loads(ending)
         self.split_bytes = int(options.get("split_bytes", 128 << 20))
         self.schema = schema
-        self.newest: int | None = None
-        self.seen: set[str] = set()
-        self.open: dict[str, list[RowGroup]] = {}
+        self.groups: dict[str, list[RowGroup]] = {}
+        self.order: list[tuple[int, str]] = []  # (newest offset, file), sorted
         if options.get("footers"):
             self._load_footers(options["footers"])
 
@@ -144,27 +144,26 @@ class OffsetStreamReader(DataSourceStreamReader):
         for part in list_files(folder):
             for row in pq.read_table(part, filesystem=filesystem, partitioning=None).to_pylist():
                 group = RowGroup(row["index"], row["low"], row["high"], row["size"])
-                self._add(row["path"], [group])
+                self.groups.setdefault(row["path"], []).append(group)
+        self._sort(list(self.groups))
 
-    def _add(self, path: str, groups: list[RowGroup]) -> None:
-        self.seen.add(path)
-        if groups:
-            self.open.setdefault(path, []).extend(groups)
-            high = max(g.high for g in groups)
-            self.newest = high if self.newest is None else max(self.newest, high)
+    def _sort(self, added: list[str]) -> None:
+        self.order += [(max(g.high for g in self.groups[f]), f) for f in added if self.groups[f]]
+        self.order.sort()
 
     def _refresh(self) -> None:
         """Read the footers of files that are new; files are taken to be immutable."""
-        new = [f for f in list_files(self.path) if f not in self.seen]
+        new = [f for f in list_files(self.path) if f not in self.groups]
         filesystem, _ = open_filesystem(self.path)
         with ThreadPoolExecutor(_READ_THREADS) as pool:
             read = lambda f: footer_groups(filesystem, f, self.column)
             for path, groups in zip(new, pool.map(read, new)):
-                self._add(path, groups)
+                self.groups[path] = groups
+        self._sort(new)
 
     def _newest(self) -> int | None:
         self._refresh()
-        return self.newest
+        return self.order[-1][0] if self.order else None
 
     def initialOffset(self) -> dict:
         if self.starting == EARLIEST:
@@ -188,13 +187,12 @@ class OffsetStreamReader(DataSourceStreamReader):
         if low is not None and high < low:
             raise ValueError(f"the newest offset went back from {low} to {high}")
         self._refresh()
-        if low is not None:
-            # Offsets only go forward, so files that end before the range are done with.
-            self.open = {f: gs for f, gs in self.open.items() if any(g.high > low for g in gs)}
-        for path, groups in self.open.items():
+        # Nothing is forgotten here: Spark may ask for an earlier range again.
+        first = 0 if low is None else bisect_right(self.order, low, key=lambda entry: entry[0])
+        for _, path in self.order[first:]:
             wanted: list[int] = []
             size = 0
-            for group in groups:
+            for group in self.groups[path]:
                 if group.low > high or (low is not None and group.high <= low):
                     continue
                 if wanted and size + group.size > self.split_bytes:

@@ -10,7 +10,7 @@ from tabletransfer.functions.values import bit_text, is_ewkb_hex, is_json, is_ti
 from tabletransfer.options import TransferOptions
 from tabletransfer.plans.filters import eq, gt
 from tabletransfer.sources.generator import generate, uuid_rows
-from tabletransfer.sources.jdbc import jdbc_options, modulo_predicates
+from tabletransfer.sources.jdbc import jdbc_options, modulo_predicates, write_options
 
 
 def test_options_in_any_case():
@@ -74,6 +74,17 @@ def test_connection_options(spark):
         load(spark, {"url": "jdbc:x", "sqltransfer": "select 1"})
 
 
+def test_sink_clauses():
+    o = TransferOptions.from_dict({"url": "jdbc:x", "dbtable": "s.t", "distributedby": "a, b", "truncate": "true",
+                                   "partitionclause": "PARTITION BY RANGE (d) (START (1))"})
+    assert write_options(o, {"a": "varchar(10)", "b": "uuid", "c": "decimal(5,2)"}, 500) == {
+        "dbtable": "s.t", "batchsize": "500", "truncate": "true",
+        "createTableOptions": 'DISTRIBUTED BY ("a", "b") PARTITION BY RANGE (d) (START (1))',
+        "createTableColumnTypes": "a varchar(10), c decimal(5,2)"}
+    plain = write_options(TransferOptions.from_dict({"url": "jdbc:x", "dbtable": "t", "distributedby": "randomly"}))
+    assert plain["createTableOptions"] == "DISTRIBUTED RANDOMLY" and "createTableColumnTypes" not in plain
+
+
 # -- functions -----------------------------------------------------------------------
 
 

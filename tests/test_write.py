@@ -219,6 +219,17 @@ def test_count_reads_no_columns(spark, orders, plan):
     assert "ReadSchema: struct<>" in plan(orders.groupBy().count())
 
 
+def test_writes_of_another_session_are_seen(spark, db, orders):
+    write_table(orders, f"{db}.t", "append")
+    assert read_table(spark, f"{db}.t").count() == orders.count()
+    other = spark.newSession()
+    mine = other.createDataFrame([(1, 2)], "o_orderkey bigint, o_custkey bigint")
+    write_table(mine, f"{db}.t", "append")
+    assert read_table(spark, f"{db}.t").count() == orders.count() + 1
+    write_table(mine, f"{db}.t", "overwrite")
+    assert read_table(spark, f"{db}.t").collect() == mine.collect()
+
+
 def test_missing_table(spark):
     with pytest.raises(ValueError, match="no table"):
         read_table(spark, "no_such_table")
