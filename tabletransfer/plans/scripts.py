@@ -19,7 +19,7 @@ from tabletransfer.operators.conform import apply_schema
 from tabletransfer.plans.filters import filter_sql, split_filters
 from tabletransfer.plans.schema import column_ddl, schema_argument, select_list
 from tabletransfer.session import delete_path, scratch_path, unique_name
-from tabletransfer.sources.targets import quote
+from tabletransfer.sources.targets import quote, refresh_tables
 
 # The tags a script may contain, in any letter case.
 TAGS = (
@@ -110,6 +110,7 @@ def read_transfer(
     A ``BEGIN … END`` block is run at once and its rows are kept in a table in the
     shared folder, so it needs ``schema``.
     """
+    refresh_tables(spark, script)
     out_schema = schema_argument(spark, schema)
     rendered, residual = split_filters(filters)
     values = {
@@ -167,6 +168,7 @@ def write_transfer(
     transaction, so make it repeatable or give ``undo`` (SQL text or a callable).
     """
     spark = df.sparkSession
+    refresh_tables(spark, script)
     view = unique_name("ext")
     df.createOrReplaceTempView(view)
     try:

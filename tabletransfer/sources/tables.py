@@ -13,7 +13,7 @@ from tabletransfer.plans.filters import Predicate, split_filters
 from tabletransfer.plans.schema import schema_argument
 from tabletransfer.sinks.catalog import TableInfo, table_info
 from tabletransfer.session import path_usage
-from tabletransfer.sources.targets import Target, quote, resolve, table_exists
+from tabletransfer.sources.targets import Target, quote, refresh_tables, resolve, table_exists
 
 
 def _shape(df: DataFrame, schema, columns, filters) -> DataFrame:
@@ -88,6 +88,7 @@ def read_query(
     filters: Predicate | list | None = None,
 ) -> DataFrame:
     """Any SELECT as a source."""
+    refresh_tables(spark, query)
     return _shape(spark.sql(query), schema, columns, filters)
 
 

@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 DEFAULT_SCHEMA = "default"
@@ -26,6 +27,9 @@ def quote(part: str) -> str:
     return "`" + part.replace("`", "``") + "`"
 
 
+_FROM = re.compile(rf"\b(?:FROM|JOIN)\s+((?:`[^`]+`|\w+)(?:\.(?:`[^`]+`|\w+))*)(?!\s*\()", re.IGNORECASE)
+
+
 @dataclass(frozen=True)
 class Target:
     """Either a query, or a table with an optional schema."""
@@ -69,6 +73,23 @@ def search_path(schemas: str | Sequence[str] | None) -> list[str]:
     return path
 
 
+def named_tables(sql: str) -> list[str]:
+    """Names that follow FROM or JOIN in a text; some may be no tables."""
+    return list(dict.fromkeys(_FROM.findall(sql)))
+
+
+def refresh_tables(spark: SparkSession, *texts: str | None) -> None:
+    """Look up again the files of the tables that SQL texts read.
+
+    Spark remembers them per session and would miss what others wrote since.
+    """
+    for name in dict.fromkeys(n for text in texts if text for n in named_tables(text)):
+        try:
+            spark.catalog.refreshTable(name)
+        except AnalysisException:  # a name inside the text, a function, a word
+            continue
+
+
 def table_exists(spark: SparkSession, name: str | Target) -> bool:
     target = parse_target(name) if isinstance(name, str) else name
     if target.is_query:

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tabletransfer.plans.scripts import read_transfer
 from tabletransfer.session import path_exists, unique_name, write_note
+from tabletransfer.sources.targets import refresh_tables
 from tabletransfer.streaming.sink import EpochSink, start
 
 log = logging.getLogger(__name__)
@@ -69,6 +70,7 @@ def current_offset(spark: SparkSession, offset_select: str | None) -> str | None
     """The newest position as JSON text; without a query, the current time."""
     if offset_select is None:
         return json.dumps({"timestamp": dt.datetime.now().isoformat(sep=" ")})
+    refresh_tables(spark, offset_select)
     row = spark.sql(offset_select).head()
     return None if row is None else row[0]
 

@@ -13,12 +13,14 @@ import json
 from bisect import bisect_right
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from tabletransfer.session import scratch_path
+from tabletransfer.sinks.catalog import table_info
 
 SOURCE_NAME = "transfer_offsets"
 
@@ -29,6 +31,9 @@ _BATCH_ROWS = 65_536
 # From this many files on, footers are read by a Spark job before the stream starts.
 _FOOTER_JOB_FILES = 256
 
+# Fixed value: Spark's folder name for a null partition value.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 _OFFSET_TYPES = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -82,6 +87,16 @@ def list_files(path: str) -> list[str]:
             if f.type == fs.FileType.File and not any(s.startswith(("_", ".")) for s in inside(f.path))]
 
 
+def partition_values(path: str) -> dict[str, str | None]:
+    """Values of partition columns, which are in folder names and not in the file."""
+    values = {}
+    for folder in path.split("/")[:-1]:
+        name, mark, value = folder.partition("=")
+        if mark:
+            values[unquote(name)] = None if value == _NULL_PARTITION else unquote(value)
+    return values
+
+
 def footer_groups(filesystem, path: str, column: str) -> list[RowGroup]:
     """Offset range and size of each row group of a file, from its footer."""
     import pyarrow.parquet as pq
@@ -217,9 +232,11 @@ class OffsetStreamReader(DataSourceStreamReader):
 
         filesystem, _ = open_filesystem(self.path)
         wanted = to_arrow_schema(self.schema)
-        columns = list(dict.fromkeys([*wanted.names, self.column]))
+        folders = partition_values(partition.path)
         with filesystem.open_input_file(partition.path) as handle:
             file = pq.ParquetFile(handle)
+            stored = set(file.schema_arrow.names)
+            columns = [c for c in dict.fromkeys([*wanted.names, self.column]) if c in stored]
             for batch in file.iter_batches(_BATCH_ROWS, row_groups=partition.groups, columns=columns):
                 offsets = batch.column(self.column)
                 if pa.types.is_timestamp(offsets.type):
@@ -231,7 +248,11 @@ class OffsetStreamReader(DataSourceStreamReader):
                     keep = pc.and_(keep, pc.greater(offsets, partition.start))
                 batch = batch.filter(keep)
                 if batch.num_rows:
-                    arrays = [batch.column(f.name).cast(f.type) for f in wanted]
+                    arrays = [
+                        batch.column(f.name).cast(f.type) if f.name in stored
+                        else pa.array([folders.get(f.name)] * batch.num_rows, pa.string()).cast(f.type)
+                        for f in wanted
+                    ]
                     yield pa.RecordBatch.from_arrays(arrays, schema=wanted)
 
 
@@ -249,7 +270,7 @@ class OffsetDataSource(DataSource):
 
 def read_stream_offsets(
     spark: SparkSession,
-    path: str,
+    source: str,
     offset_col: str,
     columns: list[str] | None = None,
     starting: str = LATEST,
@@ -257,16 +278,20 @@ def read_stream_offsets(
     schema: T.StructType | None = None,
     split_bytes: int = 128 << 20,
 ) -> DataFrame:
-    """Stream the rows of a parquet folder in order of ``offset_col``.
+    """Stream the rows of a parquet folder, or of an append-only table, by ``offset_col``.
 
+    ``source`` is a path (with a ``/``) or a table name.
     ``starting``: ``latest`` (only rows that arrive later), ``earliest``, or a JSON
     document ``{"offset": value}``. ``ending`` is the last offset to read in this run.
     The offset is a whole number, a date (days) or a timestamp (microseconds). Rows
     whose offset is null belong to no range and are never read. Only ``columns`` are
     read from the files.
     """
-    if schema is None:
-        schema = spark.read.parquet(path).schema
+    if "/" in source:
+        path, stored = source, schema or spark.read.parquet(source).schema
+    else:
+        path, stored = table_info(spark, source).location, spark.table(source).schema
+    schema = schema or stored
     if offset_col in schema.names and not isinstance(schema[offset_col].dataType, _OFFSET_TYPES):
         raise ValueError(f"{offset_col} is no whole number, date or timestamp")
     if columns:
