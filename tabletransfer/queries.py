@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tabletransfer.api import load, save, stream
 from tabletransfer.functions.points import ewkb_to_text, point_to_ewkb
 from tabletransfer.functions.udfs import get_batch_id, register_udfs
 from tabletransfer.functions.values import base64_text, bit_text, bool_from_text, is_json, is_uuid
@@ -26,9 +28,10 @@ from tabletransfer.plans.scripts import read_transfer, write_transfer
 from tabletransfer.session import delete_path, scratch_database, scratch_path
 from tabletransfer.sinks.tables import write_table
 from tabletransfer.sources.generator import generate, uuid_rows
+from tabletransfer.sources.jdbc import modulo_predicates
 from tabletransfer.sources.tables import read_distributed, read_parallel, read_query, read_table
 from tabletransfer.streaming.ledger import stream_transfer
-from tabletransfer.streaming.progress import with_delay
+from tabletransfer.streaming.progress import progress_report, with_delay
 from tabletransfer.streaming.sink import table_sink, write_stream
 from tabletransfer.streaming.source import read_stream_offsets
 
@@ -171,6 +174,25 @@ def search_path_read(spark, folder):
     return read_table(spark, "found_here", schemas=f"{first}, {second}")
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def key_parts_read(spark, folder):
+    """The partition conditions of a parallel read from a database, here over a Spark table."""
+    (orders,) = views(spark, folder, "orders")
+    parts = [read_table(spark, "orders", filters=F.expr(p.replace('"', "`")))
+             for p in modulo_predicates("o_custkey", 4)]
+    return reduce(DataFrame.union, parts).select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_totalprice > 5000")
+def load_and_save(spark, folder):
+    views(spark, folder, "orders")
+    db = scratch_database(spark)
+    table = {"dbschema": db, "dbtable": "kept", "distributedBy": "o_custkey", "partitionClause": "o_orderstatus"}
+    source = {"dbtable": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"}
+    save(load(spark, source, filters=gt("o_totalprice", 5000)).drop("o_totalprice"), table, "overwrite")
+    return load(spark, table).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
 # -- filters -----------------------------------------------------------------------
 
 
@@ -656,9 +678,9 @@ def _newest(spark, folder) -> int:
 
 def _run_to(spark, folder, db, ending, **source):
     """One run of a resumable stream of events that stops at ``ending``."""
-    stream = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", starting="earliest",
+    rows = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", starting="earliest",
                                  ending=ending, **source)
-    running = write_stream(stream, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target", available_now=True)
+    running = write_stream(rows, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target", available_now=True)
     running.awaitTermination()
 
 
@@ -707,7 +729,7 @@ FROM events JOIN customer ON user_id = c_custkey
 def stream_script_sink(spark, folder):
     views(spark, folder, "customer")
     db = scratch_database(spark)
-    stream = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_id", "user_id"], "earliest")
+    rows = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_id", "user_id"], "earliest")
     script = f"""
     BEGIN
       CREATE TABLE IF NOT EXISTS {db}.enriched (event_id BIGINT, c_name STRING, mode STRING, epoch INT)
@@ -715,7 +737,7 @@ def stream_script_sink(spark, folder):
       INSERT OVERWRITE {db}.enriched PARTITION (epoch = <current_epoch>)
         SELECT event_id, c_name, '<stream_mode>' FROM <ext_table> JOIN customer ON user_id = c_custkey;
     END"""
-    write_stream(stream, f"{scratch_of(spark, db)}/checkpoint", script=script, available_now=True).awaitTermination()
+    write_stream(rows, f"{scratch_of(spark, db)}/checkpoint", script=script, available_now=True).awaitTermination()
     return read_table(spark, f"{db}.enriched").select("event_id", "c_name", "epoch", "mode")
 
 
@@ -781,17 +803,57 @@ def stream_table_to_table(spark, folder):
     db = scratch_database(spark)
     path = scratch_path(spark, "source")
     orders.drop("o_orderdate").repartition(4).write.parquet(path)
-    stream = read_stream_offsets(spark, path, "o_orderkey", starting="earliest")
-    write_stream(stream, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target",
+    rows = read_stream_offsets(spark, path, "o_orderkey", starting="earliest")
+    write_stream(rows, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target",
                  available_now=True).awaitTermination()
     return read_table(spark, f"{db}.target").drop("batch_id")
 
 
+@query(_THREE_ENDS.replace("AS batch_id", "AS first_batch"))
+def stream_chain(spark, folder):
+    """The target of one stream is the source of the next."""
+    db = scratch_database(spark)
+    top = _newest(spark, folder)
+    for ending in (top * 4 // 10, top * 7 // 10, top):
+        _run_to(spark, folder, db, ending, columns=["event_id", "user_id"])
+    rows = read_stream_offsets(spark, f"{db}.target", "event_id", starting="earliest")
+    write_stream(rows.withColumnRenamed("batch_id", "first_batch"), f"{scratch_of(spark, db)}/checkpoint2",
+                 name=f"{db}.chained", available_now=True).awaitTermination()
+    return read_table(spark, f"{db}.chained").select("first_batch", "event_id", "user_id")
+
+
+@query("""
+SELECT event_id, c_name, 0::BIGINT AS batch_id FROM events JOIN customer ON user_id = c_custkey
+""")
+def stream_by_options(spark, folder):
+    views(spark, folder, "events", "customer")
+    db = scratch_database(spark)
+    source = {
+        "sqltransfer": """INSERT INTO <ext_table> (event_id, user_id) SELECT event_id, user_id FROM events
+                          WHERE event_id <= CAST(get_json_object('<end_offset_json>', '$.k') AS BIGINT)""",
+        "dbtable": "SELECT 1L AS event_id, 1L AS user_id",
+        "offset.select": "SELECT to_json(named_struct('k', max(event_id))) FROM events"}
+    sink = {"dbtable": f"{db}.named", "checkpointLocation": f"{scratch_of(spark, db)}/checkpoint"}
+    named = lambda rows, epoch: rows.join(
+        rows.sparkSession.table("customer"), F.col("user_id") == F.col("c_custkey")).select("event_id", "c_name")
+    stream(spark, source, sink, transform=named, starting="earliest", available_now=True).awaitTermination()
+    return read_table(spark, f"{db}.named").select("event_id", "c_name", "batch_id")
+
+
+@query("SELECT 0::BIGINT AS batch_id, count(*) AS n_rows FROM events")
+def stream_progress(spark, folder):
+    db = scratch_database(spark)
+    rows = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_id"], "earliest")
+    running = write_stream(rows, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target", available_now=True)
+    running.awaitTermination()
+    return progress_report(spark, running).where("rows > 0").select("batch_id", F.col("rows").alias("n_rows"))
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_complete(spark, folder):
     db = scratch_database(spark)
-    stream = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_type"], "earliest")
-    counted = stream.groupBy("event_type").agg(F.count("*").alias("n"))
+    rows = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_type"], "earliest")
+    counted = rows.groupBy("event_type").agg(F.count("*").alias("n"))
     write_stream(counted, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target", stream_mode="complete",
                  available_now=True).awaitTermination()
     return read_table(spark, f"{db}.target")
@@ -800,8 +862,8 @@ def stream_complete(spark, folder):
 @query("SELECT 0 AS batch, count(*) AS n, true AS delayed FROM events")
 def batch_id_column(spark, folder):
     db = scratch_database(spark)
-    stream = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_id", "ts"], "earliest")
-    stamped = with_delay(stream, "ts").withColumnRenamed("batch_id", "batch")
+    rows = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_id", "ts"], "earliest")
+    stamped = with_delay(rows, "ts").withColumnRenamed("batch_id", "batch")
     write_stream(stamped, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target",
                  available_now=True).awaitTermination()
     return (read_table(spark, f"{db}.target").groupBy("batch")
