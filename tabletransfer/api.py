@@ -118,6 +118,8 @@ def stream(
     folder = checkpoint or dst.checkpoint or src.checkpoint
     if not folder:
         raise ValueError("option 'checkpointLocation' is required for a stream")
+    if src.url or dst.url:
+        raise ValueError("both ends of a stream are Spark tables; write_jdbc can be called from a sink of your own")
     if not src.script:
         raise ValueError("option 'sqltransfer' is required for a stream source")
     rows = script_source(src.script, schema or src.table)

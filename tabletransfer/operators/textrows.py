@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabletransfer.functions.values import base64_text, bool_from_text, bool_to_text
+from tabletransfer.session import delete_path, replace_folder, unique_name
 from tabletransfer.sources.targets import quote
 
 NULL_TOKEN = "NULL"        # default, as other readers of the format expect it
@@ -271,9 +272,23 @@ def decode_rows(
 
 def write_text_rows(df: DataFrame, path: str, mode: str, delimiter: str = "\t", tz: str | None = None,
                     null_token: str = NULL_TOKEN, ascii_only: bool = False) -> None:
-    """Write rows as text files, one line each, UTF-8, ``\\n`` at the end."""
-    lines = encode_rows(df, delimiter, tz, null_token, ascii_only)
-    lines.write.mode(mode).option("lineSep", "\n").text(path)
+    """Write rows as text files, one line each, UTF-8, ``\\n`` at the end.
+
+    ``overwrite`` writes a new folder first and then swaps the names, so that a failure
+    leaves the old files, and rows read from ``path`` itself may be written back.
+    """
+    spark = df.sparkSession
+    writer = encode_rows(df, delimiter, tz, null_token, ascii_only).write.option("lineSep", "\n")
+    if mode != "overwrite":
+        writer.mode(mode).text(path)
+        return
+    staged = f"{path.rstrip('/')}_{unique_name('new')}"
+    try:
+        writer.text(staged)
+    except Exception:
+        delete_path(spark, staged)
+        raise
+    replace_folder(spark, staged, path)
 
 
 def read_text_rows(spark, path: str, schema: T.StructType | str, delimiter: str = "\t", tz: str | None = None,

@@ -53,6 +53,23 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of another one by renaming; the old one is deleted last."""
+    fs, new = hadoop_path(spark, staged)
+    _, final = hadoop_path(spark, path)
+    if not fs.exists(final):
+        if not fs.rename(new, final):
+            raise OSError(f"could not move {staged} to {path}")
+        return
+    _, old = hadoop_path(spark, f"{path.rstrip('/')}_{unique_name('old')}")
+    if not fs.rename(final, old):
+        raise OSError(f"could not set {path} aside")
+    if not fs.rename(new, final):
+        fs.rename(old, final)
+        raise OSError(f"could not move {staged} to {path}")
+    fs.delete(old, True)
+
+
 def write_note(spark: SparkSession, path: str, text: str) -> None:
     """Put a few bytes into a file that appears whole, replacing an older one."""
     folder, _, name = path.rpartition("/")

@@ -15,7 +15,7 @@ from tabletransfer.session import delete_path, path_usage, unique_name
 from tabletransfer.sinks.catalog import (
     DISTRIBUTION, OWNED, drop_table, new_location, publish, set_properties, table_info,
 )
-from tabletransfer.sources.targets import Target, resolve, table_exists
+from tabletransfer.sources.targets import Target, resolve_table, table_exists
 
 APPEND, OVERWRITE, IGNORE, ERROR = "append", "overwrite", "ignore", "errorifexists"
 _MODES = {"append": APPEND, "overwrite": OVERWRITE, "ignore": IGNORE, "error": ERROR, "errorifexists": ERROR}
@@ -96,7 +96,7 @@ def write_table(
     """
     chosen = save_mode(mode)
     spark = df.sparkSession
-    target = resolve(spark, name, schemas)
+    target = resolve_table(spark, name, schemas)
     exists = table_exists(spark, target)
     started = time.monotonic()
     if exists and chosen == IGNORE:

@@ -99,6 +99,14 @@ def table_exists(spark: SparkSession, name: str | Target) -> bool:
     return spark.catalog.tableExists(target.sql_name)
 
 
+def resolve_table(spark: SparkSession, name: str, schemas: str | Sequence[str] | None = None) -> Target:
+    """The table to write: always in a schema, so a temporary view of that name is no match."""
+    target = resolve(spark, name, schemas)
+    if target.is_query:
+        raise ValueError(f"cannot write to a query: {name}")
+    return target.in_schema(spark.catalog.currentDatabase())
+
+
 def resolve(spark: SparkSession, name: str, schemas: str | Sequence[str] | None = None) -> Target:
     """Find ``name`` on the search path; the first hit wins.
 

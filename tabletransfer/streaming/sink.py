@@ -13,7 +13,7 @@ from tabletransfer.plans.scripts import run_undo, write_transfer
 from tabletransfer.session import unique_name
 from tabletransfer.sinks.catalog import OWNED, new_location
 from tabletransfer.sinks.tables import OVERWRITE, write_table
-from tabletransfer.sources.targets import Target, resolve, table_exists
+from tabletransfer.sources.targets import Target, resolve_table, table_exists
 
 EPOCH_COLUMN = "batch_id"
 
@@ -35,7 +35,7 @@ def _create_epoch_table(df: DataFrame, target: Target) -> None:
 def epoch_table(df: DataFrame, name: str, schemas=None) -> tuple[Target, T.StructType]:
     """The table for micro-batches like ``df`` and its columns; created if it is missing."""
     spark = df.sparkSession
-    target = resolve(spark, name, schemas)
+    target = resolve_table(spark, name, schemas)
     if not table_exists(spark, target):
         _create_epoch_table(df, target)
     stored = spark.table(target.sql_name).schema

@@ -146,6 +146,18 @@ def test_files(spark, tmp_path):
         write_text_rows(df, path, "errorifexists")
 
 
+def test_overwritten_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    df = spark.range(10)
+    write_text_rows(df, path, "overwrite")
+    with pytest.raises(Exception, match="boom"):
+        write_text_rows(df.select(F.raise_error(F.lit("boom")).cast("long").alias("id")), path, "overwrite")
+    assert read_text_rows(spark, path, "id long").count() == 10
+    write_text_rows(read_text_rows(spark, path, "id long").where("id < 4"), path, "overwrite")
+    assert read_text_rows(spark, path, "id long").count() == 4
+    assert [p.name for p in tmp_path.iterdir()] == ["rows"]
+
+
 def test_binary_longer_than_a_base64_line_survives_a_file(spark, tmp_path):
     df = spark.createDataFrame([(bytes(range(256)) * 4,)], "b binary")
     path = str(tmp_path / "rows")

@@ -230,6 +230,16 @@ def test_writes_of_another_session_are_seen(spark, db, orders):
     assert read_table(spark, f"{db}.t").collect() == mine.collect()
 
 
+def test_a_view_of_the_same_name_is_left_alone(spark, orders):
+    assert write_table(orders.limit(3), "orders", "overwrite").table == "`default`.`orders`"
+    assert write_table(orders.limit(2), "orders", "append").action == "appended"
+    assert spark.table("orders").count() == orders.count()
+    assert spark.table("default.orders").count() == 5
+    with pytest.raises(ValueError, match="query"):
+        write_table(orders, "select 1", "append")
+    spark.sql("DROP TABLE default.orders")
+
+
 def test_missing_table(spark):
     with pytest.raises(ValueError, match="no table"):
         read_table(spark, "no_such_table")
