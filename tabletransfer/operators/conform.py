@@ -106,7 +106,7 @@ def conform(df: DataFrame, target, on_loss: str = "error") -> DataFrame:
         if source is not None and on_loss == "error":
             raw = F.col(quote(source))
             message = F.concat(F.lit(f"column {name}: value does not fit the target: "), raw.cast("string"))
-            value = F.when(raw.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+            value = F.coalesce(value, F.when(raw.isNotNull(), F.raise_error(message)))
         out.append(value.alias(name))
     return df.select(*out)
 

@@ -59,8 +59,12 @@ def write_epoch(df: DataFrame, target: Target, columns: T.StructType, epoch: int
         spark.catalog.dropTempView(view)
 
 
-def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None) -> EpochSink:
-    """A sink that keeps a table: appended batches, or the whole result in complete mode."""
+def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None,
+               writers: int | None = None) -> EpochSink:
+    """A sink that keeps a table: appended batches, or the whole result in complete mode.
+
+    ``writers`` limits the tasks that write a batch, and so the number of its files.
+    """
     mode = _check_mode(stream_mode)
     if mode == "update":
         raise ValueError("update mode needs a script that says how to merge; a table takes append or complete")
@@ -69,14 +73,14 @@ def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None)
 
     def store(df: DataFrame, epoch: int) -> None:
         if mode == "complete":
-            write_table(df, name, OVERWRITE, schemas=schemas, undo=undo)
+            write_table(df, name, OVERWRITE, writers=writers, schemas=schemas, undo=undo)
             return
         try:
             if EPOCH_COLUMN in df.columns:
                 df = df.drop(EPOCH_COLUMN)
             if not found:
                 found.append(epoch_table(df, name, schemas))
-            write_epoch(df, *found[0], epoch)
+            write_epoch(df.coalesce(writers) if writers else df, *found[0], epoch)
         except Exception as error:
             run_undo(df.sparkSession, undo, error)
             raise
@@ -126,6 +130,7 @@ def write_stream(
     stream_mode: str = "append",
     schemas=None,
     undo=None,
+    writers: int | None = None,
     query_name: str | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
@@ -133,7 +138,7 @@ def write_stream(
     """Stream into a table (``name``) or through a script (``script``)."""
     if (name is None) == (script is None):
         raise ValueError("give either name= or script=")
-    sink = (table_sink(name, stream_mode, schemas, undo) if name
+    sink = (table_sink(name, stream_mode, schemas, undo, writers) if name
             else script_sink(script, stream_mode, undo))
     return start(df, sink, checkpoint, stream_mode, query_name or unique_name("transfer"),
                  available_now, processing_time)
