@@ -624,23 +624,27 @@ def text_bad_fields(spark, folder):
     return decode_rows(lines, "event_id bigint, props int", on_error="flag")
 
 
+def _as_utc(column):
+    """A zone-less time as the instant it names in UTC, whatever the session zone is."""
+    return F.concat(F.col(column).cast("string"), F.lit(" UTC")).cast("timestamp")
+
+
 @query("""
 SELECT event_id, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS local FROM events
 """)
 def tz_shift(spark, folder):
     (events,) = views(spark, folder, "events")
-    instant = F.expr("timestamp_micros(timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', ts))")
-    shifted = events.select("event_id", local_time(instant, "Asia/Irkutsk").cast("string").alias("local"))
+    shifted = events.select("event_id", local_time(_as_utc("ts"), "Asia/Irkutsk").cast("string").alias("local"))
     return shifted.select("event_id", pad_fraction(F.col("local")).alias("local"))
 
 
 @query("SELECT event_id, ts FROM events")
 def tz_text_roundtrip(spark, folder):
     (events,) = views(spark, folder, "events")
-    instants = events.select("event_id", F.to_utc_timestamp("ts", "UTC").alias("ts"))
+    instants = events.select("event_id", _as_utc("ts").alias("ts"))
     lines = encode_rows(instants, tz="Asia/Irkutsk")
     back = decode_rows(lines, instants.schema, tz="Asia/Irkutsk")
-    return back.select("event_id", F.col("ts").cast("timestamp_ntz"))
+    return back.select("event_id", local_time(F.col("ts"), "UTC").alias("ts"))
 
 
 # -- generated rows ----------------------------------------------------------------
