@@ -1,7 +1,8 @@
 """Time the headline transfers. Prints one JSON line.
 
-Every transfer runs twice and the better time counts, so that starting the JVM's
-compiled code and the Python workers is not part of it; ``first_run`` has the other.
+Every transfer runs ``RUNS`` times and the best time counts, as in a long-running
+application: compiling the JVM's code and starting Python workers are not part of it.
+``first_run`` has the time of the first run, which includes them.
 
 BENCH_SF_DIR: folder with the tables (default /root/testdata/sf0.1)
 BENCH_CPUS:   local cores (default 8)
@@ -30,6 +31,9 @@ from tabletransfer.streaming.sink import table_sink, write_stream  # noqa: E402
 from tabletransfer.streaming.source import read_stream_offsets  # noqa: E402
 
 
+RUNS = 5
+
+
 def drain(df):
     """Compute every row and column without keeping them."""
     df.write.format("noop").mode("overwrite").save()
@@ -79,7 +83,7 @@ def main():
 
     def measure(name, count, action, size=None):
         spent = []
-        for turn in range(2):
+        for turn in range(RUNS):
             started = time.perf_counter()
             action(turn)
             spent.append(round(time.perf_counter() - started, 3))
