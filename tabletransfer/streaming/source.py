@@ -166,19 +166,21 @@ class OffsetStreamReader(DataSourceStreamReader):
         self.order += [(max(g.high for g in self.groups[f]), f) for f in added if self.groups[f]]
         self.order.sort()
 
-    def _refresh(self) -> None:
-        """Read the footers of files that are new; files are taken to be immutable."""
-        new = [f for f in list_files(self.path) if f not in self.groups]
+    def _refresh(self) -> set[str]:
+        """Read the footers of new files, which are immutable; returns the files there are now."""
+        present = set(list_files(self.path))
+        new = [f for f in present if f not in self.groups]
         filesystem, _ = open_filesystem(self.path)
         with ThreadPoolExecutor(_READ_THREADS) as pool:
             read = lambda f: footer_groups(filesystem, f, self.column)
             for path, groups in zip(new, pool.map(read, new)):
                 self.groups[path] = groups
         self._sort(new)
+        return present
 
     def _newest(self) -> int | None:
-        self._refresh()
-        return self.order[-1][0] if self.order else None
+        present = self._refresh()
+        return next((high for high, path in reversed(self.order) if path in present), None)
 
     def initialOffset(self) -> dict:
         if self.starting == EARLIEST:
@@ -201,10 +203,12 @@ class OffsetStreamReader(DataSourceStreamReader):
             return slices
         if low is not None and high < low:
             raise ValueError(f"the newest offset went back from {low} to {high}")
-        self._refresh()
+        present = self._refresh()
         # Nothing is forgotten here: Spark may ask for an earlier range again.
         first = 0 if low is None else bisect_right(self.order, low, key=lambda entry: entry[0])
         for _, path in self.order[first:]:
+            if path not in present:
+                continue
             wanted: list[int] = []
             size = 0
             for group in self.groups[path]:
