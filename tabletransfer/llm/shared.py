@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one kernel call handles together; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 _U = np.uint64
 
@@ -66,24 +66,27 @@ def plain(df: DataFrame, *names: str) -> DataFrame:
 # --- bytes of texts ---------------------------------------------------------------
 
 
-def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, bounds) for runs of rows of about ``limit`` bytes.
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, bounds) for runs of at most ``rows`` rows and about ``limit`` bytes.
 
     ``bounds`` has one entry more than rows and starts at 0. Null counts as empty.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
+    if column.null_count:
+        column = column.fill_null("" if pa.types.is_string(column.type) else b"")
     n = len(column)
     if not n:
         return
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1]
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)
+    offsets = offsets[column.offset:column.offset + n + 1].astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
         end = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        end = min(max(end, first + 1), n)
+        end = min(max(end, first + 1), first + rows, n)
         yield first, end, data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
         first = end
 
