@@ -1,22 +1,53 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Every stage takes and returns all rows it does not reject. Documents whose id is null stay, and
+further columns are handed on; the last stage returns the packed pieces.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from tabletransfer.llm.decontaminate import remove_documents
 from tabletransfer.llm.minhash import near_duplicates
+from tabletransfer.llm.mixture import pack
+from tabletransfer.llm.quality import learn, score
+from tabletransfer.llm.repeats import remove_repeats
 from tabletransfer.llm.shared import keep
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts to be of quality 0 go."""
+    model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    low = score(docs, model).where("predicted = 0").select("doc_id").distinct()
+    return docs.join(low, "doc_id", "left_anti").select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that with the smallest id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    copies = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes and more that occur twice are cut out of the texts."""
+    return remove_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of the benchmark go."""
+    return remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all texts in sequences of 1024 tokens, sources in proportion."""
+    return pack(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("repeat_removal", repeat_removal),
+          ("decontamination", decontamination), ("packing", packing)]
 
-#: Classifier, suffix index and packing have no SQL form; the tests compare with brute force.
+#: Nearest neighbours, token ids and the like have no SQL form; the tests use brute force.
 ORACLE_SQL = None
 
 

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabletransfer.llm.decontaminate import contamination
+from tabletransfer.llm.language import languages
 from tabletransfer.llm.minhash import near_duplicates
+from tabletransfer.llm.mixture import pack
+from tabletransfer.llm.quality import quality_scores
+from tabletransfer.llm.repeats import repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +20,26 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash,)}
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(_table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash, op2_decontamination, op4_mixture_packing, op5_language, op6_repeats, op8_quality)}
 ORACLES: dict[str, str] = {}
