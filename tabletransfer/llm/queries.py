@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabletransfer.llm.bestfit import pack_matrix
 from tabletransfer.llm.decontaminate import contamination
+from tabletransfer.llm.hamming import search
 from tabletransfer.llm.language import languages
 from tabletransfer.llm.minhash import near_duplicates
 from tabletransfer.llm.mixture import pack
 from tabletransfer.llm.quality import quality_scores
 from tabletransfer.llm.repeats import repeats
+from tabletransfer.llm.rollups import maintained
+from tabletransfer.llm.shared import new_path
+from tabletransfer.llm.warc import round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +29,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_matrix(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
@@ -36,10 +45,23 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(_table(spark, sf_dir, "documents"))
 
 
+def op7_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), new_path(spark, "rollup"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages"), new_path(spark, "warc"))
+
+
+def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_minhash, op2_decontamination, op4_mixture_packing, op5_language, op6_repeats, op8_quality)}
+    op1_minhash, op2_decontamination, op3_bestfit_packing, op4_mixture_packing, op5_language, op6_repeats, op7_rollups,
+    op8_quality, op9_warc, op10_multi_index_hashing)}
 ORACLES: dict[str, str] = {}
