@@ -19,7 +19,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabletransfer.llm.shared import Rolling, keep, mix, plain, text_slices
 
@@ -283,8 +283,9 @@ def _bytes_batch(rows: list[tuple]) -> pa.RecordBatch:
         names=["minimizer", "content", "n", "bytes"])
 
 
-def _tagged(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("tag", F.xxhash64("text").bitwiseAND(F.lit(0x1FFFFF)))
+def _tag_of(text) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(text).bitwiseAND(F.lit(0x1FFFFF))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -292,7 +293,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     A range is ``low, high`` in bytes: windows start from ``low`` up to before ``high``.
     """
-    docs = _tagged(plain(docs, "doc_id", "text"))
+    docs = plain(docs, "doc_id", "text").withColumn("tag", _tag_of("text"))
     found = keep(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(
         _segmented, "doc_id long, place long, minimizer long, content long"), "segments")
     groups = found.groupBy("minimizer").agg(
@@ -362,9 +363,8 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_spans(docs: DataFrame) -> DataFrame:
     spans = repeated_spans(docs).select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), F.col("spans").alias("_spans"))
-    tagged = _tagged(docs)
-    same = tagged["doc_id"].eqNullSafe(F.col("_doc")) & (tagged["tag"] == F.col("_tag"))
-    return tagged.join(spans, same, "left")
+    same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (_tag_of(docs["text"]) == F.col("_tag"))
+    return docs.join(spans, same, "left")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
