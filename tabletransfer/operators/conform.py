@@ -40,6 +40,23 @@ def _fields(target) -> list[tuple[str, ExternalType]]:
     return [(n, external_type(t) if isinstance(t, str) else ExternalType(t)) for n, t in items]
 
 
+def _kept(col: Column, value: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    """Whether casting back gives the value again, where a cast may cut or round; else None.
+
+    Of binary floating-point numbers fifteen digits count.
+    """
+    if isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(target, T.DateType):
+        return value.cast(source) == col
+    if isinstance(target, (T.IntegralType, T.DecimalType)) and isinstance(source, (T.FloatType, T.DoubleType)):
+        digits = 1e-6 if isinstance(source, T.FloatType) else 1e-15
+        return F.abs(value.cast("double") - col.cast("double")) <= F.abs(col.cast("double")) * digits
+    if isinstance(source, T.DecimalType) and isinstance(target, T.IntegralType):
+        return value.cast(source) == col
+    if isinstance(source, T.DecimalType) and isinstance(target, T.DecimalType) and target.scale < source.scale:
+        return value == col
+    return None
+
+
 def _convert(col: Column, source: T.DataType, target: ExternalType) -> Column:
     """The value in the target's type, or null where it does not fit."""
     if target.kind in ("bit", "varbit"):
@@ -55,7 +72,9 @@ def _convert(col: Column, source: T.DataType, target: ExternalType) -> Column:
     if target.kind is None:
         if isinstance(source, T.StringType) and isinstance(target.spark_type, T.BinaryType):
             return F.try_to_binary(col, F.lit("base64"))
-        return col.try_cast(target.spark_type)
+        value = col.try_cast(target.spark_type)
+        kept = _kept(col, value, source, target.spark_type)
+        return value if kept is None else F.when(kept, value)
     text = col.cast("string")
     if target.kind == "uuid":
         return F.when(is_uuid(text), text)
@@ -96,7 +115,9 @@ def conform(df: DataFrame, target, on_loss: str = "error") -> DataFrame:
 
     ``target`` is a ``StructType`` or a mapping of column → type name of the external
     database (``uuid``, ``varchar(10)``, ``bit(4)``, ``json``, ``timestamptz`` …).
-    Target columns that ``df`` lacks become null. A value that does not fit fails the
+    Target columns that ``df`` lacks become null. Nothing is rounded or cut: a number whose
+    fraction the target cannot hold and a time of day that becomes a date do not fit; round
+    before, where that is wanted. A value that does not fit fails the
     job (``on_loss="error"``) or becomes null (``"null"``, see ``conform_losses``).
     """
     if on_loss not in ("error", "null"):

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
@@ -18,8 +19,6 @@ from typing import Any
 
 from pyspark.sql import Column, functions as F
 
-from tabletransfer.sources.targets import quote
-
 _COMPARE = {"eq": "=", "gt": ">", "ge": ">=", "lt": "<", "le": "<="}
 _LIKE = {"starts_with": ("", "%"), "ends_with": ("%", ""), "contains": ("%", "%")}
 _SPARK_MATCH = {"starts_with": "startswith", "ends_with": "endswith", "contains": "contains"}
@@ -30,13 +29,35 @@ def spark_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_NAME_PART = re.compile(r'"(?P<dq>(?:[^"]|"")+)"|`(?P<bq>(?:[^`]|``)+)`|(?P<plain>[^."`][^.]*)')
+
+
+def name_parts(name: str) -> list[str]:
+    """Parts of a possibly dotted name; a part in double quotes or back-ticks may hold dots and is taken as it is."""
+    parts, at = [], 0
+    while True:
+        match = _NAME_PART.match(name, at)
+        if not match:
+            raise ValueError(f"not a column name: {name!r}")
+        if match["dq"] is not None:
+            parts.append(match["dq"].replace('""', '"'))
+        elif match["bq"] is not None:
+            parts.append(match["bq"].replace("``", "`"))
+        else:
+            parts.append(match["plain"])
+        at = match.end()
+        if at == len(name):
+            return parts
+        if name[at] != ".":
+            raise ValueError(f"not a column name: {name!r}")
+        at += 1
+
+
 def identifier(name: str, dialect: str = "spark") -> str:
-    """Quote a possibly dotted name, one part at a time. Quoted names stay as they are."""
-    if name[:1] in ('"', "`"):
-        return name
+    """Quote a possibly dotted name in the way of the dialect, one part at a time."""
     if dialect == "spark":
-        return ".".join(quote(p) for p in name.split("."))
-    return ".".join('"' + p.replace('"', '""') + '"' for p in name.split("."))
+        return ".".join("`" + p.replace("`", "``") + "`" for p in name_parts(name))
+    return ".".join('"' + p.replace('"', '""') + '"' for p in name_parts(name))
 
 
 def literal(value: Any, dialect: str = "spark") -> str:

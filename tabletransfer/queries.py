@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tabletransfer.api import load, save, stream
 from tabletransfer.functions.points import ewkb_to_text, point_to_ewkb
 from tabletransfer.functions.udfs import get_batch_id, register_udfs
-from tabletransfer.functions.values import base64_text, bit_text, bool_from_text, is_json, is_uuid
+from tabletransfer.functions.values import base64_text, bit_text, bool_from_text, is_ewkb_hex, is_json, is_uuid
 from tabletransfer.operators.conform import conform, conform_losses
 from tabletransfer.operators.textrows import (
     LOSSLESS_NULL, decode_rows, encode_rows, local_time, pad_fraction, read_text_rows, write_text_rows,
@@ -136,13 +136,8 @@ def count_no_columns(spark, folder):
     return read_table(spark, "lineitem").select().agg(F.count(F.lit(1)).alias("n"))
 
 
-_COUNTS = """
-SELECT '1: ' || count(1) AS counted FROM orders
-UNION ALL SELECT '2: ' || count(1) FROM customer
-UNION ALL SELECT '3: ' || count(1) FROM lineitem
-UNION ALL SELECT '4: ' || count(1) FROM events
-ORDER BY 1
-"""
+_COUNTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}" for name in ("customer", "events", "lineitem", "orders"))
 
 
 @query(_COUNTS)
@@ -174,13 +169,14 @@ def search_path_read(spark, folder):
     return read_table(spark, "found_here", schemas=f"{first}, {second}")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders")
+@query("SELECT o_orderkey, o_custkey, ((o_custkey % 4) + 4) % 4 AS part, 1 AS times FROM orders")
 def key_parts_read(spark, folder):
-    """The partition conditions of a parallel read from a database, here over a Spark table."""
+    """The partition conditions of a parallel read from a database, all in one scan of a Spark table."""
     (orders,) = views(spark, folder, "orders")
-    parts = [read_table(spark, "orders", filters=F.expr(p.replace('"', "`")))
-             for p in modulo_predicates("o_custkey", 4)]
-    return reduce(DataFrame.union, parts).select("o_orderkey", "o_custkey")
+    of = [F.expr(p.replace('"', "`")) for p in modulo_predicates("o_custkey", 4)]
+    part = F.coalesce(*[F.when(condition, i) for i, condition in enumerate(of)])
+    times = reduce(lambda a, b: a + b, [F.coalesce(condition, F.lit(False)).cast("int") for condition in of])
+    return read_table(spark, "orders").select("o_orderkey", "o_custkey", part.alias("part"), times.alias("times"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_totalprice > 5000")
@@ -214,6 +210,17 @@ def filter_tree(spark, folder):
     return read_table(spark, "orders", filters=keep).drop("o_orderdate")
 
 
+@query("SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'O' AND o_custkey > 20")
+def filter_quoted_names(spark, folder):
+    """Names in double quotes, with dots, in a script and in a scan."""
+    (orders,) = views(spark, folder, "orders")
+    orders.selectExpr("o_orderstatus AS `Order.Status`", "o_custkey AS `Key`").createOrReplaceTempView("quoted_orders")
+    keep = eq('"Order.Status"', "O") & gt('"Key"', 20)
+    by_script = read_transfer(spark, "INSERT INTO <ext_table> SELECT * FROM quoted_orders WHERE <pushed_filters>", filters=keep)
+    by_scan = spark.table("quoted_orders").where(keep.column())
+    return by_script.intersectAll(by_scan).agg(F.count("*").alias("n"))
+
+
 @query("""
 SELECT event_id, user_id FROM events
 WHERE ts >= TIMESTAMP '2024-01-10 06:30:00.5' AND ts < DATE '2024-01-20' AND event_type = 'view'
@@ -499,16 +506,20 @@ def conform_types(spark, folder):
 @query("""
 SELECT count(*) FILTER (length(o_orderpriority) > 5) AS priority,
        count(*) FILTER (o_orderkey > 127) AS k, 0::BIGINT AS bits,
-       count(o_orderstatus) AS status
+       count(o_orderstatus) AS status, count(*) FILTER (o_orderkey % 4 <> 0) AS fraction,
+       count(*) FILTER (o_orderkey * 125 % 100 <> 0) AS scale, count(*) FILTER (o_orderkey % 2 = 1) AS moment
 FROM orders
 """)
 def conform_loss_counts(spark, folder):
     (orders,) = views(spark, folder, "orders")
     source = orders.select(
         F.col("o_orderpriority").alias("priority"), F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("bits"), F.col("o_orderstatus").alias("status"))
+        F.col("o_custkey").alias("bits"), F.col("o_orderstatus").alias("status"),
+        (F.col("o_orderkey") / 4).alias("fraction"), (F.col("o_orderkey") / 8).cast("decimal(18,3)").alias("scale"),
+        F.timestamp_seconds(F.col("o_orderkey") * 43200).alias("moment"))
     return conform_losses(source, [
-        ("priority", "varchar(5)"), ("k", T.ByteType()), ("bits", "varbit"), ("status", "uuid")])
+        ("priority", "varchar(5)"), ("k", T.ByteType()), ("bits", "varbit"), ("status", "uuid"),
+        ("fraction", "integer"), ("scale", "decimal(18,1)"), ("moment", "date")])
 
 
 @query("SELECT n_nationkey, bin(n_nationkey) AS bits FROM nation UNION ALL SELECT o_custkey, bin(o_custkey) FROM orders")
@@ -651,22 +662,25 @@ def tz_text_roundtrip(spark, folder):
 
 
 @query("""
-SELECT s * 5 + n AS id, n::INTEGER AS seq_n, (s * 5 + n) // 5 + 1 AS offset_id, '0000000000' AS payload
-FROM (SELECT count(*) AS s FROM orders) a, range(1, (SELECT count(*) * 5 + 1 FROM events)) r(n)
+WITH span AS (SELECT min(event_id) - 1 AS low, max(event_id) AS high, count(*) * 2 AS n FROM events),
+made AS (SELECT k AS seq_n, low + 1 + ((k - 1) * (high - low)) // n AS offset_id FROM span, range(1, n + 1) r(k))
+SELECT e.event_id, e.event_type, m.seq_n::INTEGER AS seq_n FROM events e JOIN made m ON m.offset_id = e.event_id
 """)
 def generate_rows(spark, folder):
-    orders, events = views(spark, folder, "orders", "events")
-    first, offsets = orders.count(), events.count()
-    return generate(spark, first, first + offsets, offsets * 5, 10).drop("gen_ts")
+    """Two generated rows per offset of a table, next to the table's rows."""
+    (events,) = views(spark, folder, "events")
+    low, high, n = events.agg(F.min("event_id") - 1, F.max("event_id"), F.count("*") * 2).head()
+    made = generate(spark, low, high, n, 10)
+    return events.join(made, events.event_id == made.offset_id).select("event_id", "event_type", "seq_n")
 
 
-@query("SELECT (o_orderkey % 2 = 1) AS mv, count(*) AS n FROM (SELECT row_number() OVER () - 1 AS o_orderkey FROM orders) GROUP BY 1")
+@query("SELECT o_orderkey AS seq_no, o_orderkey % 2 = 1 AS mv FROM orders")
 def uuid_table(spark, folder):
     (orders,) = views(spark, folder, "orders")
     db = scratch_database(spark)
-    write_table(uuid_rows(spark, orders.count(), points=True), f"{db}.uuid_seq", "append")
-    stored = read_table(spark, f"{db}.uuid_seq").where(is_uuid(F.col("id")))
-    return stored.groupBy("mv").agg(F.count("*").alias("n"))
+    write_table(uuid_rows(orders, "o_orderkey", points=True), f"{db}.uuid_seq", "append")
+    stored = read_table(spark, f"{db}.uuid_seq").where(is_uuid(F.col("id")) & is_ewkb_hex(F.col("gps_point")))
+    return stored.select("seq_no", "mv")
 
 
 # -- streams -----------------------------------------------------------------------
@@ -695,6 +709,20 @@ SELECT CASE WHEN event_id <= (SELECT max(event_id) * 4 // 10 FROM events) THEN 0
 """
 
 
+@query("SELECT event_id, user_id FROM events")
+def stream_many_files(spark, folder):
+    """The events in over 300 files, some of which arrive while the stream is set up already."""
+    db = scratch_database(spark)
+    path = f"{scratch_of(spark, db)}/many"
+    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "user_id")
+    half = _newest(spark, folder) // 2
+    events.where(F.col("event_id") <= half).repartition(160, "event_id").write.parquet(path)
+    rows = read_stream_offsets(spark, path, "event_id", starting="earliest")
+    events.where(F.col("event_id") > half).repartition(160, "event_id").write.mode("append").parquet(path)
+    write_stream(rows, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target", available_now=True).awaitTermination()
+    return read_table(spark, f"{db}.target").select("event_id", "user_id")
+
+
 @query(_THREE_ENDS)
 def stream_ranges(spark, folder):
     db = scratch_database(spark)
@@ -874,8 +902,11 @@ def batch_id_column(spark, folder):
             .agg(F.count("*").alias("n"), (F.min("delay_s") > 0).alias("delayed")))
 
 
-@query()
+@query("SELECT count(*) AS n, true AS several, true AS later, 'tabletransfer v0.1.0' AS version FROM lineitem")
 def row_timestamp_column(spark, folder):
-    (orders,) = views(spark, folder, "orders")
+    (lineitem,) = views(spark, folder, "lineitem")
     register_udfs(spark)
-    return orders.selectExpr("o_orderkey", "getRowTimestamp() AS seen_at", "transferVersion() AS version")
+    before = dt.datetime.now(dt.timezone.utc)
+    stamped = lineitem.selectExpr("getRowTimestamp() AS seen_at", "transferVersion() AS version")
+    return stamped.groupBy("version").agg(
+        F.count("*").alias("n"), (F.countDistinct("seen_at") > 1).alias("several"), (F.min("seen_at") >= F.lit(before)).alias("later"))

@@ -15,7 +15,9 @@ from tabletransfer.session import delete_path, path_usage, unique_name
 from tabletransfer.sinks.catalog import (
     DISTRIBUTION, OWNED, drop_table, new_location, publish, set_properties, table_info,
 )
-from tabletransfer.sources.targets import Target, resolve_table, table_exists
+from tabletransfer.sources.targets import Target, quote, resolve_table, table_exists
+
+_BUCKET = "_transfer_bucket"
 
 APPEND, OVERWRITE, IGNORE, ERROR = "append", "overwrite", "ignore", "errorifexists"
 _MODES = {"append": APPEND, "overwrite": OVERWRITE, "ignore": IGNORE, "error": ERROR, "errorifexists": ERROR}
@@ -51,14 +53,19 @@ def _arrange(df: DataFrame, dist: Distribution | None, buckets: int | None,
     tables are clustered first, otherwise every task would write a file per bucket or
     partition value; hot values are split by Spark at run time.
     """
+    if dist and dist.kind == BY_KEY and partition_by:
+        # Rows of one partition value and bucket go together, as they will be in one file.
+        spread_on = df.withColumn(_BUCKET, F.pmod(F.hash(*[F.col(quote(c)) for c in dist.columns]), F.lit(buckets)))
+        return spread(spread_on, [*partition_by, _BUCKET]).drop(_BUCKET)
     if dist and dist.kind == BY_KEY:
-        return spread(df, [*partition_by, *dist.columns] if partition_by else dist.columns, buckets)
+        return spread(df, dist.columns, buckets)
     if dist and dist.kind in (RANDOMLY, REPLICATED):
         return spread(df, parts=writers)
     if partition_by and cluster:
         return spread(df, partition_by, writers)
     if writers:
-        return df.coalesce(writers)
+        # A shuffle of its own: what comes before keeps its number of tasks.
+        return df.repartition(writers)
     return df
 
 

@@ -35,7 +35,7 @@ def jdbc_options(spark: SparkSession, options: TransferOptions) -> dict[str, str
 def modulo_predicates(column: str, n: int) -> list[str]:
     """``n`` conditions that put every row into exactly one part, null and negative keys too."""
     name = identifier(column, "ansi")
-    parts = [f"MOD(ABS({name}), {n}) = {i}" for i in range(n)]
+    parts = [f"MOD(MOD({name}, {n}) + {n}, {n}) = {i}" for i in range(n)]
     parts[0] = f"({parts[0]} OR {name} IS NULL)"
     return parts
 

@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import logging
 from collections.abc import Callable
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tabletransfer.plans.scripts import read_transfer
@@ -22,48 +21,63 @@ from tabletransfer.session import path_exists, unique_name, write_note
 from tabletransfer.sources.targets import refresh_tables
 from tabletransfer.streaming.sink import EpochSink, start
 
-log = logging.getLogger(__name__)
-
 LATEST, EARLIEST = "latest", "earliest"
 
 # Fixed value: how often the position is polled when the caller sets no trigger.
 DEFAULT_POLL = "100 milliseconds"
 
-# The ledger keeps this many ranges; older ones are overwritten in turn.
-_SLOTS = 64
+# The ledger keeps at least so many ranges, and more where Spark's checkpoint keeps more
+# batches; older ones are overwritten in turn.
+_LEAST_SLOTS = 128
+_RETAINED = "spark.sql.streaming.minBatchesToRetain"
 
 Source = Callable[[SparkSession, str | None, str, int], DataFrame]
 
 
 @dataclass(frozen=True)
 class Range:
-    """One noted batch: rows after ``start`` up to ``end``. ``epoch`` -1 is the start mark."""
+    """One noted batch: rows after ``start`` up to ``end``. ``epoch`` -1 is the start mark.
+
+    ``stored`` says that the rows are in the sink and only ``offset_update`` is left to do.
+    """
 
     tick: int
     epoch: int
     start: str | None
     end: str | None
+    stored: bool | None = False
 
 
 class Ledger:
-    """A few small files with one range each, in the checkpoint folder."""
+    """Small files with one range each, in the checkpoint folder; a bounded number of them.
 
-    SCHEMA = "tick long, epoch long, start string, end string"
+    Ranges are found by their tick, so a checkpoint that is set back by several ticks finds the
+    range of each.
+    """
+
+    SCHEMA = "tick long, epoch long, start string, end string, stored boolean"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        self.last = self._read_last()
+        self.slots = max(_LEAST_SLOTS, int(spark.conf.get(_RETAINED)) + 1)
+        self.entries: dict[int, Range] = {}
+        if path_exists(spark, path):
+            rows = spark.read.schema(self.SCHEMA).json(path).collect()
+            self.entries = {entry.epoch: entry for entry in (Range(*row) for row in rows)}
+
+    @property
+    def last(self) -> Range | None:
+        return self.entries[max(self.entries)] if self.entries else None
 
-    def _read_last(self) -> Range | None:
-        if not path_exists(self.spark, self.path):
-            return None
-        row = self.spark.read.schema(self.SCHEMA).json(self.path).orderBy(F.desc("epoch")).head()
-        return Range(*row) if row else None
+    def at(self, tick: int) -> Range | None:
+        """The range that was noted for a tick, if it was a batch."""
+        return next((e for e in self.entries.values() if e.tick == tick and e.epoch >= 0), None)
 
     def note(self, entry: Range) -> None:
-        write_note(self.spark, f"{self.path}/{entry.epoch % _SLOTS}.json", json.dumps(asdict(entry)))
-        self.last = entry
+        write_note(self.spark, f"{self.path}/{entry.epoch % self.slots}.json", json.dumps(asdict(entry)))
+        self.entries.pop(entry.epoch - self.slots, None)
+        self.entries[entry.epoch] = entry
 
 
 def current_offset(spark: SparkSession, offset_select: str | None) -> str | None:
@@ -114,8 +128,9 @@ def stream_transfer(
     (start is ``[null]``) or a JSON position.
 
     After a batch is stored, ``offset_update`` gets its end position: DML with one ``?``
-    or a callable. With ``autocommit=False`` it belongs to the batch: if it fails, the
-    batch is run again after a restart. With ``True`` a failure there is not repeated.
+    or a callable. If it fails, so does the query. After a restart, with ``autocommit=False`` the
+    whole batch is run again, because the update belongs to it; with ``True`` its rows count
+    as stored, and only the update is repeated.
     """
     rows_of = script_source(source, schema, filters) if isinstance(source, str) else source
     ledger_path = f"{checkpoint}/ranges"
@@ -143,22 +158,23 @@ def stream_transfer(
             ledger.note(first_range(session, tick))
             if starting == LATEST:
                 return
-        entry = ledger.last
-        replay = entry.epoch >= 0 and entry.tick == tick
-        if not replay:
+        entry = ledger.at(tick)
+        if entry is None:
+            entry = ledger.last
             end = current_offset(session, offset_select)
             if end is None or same_offset(entry.end, end):
                 return
             entry = Range(tick, entry.epoch + 1, entry.end, end)
             ledger.note(entry)
-        sink(rows_of(session, entry.start, entry.end, entry.epoch), entry.epoch)
-        if not autocommit:
+        if not entry.stored:
+            sink(rows_of(session, entry.start, entry.end, entry.epoch), entry.epoch)
+        try:
             update(session, entry.end)
-        else:
-            try:
-                update(session, entry.end)
-            except Exception:
-                log.warning("offset_update failed for %s", entry.end, exc_info=True)
+        except Exception as error:
+            if not autocommit:
+                raise
+            ledger.note(replace(entry, stored=True))
+            raise RuntimeError(f"rows up to {entry.end} are stored, but offset_update failed") from error
 
     ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
     return start(ticks, run, checkpoint, "append", query_name or unique_name("transfer"),

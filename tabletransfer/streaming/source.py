@@ -1,9 +1,10 @@
 """A micro-batch source over parquet files, driven by an ordered offset column.
 
 Each micro-batch holds the rows with ``start < offset <= end``. The newest position
-comes from parquet footers, and footers are read once per file, so a poll costs one
-listing plus the footers of new files. The footers of a large folder are read by a
-Spark job when the stream is set up. Row groups outside the range are never read.
+comes from parquet footers, and footers are read once per file: those of the files that are
+there when the stream is set up by a Spark job, those of later files with the poll that finds
+them. A poll costs one listing plus the footers of new files. Row groups outside the range are
+never read. A file with rows of the range that is gone fails the batch.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from tabletransfer.session import scratch_path
+from tabletransfer.session import hadoop_path, scratch_path
 from tabletransfer.sinks.catalog import table_info
 
 SOURCE_NAME = "transfer_offsets"
@@ -28,8 +29,8 @@ LATEST, EARLIEST = "latest", "earliest"
 
 _READ_THREADS = 16
 _BATCH_ROWS = 65_536
-# From this many files on, footers are read by a Spark job before the stream starts.
-_FOOTER_JOB_FILES = 256
+# Footers that a task of the set-up job reads.
+_FOOTERS_PER_TASK = 256
 
 # Fixed value: Spark's folder name for a null partition value.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -53,6 +54,7 @@ class RowGroup:
     low: int
     high: int
     size: int
+    rows: int
 
 
 @dataclass
@@ -69,19 +71,21 @@ def open_filesystem(path: str):
     """(file system, path inside it); both ends of a path in the cluster's shared storage."""
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
         return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return fs.LocalFileSystem(), path
 
 
 def list_files(path: str) -> list[str]:
-    """Data files below ``path``; names that start with ``_`` or ``.`` are not data."""
+    """Data files below ``path``; names that start with ``_`` or ``.`` are not data. A missing folder is an error."""
     from pyarrow import fs
 
     filesystem, root = open_filesystem(path)
     if filesystem.get_file_info(root).type == fs.FileType.File:
         return [root]
-    found = filesystem.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+    found = filesystem.get_file_info(fs.FileSelector(root, recursive=True))
     inside = lambda p: p[len(root):].strip("/").split("/")
     return [f.path for f in found
             if f.type == fs.FileType.File and not any(s.startswith(("_", ".")) for s in inside(f.path))]
@@ -109,7 +113,7 @@ def footer_groups(filesystem, path: str, column: str) -> list[RowGroup]:
         group = meta.row_group(i)
         stats = group.column(position).statistics
         if stats is not None and stats.has_min_max:
-            groups.append(RowGroup(i, _plain(stats.min), _plain(stats.max), group.total_byte_size))
+            groups.append(RowGroup(i, _plain(stats.min), _plain(stats.max), group.total_byte_size, group.num_rows))
         elif group.num_rows and not (stats is not None and stats.null_count == group.num_rows):
             raise ValueError(
                 f"{path} has no statistics for {column}, so its newest offset is unknown; timestamps "
@@ -123,15 +127,15 @@ def write_footers(spark: SparkSession, path: str, column: str, files: list[str])
     def ranges(batches):
         filesystem, _ = open_filesystem(path)
         for batch in batches:
-            rows = [(f, g.index, g.low, g.high, g.size)
+            rows = [(f, g.index, g.low, g.high, g.size, g.rows)
                     for f in batch["path"] for g in footer_groups(filesystem, f, column)]
-            yield pd.DataFrame(rows, columns=["path", "index", "low", "high", "size"])
+            yield pd.DataFrame(rows, columns=["path", "index", "low", "high", "size", "rows"])
 
     out = scratch_path(spark, "footers")
-    names = spark.createDataFrame(pd.DataFrame({"path": files}))
-    parts = -(-len(files) // _FOOTER_JOB_FILES)
+    names = spark.createDataFrame(pd.DataFrame({"path": files}, dtype="object"), "path string")
+    parts = max(1, -(-len(files) // _FOOTERS_PER_TASK))
     (names.repartition(parts, "path")
-     .mapInPandas(ranges, "path string, index int, low long, high long, size long").write.parquet(out))
+     .mapInPandas(ranges, "path string, index int, low long, high long, size long, rows long").write.parquet(out))
     return out
 
 
@@ -143,44 +147,68 @@ class OffsetStreamReader(DataSourceStreamReader):
         ending = options.get("ending")
         self.ending = None if ending is None else json.loads(ending)
         self.split_bytes = int(options.get("split_bytes", 128 << 20))
+        self.fail_on_data_loss = options.get("fail_on_data_loss", "true").lower() == "true"
+        self.footers = options.get("footers")
         self.schema = schema
+        self._forget()
+
+    def _forget(self) -> None:
         self.groups: dict[str, list[RowGroup]] = {}
         self.order: list[tuple[int, str]] = []  # (newest offset, file), sorted
-        if options.get("footers"):
-            self._load_footers(options["footers"])
+        self.present: set[str] | None = None  # the files of the newest listing
+        self.seen: dict[str, int] = {}  # the listing that a file came with
+        self.listings = 0
+
+    def __getstate__(self):
+        """Tasks get the options, not the footers."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("groups", "order", "present", "seen")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
 
     # -- driver side -------------------------------------------------------------
 
     def _load_footers(self, folder: str) -> None:
-        """Take over what the footer job found."""
+        """Take over what the footer job found, and delete it."""
         import pyarrow.parquet as pq
+        from pyarrow import fs
 
-        filesystem, _ = open_filesystem(folder)
+        filesystem, root = open_filesystem(folder)
+        if filesystem.get_file_info(root).type == fs.FileType.NotFound:
+            return
         for part in list_files(folder):
             for row in pq.read_table(part, filesystem=filesystem, partitioning=None).to_pylist():
-                group = RowGroup(row["index"], row["low"], row["high"], row["size"])
+                group = RowGroup(row["index"], row["low"], row["high"], row["size"], row["rows"])
                 self.groups.setdefault(row["path"], []).append(group)
         self._sort(list(self.groups))
+        filesystem.delete_dir(root)
 
     def _sort(self, added: list[str]) -> None:
         self.order += [(max(g.high for g in self.groups[f]), f) for f in added if self.groups[f]]
         self.order.sort()
 
-    def _refresh(self) -> set[str]:
-        """Read the footers of new files, which are immutable; returns the files there are now."""
-        present = set(list_files(self.path))
-        new = [f for f in present if f not in self.groups]
+    def _refresh(self) -> None:
+        """List the files and read the footers of new ones, which are immutable."""
+        if self.footers:
+            self._load_footers(self.footers)
+            self.footers = None
+        self.present = set(list_files(self.path))
+        new = [f for f in self.present if f not in self.groups]
+        self.listings += 1
+        for path in self.present:
+            self.seen.setdefault(path, self.listings)
         filesystem, _ = open_filesystem(self.path)
         with ThreadPoolExecutor(_READ_THREADS) as pool:
             read = lambda f: footer_groups(filesystem, f, self.column)
             for path, groups in zip(new, pool.map(read, new)):
                 self.groups[path] = groups
         self._sort(new)
-        return present
 
     def _newest(self) -> int | None:
-        present = self._refresh()
-        return next((high for high, path in reversed(self.order) if path in present), None)
+        """The newest offset that was ever seen, so the position does not go back when files go."""
+        self._refresh()
+        return self.order[-1][0] if self.order else None
 
     def initialOffset(self) -> dict:
         if self.starting == EARLIEST:
@@ -203,17 +231,21 @@ class OffsetStreamReader(DataSourceStreamReader):
             return slices
         if low is not None and high < low:
             raise ValueError(f"the newest offset went back from {low} to {high}")
-        present = self._refresh()
+        if self.present is None:
+            self._refresh()
         # Nothing is forgotten here: Spark may ask for an earlier range again.
         first = 0 if low is None else bisect_right(self.order, low, key=lambda entry: entry[0])
         for _, path in self.order[first:]:
-            if path not in present:
+            groups = [g for g in self.groups[path] if g.low <= high and (low is None or g.high > low)]
+            if groups and path not in self.present:
+                if self.fail_on_data_loss and not self._replaced(path, groups):
+                    raise FileNotFoundError(
+                        f"{path} held rows after {low} up to {high} and is gone; with fail_on_data_loss=False "
+                        "such rows are left out")
                 continue
             wanted: list[int] = []
             size = 0
-            for group in self.groups[path]:
-                if group.low > high or (low is not None and group.high <= low):
-                    continue
+            for group in groups:
                 if wanted and size + group.size > self.split_bytes:
                     slices.append(OffsetSlice(path, wanted, low, high))
                     wanted, size = [], 0
@@ -223,6 +255,13 @@ class OffsetStreamReader(DataSourceStreamReader):
                 slices.append(OffsetSlice(path, wanted, low, high))
         return slices
 
+    def _replaced(self, path: str, groups: list[RowGroup]) -> bool:
+        """Whether files that came later hold as many rows of a file that is gone, as after merging files."""
+        low, high = min(g.low for g in groups), max(g.high for g in groups)
+        later = [f for f in self.present if self.seen[f] > self.seen.get(path, 0)]
+        held = sum(g.rows for f in later for g in self.groups[f] if g.low <= high and g.high >= low)
+        return held >= sum(g.rows for g in groups)
+
     def commit(self, end: dict) -> None:
         """Nothing to release. See ``offset_update`` for telling others."""
 
@@ -281,6 +320,7 @@ def read_stream_offsets(
     ending: object = None,
     schema: T.StructType | None = None,
     split_bytes: int = 128 << 20,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Stream the rows of a parquet folder, or of an append-only table, by ``offset_col``.
 
@@ -289,12 +329,18 @@ def read_stream_offsets(
     document ``{"offset": value}``. ``ending`` is the last offset to read in this run.
     The offset is a whole number, a date (days) or a timestamp (microseconds). Rows
     whose offset is null belong to no range and are never read. Only ``columns`` are
-    read from the files.
+    read from the files. A file that vanishes before its rows were read fails the stream;
+    with ``fail_on_data_loss=False`` its rows are left out instead.
     """
     if "/" in source:
         path, stored = source, schema or spark.read.parquet(source).schema
     else:
         path, stored = table_info(spark, source).location, spark.table(source).schema
+    # The same file for all processes, whatever the default file system is.
+    filesystem, jvm_path = hadoop_path(spark, path)
+    if not filesystem.exists(jvm_path):
+        raise FileNotFoundError(f"no folder {path}")
+    path = filesystem.makeQualified(jvm_path).toString()
     schema = schema or stored
     if offset_col in schema.names and not isinstance(schema[offset_col].dataType, _OFFSET_TYPES):
         raise ValueError(f"{offset_col} is no whole number, date or timestamp")
@@ -305,10 +351,9 @@ def read_stream_offsets(
         spark.readStream.format(SOURCE_NAME).schema(schema)
         .option("path", path).option("offset_col", offset_col)
         .option("starting", starting).option("split_bytes", str(split_bytes))
+        .option("fail_on_data_loss", str(fail_on_data_loss).lower())
+        .option("footers", write_footers(spark, path, offset_col, list_files(path)))
     )
-    files = list_files(path)
-    if len(files) >= _FOOTER_JOB_FILES:
-        reader = reader.option("footers", write_footers(spark, path, offset_col, files))
     if ending is not None:
         reader = reader.option("ending", json.dumps(_plain(ending)))
     return reader.load()

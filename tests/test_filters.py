@@ -52,7 +52,16 @@ def test_no_filter_is_true():
 def test_ansi_text():
     assert contains("a.b", "5%_!").sql("ansi") == "(\"a\".\"b\" LIKE '%5!%!_!!%' ESCAPE '!')"
     assert eq("q", "it's").sql("ansi") == "(\"q\" = 'it''s')"
-    assert identifier('"kept"') == '"kept"'
+    assert identifier('"a.b".c') == "`a.b`.`c`" and identifier("`x`", "ansi") == '"x"'
+    assert identifier('"say ""hi"""', "ansi") == '"say ""hi"""'
+    with pytest.raises(ValueError, match="not a column name"):
+        identifier('a."b')
+
+
+def test_quoted_name_is_a_column(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "Name")], "k int, Name string")
+    assert [r.k for r in df.where(eq('"Name"', "x").column()).collect()] == [1]
+    assert [r.k for r in df.where(eq('"Name"', "x").sql()).collect()] == [1]
 
 
 @pytest.mark.parametrize("value, sql_type", [
