@@ -1,8 +1,9 @@
 """Rows to and from delimited text, as native column expressions.
 
 One row is one line: fields separated by a delimiter (TAB), a token for null, and
-backslash escapes for the characters that would break the line apart. Everything here
-stays inside generated code; no Python runs per row.
+backslash escapes for the characters that would break the line apart. Everything here is
+column expressions; no Python runs per row. Only writing with ``ascii_only`` leaves
+generated code.
 """
 
 from __future__ import annotations
@@ -21,9 +22,6 @@ LOSSLESS_NULL = "\\N"      # cannot be the text of any string, because backslash
 
 # Characters and their escapes, backslash first.
 _ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
-# Further escapes that are understood when reading.
-_READ_ESCAPES = (("\b", "\\b"), ("\f", "\\f"), ('"', '\\"'), ("'", "\\'"), ("/", "\\/"))
-
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -46,61 +44,24 @@ def escape_text(col: Column, delimiter: str = "\t", ascii_only: bool = False) ->
     return col
 
 
-def _park(col: Column, mark: str = "\n") -> Column:
-    """Put a mark where an escaped backslash stands.
+def unescape_text(col: Column, delimiter: str = "\t") -> Column:
+    """Reverse of ``escape_text``, ``\\uXXXX`` included; null where an escape has no meaning.
 
-    From here on every backslash starts an escape, which makes plain replacement exact.
-    The default mark is a line feed: a raw one ends a line, so none can be inside.
+    Strings without a backslash pass untouched. The escapes of others are those of a JSON string, so
+    Spark's JSON reader takes them back, in generated code. What differs is put right before: quotes
+    and delimiters. Escaped backslashes are marked by line feeds meanwhile, which end a line and so
+    cannot be inside. That reader takes strings of up to 20 million characters; a longer one with
+    escapes counts as not readable.
     """
-    return F.replace(col, F.lit("\\\\"), F.lit(mark))
-
+    return F.when(~col.contains("\\"), col).otherwise(_unescaped(col, delimiter))
 
-def _unicode_decoded(col: Column) -> Column:
-    """Text of ``\\uXXXX`` escapes, through the UTF-16 bytes of the whole string."""
-    pieces = F.split(col, "\\\\u(?=[0-9a-fA-F]{4})")
-    hex_of = lambda p: F.hex(F.encode(p, "UTF-16BE"))
-    joined = F.array_join(
-        F.transform(pieces, lambda p, i: F.when(i == 0, hex_of(p)).otherwise(
-            F.concat(F.substring(p, 1, 4), hex_of(F.substr(p, F.lit(5)))))), "")
-    return F.when(col.contains("\\u"), F.decode(F.unhex(joined), "UTF-16BE")).otherwise(col)
 
-
-def _simple_decoded(col: Column, delimiter: str) -> Column:
-    """All escapes but that of a line feed and the parked backslash."""
-    known = [("\t", "\\t"), ("\r", "\\r"), *_READ_ESCAPES]
+def _unescaped(col: Column, delimiter: str) -> Column:
+    steps = [("\\\\", "\n"), ("\\'", "'"), ('\\"', '"'), ('"', '\\"'), ("\n", "\\\\")]
     if delimiter != "\t":
-        known.append((delimiter, "\\" + delimiter))
-    return reduce(lambda c, e: F.replace(c, F.lit(e[1]), F.lit(e[0])), known, col)
-
-
-def _drop_unknown(col: Column) -> Column:
-    """The backslash of an escape that means nothing is dropped."""
-    return F.regexp_replace(col, r"\\(?!n)", "")
-
-
-def _unescape_parked(col: Column, delimiter: str, unicode: bool) -> Column:
-    """Text of a field whose escaped backslashes are parked as line feeds."""
-    if unicode:
-        col = _unicode_decoded(col)
-    col = _drop_unknown(_simple_decoded(col, delimiter))
-    # What is left is \n: swap it and the parked backslash in one step.
-    return F.translate(F.replace(col, F.lit("\\n"), F.lit("\\")), "\\\n", "\n\\")
-
-
-def _unescape_fast(col: Column, delimiter: str) -> Column:
-    """The same for a field without the character U+0001, which then is the mark."""
-    col = _drop_unknown(_simple_decoded(col, delimiter))
-    col = F.replace(col, F.lit("\\n"), F.lit("\n"))
-    return F.replace(col, F.lit("\x01"), F.lit("\\"))
-
-
-def unescape_text(col: Column, delimiter: str = "\t", unicode: bool = False) -> Column:
-    """Reverse of ``escape_text``; strings without a backslash pass untouched."""
-    exact = _unescape_parked(_park(col), delimiter, unicode)
-    if unicode:
-        return F.when(col.contains("\\"), exact).otherwise(col)
-    return (F.when(~col.contains("\\"), col)
-            .when(~col.contains("\x01"), _unescape_fast(_park(col, "\x01"), delimiter)).otherwise(exact))
+        steps.insert(1, ("\\" + delimiter, delimiter))
+    inner = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), steps, col)
+    return F.get_json_object(F.concat(F.lit('{"a":"'), inner, F.lit('"}')), "$.a")
 
 
 def pad_fraction(text: Column) -> Column:
@@ -189,35 +150,13 @@ def _field_value(text: Column, kind: T.DataType, tz: str) -> Column:
     raise ValueError(f"Unsupported type {kind.simpleString()}")
 
 
-def _fields(line: Column, delimiter: str, null_token: str, unicode: bool) -> Column:
-    """Array of a line's fields, unescaped, with null for the null token.
-
-    Lines without a backslash, which are most, are only split. The others pass one
-    function per field, whatever the number of columns, so that the generated code of
-    a wide table stays small.
-    """
-    plain = F.split(line, re.escape(delimiter), -1)
+def _fields(line: Column, delimiter: str) -> Column:
+    """Array of a line's raw fields: cut at delimiters that no escape belongs to."""
     if delimiter == "\t":
-        pieces = plain
-        text = lambda f: unescape_text(f, delimiter, unicode)
-    else:
-        pieces = F.split(_park(line), r"(?<!\\)" + re.escape(delimiter), -1)
-        text = lambda f: _unescape_guarded(f, delimiter, unicode)
-    escaped = F.transform(pieces, lambda f: F.when(f != null_token, text(f)))
-    if "\\" not in null_token:
-        plain = F.when(F.contains(line, F.lit(null_token)),
-                       F.transform(plain, lambda f: F.when(f != null_token, f))).otherwise(plain)
-    return F.when(line.contains("\\"), escaped).otherwise(plain)
-
-
-def _unescape_guarded(raw: Column, delimiter: str, unicode: bool) -> Column:
-    """Unescape a field whose backslashes are parked as line feeds already."""
-    exact = _unescape_parked(raw, delimiter, unicode)
-    untouched = ~raw.contains("\\") & ~raw.contains("\n")
-    if unicode:
-        return F.when(untouched, raw).otherwise(exact)
-    fast = _unescape_fast(F.replace(raw, F.lit("\n"), F.lit("\x01")), delimiter)
-    return F.when(untouched, raw).when(~raw.contains("\x01"), fast).otherwise(exact)
+        return F.split(line, delimiter, -1)
+    # Escaped backslashes are marked by line feeds meanwhile; then a backslash before a delimiter escapes it.
+    marked = F.replace(line, F.lit("\\\\"), F.lit("\n"))
+    return F.split(marked, r"(?<!\\)" + re.escape(delimiter), -1)
 
 
 def decode_rows(
@@ -228,14 +167,12 @@ def decode_rows(
     null_token: str = NULL_TOKEN,
     on_error: str = "error",
     line_col: str = "line",
-    unicode: bool = False,
 ) -> DataFrame:
     """Parse lines into the columns of ``schema``.
 
-    A line with a wrong field count, or a field that is not of its type, fails the
-    job (``on_error="error"``). With ``on_error="flag"`` the row is kept, such fields
-    are null, and column ``_bad`` says what is wrong (null for good rows).
-    ``unicode=True`` also reads ``\\uXXXX``.
+    A line with a wrong field count, or a field that is not of its type or has an escape
+    without a meaning, fails the job (``on_error="error"``). With ``on_error="flag"`` the row is
+    kept, such fields are null, and column ``_bad`` says what is wrong (null for good rows).
     """
     if on_error not in ("error", "flag"):
         raise ValueError(f"unknown on_error {on_error!r}")
@@ -244,7 +181,7 @@ def decode_rows(
         schema = T.StructType.fromDDL(schema)
     zone = _zone(df, tz)
     line = F.col(quote(line_col))
-    parts = df.select(_fields(line, delimiter, null_token, unicode).alias("_f"), line.contains("\n").alias("_lf"))
+    parts = df.select(_fields(line, delimiter).alias("_f"), line.contains("\n").alias("_lf"))
     n = len(schema)
     wrong_count = F.concat(F.lit(f"expected {n} fields, found "), F.size("_f").cast("string"))
     shape = F.when(F.col("_lf"), F.lit("raw line feed inside a line")).when(F.size("_f") != n, wrong_count)
@@ -254,14 +191,24 @@ def decode_rows(
         parts = parts.select(checked.alias("_f"))
     values, wrong = [], []
     for i, field in enumerate(schema):
-        text = F.get(F.col("_f"), F.lit(i))
-        value = _field_value(text, field.dataType, zone)
-        may_fail = not isinstance(field.dataType, (T.StringType, T.BooleanType))
-        if may_fail and on_error == "error":
-            message = F.concat(F.lit(f"column {field.name}: not a {field.dataType.simpleString()}: "), text)
-            value = F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message).cast(field.dataType)))
-        elif may_fail:
-            wrong.append(F.when(text.isNotNull() & value.isNull(), F.lit(field.name)))
+        raw = F.get(F.col("_f"), F.lit(i))
+        if delimiter != "\t":
+            raw = F.replace(raw, F.lit("\n"), F.lit("\\\\"))
+        # The check stands where a value is read, so that nothing is evaluated twice.
+        complaint = F.raise_error(F.concat(
+            F.lit(f"column {field.name}: not a {field.dataType.simpleString()}: "), raw)).cast(field.dataType)
+        checked = (lambda v: F.coalesce(v, complaint)) if on_error == "error" else (lambda v: v)
+        if isinstance(field.dataType, T.StringType):
+            value = F.when(raw.contains("\\"), checked(_unescaped(raw, delimiter))).otherwise(raw)
+        elif isinstance(field.dataType, T.BooleanType):
+            value = _field_value(raw, field.dataType, zone)
+        elif isinstance(field.dataType, T.BinaryType):
+            value = checked(_field_value(unescape_text(raw, delimiter), field.dataType, zone))
+        else:
+            value = checked(_field_value(raw, field.dataType, zone))
+        value = F.when(raw != null_token, value)
+        if on_error == "flag" and not isinstance(field.dataType, T.BooleanType):
+            wrong.append(F.when((raw != null_token) & value.isNull(), F.lit(field.name)))
         values.append(value.alias(field.name))
     if on_error == "error":
         return parts.select(*values)
@@ -292,7 +239,7 @@ def write_text_rows(df: DataFrame, path: str, mode: str, delimiter: str = "\t",
 
 
 def read_text_rows(spark, path: str, schema: T.StructType | str, delimiter: str = "\t", tz: str | None = None,
-                   null_token: str = NULL_TOKEN, on_error: str = "error", unicode: bool = False) -> DataFrame:
+                   null_token: str = NULL_TOKEN, on_error: str = "error") -> DataFrame:
     """Read files written by ``write_text_rows``. Files are split, so this scales with bytes."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    return decode_rows(lines, schema, delimiter, tz, null_token, on_error, "value", unicode)
+    return decode_rows(lines, schema, delimiter, tz, null_token, on_error, "value")

@@ -607,7 +607,7 @@ def text_roundtrip_ascii(spark, folder):
     (documents,) = views(spark, folder, "documents")
     kept = documents.select("doc_id", "text")
     lines = encode_rows(kept, delimiter="|", ascii_only=True, null_token=LOSSLESS_NULL)
-    return decode_rows(lines, kept.schema, delimiter="|", unicode=True, null_token=LOSSLESS_NULL)
+    return decode_rows(lines, kept.schema, delimiter="|", null_token=LOSSLESS_NULL)
 
 
 @query("SELECT conv_id, turn, role, text FROM conversations")

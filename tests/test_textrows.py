@@ -42,7 +42,7 @@ def test_every_type_comes_back(spark, delimiter, tz, ascii_only):
         rows = ROWS
     df = spark.createDataFrame(rows, DDL)
     lines = encode_rows(df, delimiter, tz, LOSSLESS_NULL, ascii_only)
-    back = decode_rows(lines, df.schema, delimiter, tz, LOSSLESS_NULL, unicode=ascii_only)
+    back = decode_rows(lines, df.schema, delimiter, tz, LOSSLESS_NULL)
     assert [str(r) for r in back.collect()] == [str(r) for r in df.collect()]
     if ascii_only:
         assert lines.where(F.col("line").rlike("[^\\x01-\\x7e]")).count() == 0
@@ -117,9 +117,18 @@ def test_trailing_empty_fields_count(spark):
     assert decode_rows(lines, "i int, a string, b string").head() == (1, "", "")
 
 
-def test_unknown_escapes_lose_their_backslash(spark):
-    df = spark.createDataFrame([("a\\qb\\nc\\\\qd\\\"",)], "x string")
-    assert df.select(unescape_text(F.col("x"))).head()[0] == 'aqb\nc\\qd"'
+def test_unknown_escapes_are_errors(spark):
+    lines = spark.createDataFrame([("a\\qb",), ("\\101",), ("\\u12g4",), ("ok\\\\q\\u0041\\n\\\\u0041\\\"",), ("tail\\",)], "line string")
+    rows = decode_rows(lines, "x string", on_error="flag").collect()
+    assert [r.x for r in rows] == [None, None, None, 'ok\\qA\n\\u0041"', None]
+    assert [bool(r._bad) for r in rows] == [True, True, True, False, True]
+    with pytest.raises(Exception, match="column x"):
+        decode_rows(lines, "x string").collect()
+
+
+def test_unicode_escapes_are_read(spark):
+    lines = spark.createDataFrame([("caf\\u00e9 \\ud83d\\ude00 \\u005cn \\u0001\\u000a|\\\\",)], "line string")
+    assert decode_rows(lines, "x string").head().x == "café 😀 \\n \x01\n|\\"
 
 
 @pytest.mark.parametrize("delimiter", ["", "ab", "n", "\\", "\n", "1", "."])
@@ -194,7 +203,7 @@ ALPHABET = st.text(st.sampled_from(list("ab\\ntrNu0041|,\t\n\r\x01é😀\"'/")),
 def test_any_strings_round_trip(spark, rows, delimiter, ascii_only):
     df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
     lines = encode_rows(df, delimiter, null_token=LOSSLESS_NULL, ascii_only=ascii_only)
-    back = decode_rows(lines, df.schema, delimiter, null_token=LOSSLESS_NULL, unicode=ascii_only)
+    back = decode_rows(lines, df.schema, delimiter, null_token=LOSSLESS_NULL)
     assert [tuple(r) for r in back.collect()] == rows
 
 
