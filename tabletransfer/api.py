@@ -14,11 +14,13 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tabletransfer.options import TransferOptions
+from tabletransfer.operators.conform import apply_schema
+from tabletransfer.options import OPTION_NAMES, TransferOptions
+from tabletransfer.plans.schema import schema_argument
 from tabletransfer.plans.scripts import read_transfer, write_transfer
 from tabletransfer.sinks.tables import WriteReport, save_mode, write_table
 from tabletransfer.sources.jdbc import read_jdbc, write_jdbc
-from tabletransfer.sources.tables import read
+from tabletransfer.sources.tables import read, read_distributed
 from tabletransfer.sources.targets import quote, search_path
 from tabletransfer.streaming.ledger import LATEST, script_source, stream_transfer
 from tabletransfer.streaming.sink import EpochSink, script_sink, table_sink
@@ -58,12 +60,25 @@ def _schema_of(spark: SparkSession, options: TransferOptions) -> Iterator[None]:
         spark.catalog.setCurrentDatabase(before)
 
 
+def _refuse(options: TransferOptions, place: str, *names: str) -> None:
+    """An option that has no effect here is an error, not silence."""
+    for name in names:
+        if getattr(options, name) not in (None, False):
+            option = next(k for k, v in OPTION_NAMES.items() if v == name)
+            raise ValueError(f"option {option!r} has no effect on {place}")
+
+
 def load(spark: SparkSession, options: Options, schema=None, filters=None) -> DataFrame:
     """Read ``dbtable`` (a name or a SELECT) or the rows of ``sqltransfer``.
 
-    With a script, ``dbtable`` or ``schema`` describes its result columns.
+    With a script, ``dbtable`` or ``schema`` describes its result columns. With ``distributedby`` the rows of
+    a table come in that distribution.
     """
     o = _options(options)
+    _refuse(o, "a read between Spark tables, whose times have no other zone; the text codec takes tz", "tz")
+    _refuse(o, "a read", "truncate", "undo")
+    if o.url or o.script:
+        _refuse(o, "a read of an external table or of a script", "distributed_by")
     if o.url:
         if o.script:
             raise ValueError("a script runs on Spark tables; read the external table first")
@@ -72,16 +87,24 @@ def load(spark: SparkSession, options: Options, schema=None, filters=None) -> Da
     if o.script:
         with _schema_of(spark, o):
             return read_transfer(spark, o.script, schema or o.table, filters)
+    if o.distributed_by:
+        spread_rows = read_distributed(spark, o.table, o.distributed_by, schemas=o.schemas)
+        if filters is not None:
+            spread_rows = spread_rows.where(filters.column() if hasattr(filters, "column") else filters)
+        return spread_rows if schema is None else apply_schema(spread_rows, schema_argument(spark, schema))
     return read(spark, o.table, o.schemas, schema=schema, filters=filters)
 
 
 def save(df: DataFrame, options: Options, mode: str | None = None) -> WriteReport | None:
     """Write to ``dbtable``, or feed ``sqltransfer``. ``mode`` is required for a table."""
     o = _options(options)
+    _refuse(o, "a write between Spark tables, whose times have no other zone; the text codec takes tz", "tz")
     if o.url:
+        _refuse(o, "a write into an external table", "undo", "distributed_by", "partition_by")
         write_jdbc(df, o, mode)
         return None
     if o.script:
+        _refuse(o, "a write by a script, which creates its tables itself", "distributed_by", "partition_by", "truncate", "mode")
         with _schema_of(df.sparkSession, o):
             write_transfer(df, o.script, undo=o.undo)
         return None
@@ -91,9 +114,14 @@ def save(df: DataFrame, options: Options, mode: str | None = None) -> WriteRepor
 
 
 def _sink(options: TransferOptions, stream_mode: str) -> EpochSink:
+    _refuse(options, "a stream, which appends or, in complete mode, replaces", "truncate", "tz")
     if options.script:
+        _refuse(options, "a script, which creates its tables itself", "distributed_by", "partition_by", "mode")
         return script_sink(options.script, stream_mode, options.undo)
-    return table_sink(options.table, stream_mode, options.schemas, options.undo)
+    if options.mode not in (None, "append"):
+        raise ValueError(f"option 'mode' of a stream can only be append, not {options.mode!r}")
+    return table_sink(options.table, stream_mode, options.schemas, options.undo,
+                      distributed_by=options.distributed_by, partition_by=partition_columns(options.partition_by))
 
 
 def stream(

@@ -18,8 +18,7 @@ _HEADER = "00" + "20000001"
 def _hex_doubles(values: pd.Series) -> np.ndarray:
     """16 upper-case hex digits per double, big-endian."""
     raw = np.ascontiguousarray(values.to_numpy(dtype="float64", na_value=np.nan)).astype(">f8").tobytes()
-    digits = raw.hex().upper()
-    return np.array([digits[i:i + 16] for i in range(0, len(digits), 16)], dtype=object)
+    return np.frombuffer(raw.hex().upper().encode(), "S16").astype("U16").astype(object)
 
 
 @F.pandas_udf(T.StringType())

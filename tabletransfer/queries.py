@@ -26,6 +26,7 @@ from tabletransfer.plans.filters import (
 from tabletransfer.plans.schema import column_counts, column_meta, infer_schema, select_list
 from tabletransfer.plans.scripts import read_transfer, write_transfer
 from tabletransfer.session import delete_path, scratch_database, scratch_path
+from tabletransfer.sinks.catalog import table_info
 from tabletransfer.sinks.tables import write_table
 from tabletransfer.sources.generator import generate, uuid_rows
 from tabletransfer.sources.jdbc import modulo_predicates
@@ -709,6 +710,24 @@ SELECT CASE WHEN event_id <= (SELECT max(event_id) * 4 // 10 FROM events) THEN 0
 """
 
 
+@query("SELECT event_id, user_id, event_type, true AS shaped FROM events")
+def stream_sink_clauses(spark, folder):
+    """A stream into a table that it creates in buckets and partitions, by options."""
+    views(spark, folder, "events")
+    db = scratch_database(spark)
+    script = """INSERT INTO <ext_table> SELECT event_id, user_id, event_type FROM events
+        WHERE event_id > coalesce(CAST(get_json_object('<start_offset_json>', '$.k') AS BIGINT), -1)
+          AND event_id <= CAST(get_json_object('<end_offset_json>', '$.k') AS BIGINT)"""
+    source = {"sqltransfer": script, "dbtable": "SELECT event_id, user_id, event_type FROM events",
+              "offset.select": "SELECT to_json(named_struct('k', max(event_id))) FROM events"}
+    sink = {"dbtable": f"{db}.target", "distributedby": "user_id", "partitionclause": "partition by (event_type)",
+            "checkpointLocation": f"{scratch_of(spark, db)}/checkpoint"}
+    stream(spark, source, sink, starting="earliest", available_now=True).awaitTermination()
+    info = table_info(spark, f"{db}.target")
+    shaped = info.bucket_columns == ["user_id"] and info.partition_columns == ["batch_id", "event_type"]
+    return read_table(spark, f"{db}.target").select("event_id", "user_id", "event_type", F.lit(shaped).alias("shaped"))
+
+
 @query("SELECT event_id, user_id FROM events")
 def stream_many_files(spark, folder):
     """The events in over 300 files, some of which arrive while the stream is set up already."""

@@ -102,14 +102,17 @@ def read(spark: SparkSession, source: str, schemas=None, **kwargs) -> DataFrame:
 def read_parallel(df: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     """Make sure that at least ``n`` tasks work on ``df``.
 
-    A scan that has ``n`` file splits already stays as it is: nothing is shuffled.
-    Only a source with fewer splits is spread, on ``by`` or evenly.
+    A bare scan that has ``n`` file splits already stays as it is: nothing is shuffled.
+    Everything else is spread by Spark's REBALANCE, on ``by`` or evenly, which splits a hot key
+    over several tasks. No job is run to find out.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    if df.rdd.getNumPartitions() >= n:
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    shuffles = any(word in plan for word in ("Exchange", "Aggregate", "Join", "Window", "Sort", "Limit"))
+    if not shuffles and df.rdd.getNumPartitions() >= n:
         return df
-    return df.repartition(n, *[F.col(quote(c)) for c in by])
+    return spread(df, by, n) if by else df.repartition(n)
 
 
 def read_distributed(

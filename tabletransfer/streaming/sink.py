@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tabletransfer.operators.conform import conform
+from tabletransfer.operators.distribution import BY_KEY, Distribution, parse_distribution, spread
 from tabletransfer.plans.schema import column_ddl
 from tabletransfer.plans.scripts import run_undo, write_transfer
 from tabletransfer.session import unique_name
-from tabletransfer.sinks.catalog import OWNED, new_location
+from tabletransfer.sinks.catalog import DISTRIBUTION, OWNED, new_location, table_info
 from tabletransfer.sinks.tables import OVERWRITE, write_table
-from tabletransfer.sources.targets import Target, resolve_table, table_exists
+from tabletransfer.sources.targets import Target, quote, resolve_table, table_exists
 
 EPOCH_COLUMN = "batch_id"
 
@@ -22,22 +23,30 @@ EpochSink = Callable[[DataFrame, int], None]
 _OUTPUT_MODES = ("append", "update", "complete")
 
 
-def _create_epoch_table(df: DataFrame, target: Target) -> None:
-    """An empty table like ``df``, partitioned by the batch number."""
+def _create_epoch_table(df: DataFrame, target: Target, dist: Distribution | None,
+                        partition_by: Sequence[str]) -> None:
+    """An empty table like ``df``, partitioned by the batch number and then by ``partition_by``."""
     spark = df.sparkSession
     path = new_location(spark, target)
+    buckets = ""
+    if dist and dist.kind == BY_KEY:
+        names = ", ".join(quote(c) for c in dist.columns)
+        buckets = f"CLUSTERED BY ({names}) INTO {spark.conf.get('spark.sql.shuffle.partitions')} BUCKETS "
+    kind = f", '{DISTRIBUTION}' = '{dist.kind}'" if dist else ""
+    parts = ", ".join([EPOCH_COLUMN, *[quote(c) for c in partition_by]])
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {target.sql_name} ({column_ddl(df.schema)}, {EPOCH_COLUMN} BIGINT) "
-        f"USING parquet PARTITIONED BY ({EPOCH_COLUMN}) LOCATION '{path}' "
-        f"TBLPROPERTIES ('{OWNED}' = 'true')")
+        f"USING parquet PARTITIONED BY ({parts}) {buckets}LOCATION '{path}' "
+        f"TBLPROPERTIES ('{OWNED}' = 'true'{kind})")
 
 
-def epoch_table(df: DataFrame, name: str, schemas=None) -> tuple[Target, T.StructType]:
+def epoch_table(df: DataFrame, name: str, schemas=None, dist: Distribution | None = None,
+                partition_by: Sequence[str] = ()) -> tuple[Target, T.StructType]:
     """The table for micro-batches like ``df`` and its columns; created if it is missing."""
     spark = df.sparkSession
     target = resolve_table(spark, name, schemas)
     if not table_exists(spark, target):
-        _create_epoch_table(df, target)
+        _create_epoch_table(df, target, dist, partition_by)
     stored = spark.table(target.sql_name).schema
     if EPOCH_COLUMN not in stored.names:
         raise ValueError(f"{target.sql_name} has no column {EPOCH_COLUMN}, so batches could not be replayed")
@@ -51,20 +60,27 @@ def write_epoch(df: DataFrame, target: Target, columns: T.StructType, epoch: int
     """
     spark = df.sparkSession
     view = unique_name("epoch")
-    conform(df, columns).createOrReplaceTempView(view)
+    info = table_info(spark, target.sql_name)
+    further = [c for c in info.partition_columns if c != EPOCH_COLUMN]
+    fitted = conform(df, columns)
+    if further or info.bucket_columns:
+        fitted = spread(fitted, [*further, *info.bucket_columns])
+    fitted.createOrReplaceTempView(view)
+    parts = ", ".join([f"{EPOCH_COLUMN} = {int(epoch)}", *[quote(c) for c in further]])
     try:
-        spark.sql(f"INSERT OVERWRITE {target.sql_name} PARTITION ({EPOCH_COLUMN} = {int(epoch)}) "
-                  f"SELECT * FROM {view}")
+        spark.sql(f"INSERT OVERWRITE {target.sql_name} PARTITION ({parts}) SELECT * FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
-def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None,
-               writers: int | None = None) -> EpochSink:
+def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None, writers: int | None = None,
+               distributed_by: str | None = None, partition_by: Sequence[str] = ()) -> EpochSink:
     """A sink that keeps a table: appended batches, or the whole result in complete mode.
 
     ``writers`` limits the tasks that write a batch, and so the number of its files.
+    ``distributed_by`` and ``partition_by`` shape a table that the stream creates, as in ``write_table``.
     """
+    dist = parse_distribution(distributed_by)
     mode = _check_mode(stream_mode)
     if mode == "update":
         raise ValueError("update mode needs a script that says how to merge; a table takes append or complete")
@@ -73,14 +89,15 @@ def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None,
 
     def store(df: DataFrame, epoch: int) -> None:
         if mode == "complete":
-            write_table(df, name, OVERWRITE, writers=writers, schemas=schemas, undo=undo)
+            write_table(df, name, OVERWRITE, writers=writers, schemas=schemas, undo=undo,
+                        distributed_by=distributed_by, partition_by=partition_by)
             return
         try:
             if EPOCH_COLUMN in df.columns:
                 df = df.drop(EPOCH_COLUMN)
             if not found:
-                found.append(epoch_table(df, name, schemas))
-            write_epoch(df.coalesce(writers) if writers else df, *found[0], epoch)
+                found.append(epoch_table(df, name, schemas, dist, partition_by))
+            write_epoch(df.repartition(writers) if writers else df, *found[0], epoch)
         except Exception as error:
             run_undo(df.sparkSession, undo, error)
             raise

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tabletransfer.api import load, partition_columns, save
+from tabletransfer.api import load, partition_columns, save, stream
 from tabletransfer.functions.points import ewkb_to_text, point_to_ewkb
 from tabletransfer.functions.udfs import get_batch_id, register_udfs, row_timestamp, version
 from tabletransfer.functions.values import bit_text, is_ewkb_hex, is_json, is_time, is_uuid
@@ -11,6 +11,7 @@ from tabletransfer.options import TransferOptions
 from tabletransfer.plans.filters import eq, gt
 from tabletransfer.sources.generator import generate, uuid_rows
 from tabletransfer.sources.jdbc import jdbc_options, modulo_predicates, write_options
+from tabletransfer.sources.tables import read_parallel
 
 
 def test_options_in_any_case():
@@ -134,3 +135,42 @@ def test_uuid_rows(spark):
     assert df.where(is_uuid(F.col("id")) & is_ewkb_hex(F.col("gps_point"))).count() == 100
     assert df.rdd.getNumPartitions() == 2
     assert df.where("mv").count() == 50
+
+
+def test_every_option_works_or_is_refused(spark, db):
+    spark.range(5).selectExpr("id", "id % 2 k").write.saveAsTable(f"{db}.src")
+    table = {"dbtable": f"{db}.src"}
+    for option, value in (("dbtimezone", "UTC"), ("truncate", "true"), ("undo.side.effects.sql", "SELECT 1")):
+        with pytest.raises(ValueError, match="no effect"):
+            load(spark, table | {option: value})
+    script = {"sqltransfer": "INSERT INTO <ext_table> SELECT 1 a"}
+    with pytest.raises(ValueError, match="no effect"):
+        load(spark, script | {"distributedby": "a"})
+    for option, value in (("distributedby", "id"), ("partitionclause", "k"), ("truncate", "true"), ("mode", "append")):
+        with pytest.raises(ValueError, match="no effect"):
+            save(spark.range(1), script | {option: value})
+    with pytest.raises(ValueError, match="no effect"):
+        save(spark.range(1), {"dbtable": f"{db}.t", "dbtimezone": "UTC"}, "append")
+    source = script | {"offset.select": "SELECT '1'"}
+    for option, value in (("truncate", "true"), ("mode", "overwrite"), ("dbtimezone", "UTC")):
+        with pytest.raises(ValueError):
+            stream(spark, source, {"dbtable": f"{db}.t", option: value, "checkpointLocation": "x"})
+    spread_rows = load(spark, table | {"distributedby": "k"}, schema="id long, k long", filters=gt("id", 1))
+    assert sorted(r.id for r in spread_rows.collect()) == [2, 3, 4]
+
+
+def test_read_parallel_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    joined = spark.range(50).join(spark.range(50).withColumnRenamed("id", "x"), F.col("id") == F.col("x")).groupBy("id").count()
+    spark.sparkContext.setJobGroup("plan only", "")
+    parallel = read_parallel(joined, 6)
+    assert not tracker.getJobIdsForGroup("plan only")
+    spark.sparkContext.setJobGroup("after", "")
+    assert parallel.count() == 50 and parallel.rdd.getNumPartitions() >= 6
+    assert read_parallel(spark.range(0, 10, 1, 8), 6).rdd.getNumPartitions() == 8
+
+
+def test_keys_of_all_sizes_go_into_one_part(spark):
+    keys = spark.sql("SELECT explode(array(-9223372036854775808L, -5L, -1L, 0L, 3L, 9223372036854775807L, NULL)) AS k")
+    parts = [F.expr(p.replace('"', "`")) for p in modulo_predicates("k", 4)]
+    assert sum(keys.where(p).count() for p in parts) == 7
