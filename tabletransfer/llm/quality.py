@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabletransfer.llm.shared import Rolling, plain, text_slices, words_of
+from tabletransfer.llm.shared import Rolling, keep, plain, text_slices, words_of
 
 #: Terms: single bytes, hashed pairs and triples of bytes, and how words repeat.
 PAIRS, TRIPLES, REPEATS = 1024, 2048, 4
@@ -92,19 +92,21 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["label", "terms"])
 
 
-def fit(labelled: DataFrame) -> Model:
-    """Fit on rows ``doc_id, text, label`` (0 or 1); others than 0 and 1 are ignored.
+def fit(docs: DataFrame, marks: DataFrame) -> Model:
+    """Fit on the texts of ``docs`` (``doc_id, text``) that ``marks`` (``doc_id, label``) label 0 or 1.
 
-    At most ``SAMPLE_PER_LABEL`` rows of each label are used, chosen by hash of the id.
-    Without any row every score is 0.5.
+    At most ``SAMPLE_PER_LABEL`` ids of each label are used, chosen by hash of the id; an id that is repeated
+    counts once, with its smallest text. Only ids are shuffled: the chosen ones, whose number is bounded,
+    are broadcast to fetch their texts. Without any row every score is 0.5.
     """
-    counts = {r["label"]: r["count"] for r in
-              labelled.where("label in (0, 1)").groupBy("label").count().collect()}
+    there = docs.select("doc_id").distinct()
+    known = keep(marks.where("label in (0, 1)").distinct().join(there, "doc_id", "left_semi"), "labelled")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     labels, terms = [], []
     for label in sorted(counts):
-        chosen = (labelled.where(F.col("label") == label)
-                  .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_PER_LABEL))
-        for row in chosen.select("label", "text").mapInArrow(_packed, "label int, terms binary").collect():
+        chosen = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LABEL)
+        texts = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+        for row in texts.select("label", "text").mapInArrow(_packed, "label int, terms binary").collect():
             labels.append(row["label"])
             terms.append(np.frombuffer(zlib.decompress(row["terms"]), np.float32))
     if not labels:
@@ -146,9 +148,9 @@ def held_out(id_col: str = "doc_id", parts: int = 5, part: int = 0):
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the documents outside the held-out part that have a label in ``quality``."""
-    known = plain(labels, "doc_id", "quality").where("doc_id is not null and quality is not null")
-    texts = plain(docs, "doc_id", "text").where(~held_out())
-    return fit(texts.join(known, "doc_id").select("doc_id", "text", F.col("quality").cast("int").alias("label")))
+    known = plain(labels, "doc_id", "quality").where("doc_id is not null and quality is not null").where(~held_out())
+    return fit(plain(docs, "doc_id", "text").where("doc_id is not null"),
+               known.select("doc_id", F.col("quality").cast("int").alias("label")))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
