@@ -16,7 +16,7 @@ _KEYS = re.compile(r"\s*(?:distributed\s+by\s*\((?P<inner>[^)]+)\)|(?P<plain>[^(
 _COLUMN = re.compile(r'\s*(?:(?P<word>\w+)|"(?P<dq>[^"]+)"|`(?P<bq>[^`]+)`)(?:\s[^,]*)?')
 
 
-_SALT, _SALTS = "_transfer_salt", 32
+_SALT = "_transfer_salt"
 
 
 @dataclass(frozen=True)
@@ -47,6 +47,13 @@ def parse_distribution(text: str | None) -> Distribution | None:
     return Distribution(BY_KEY, tuple(columns))
 
 
+def spread_salted(df: DataFrame, columns: tuple[str, ...] | list[str], parts: int) -> DataFrame:
+    """Exactly ``parts`` partitions; rows of one key that come from one task stay together, so a hot key is
+    split by as many tasks as it comes from."""
+    salted = df.withColumn(_SALT, F.spark_partition_id())
+    return salted.repartition(parts, *[F.col(quote(c)) for c in columns], _SALT).drop(_SALT)
+
+
 def spread(df: DataFrame, columns: tuple[str, ...] | list[str] = (), parts: int | None = None) -> DataFrame:
     """Shuffle so that output partitions are of an even size, clustered on ``columns``.
 
@@ -57,8 +64,6 @@ def spread(df: DataFrame, columns: tuple[str, ...] | list[str] = (), parts: int
     """
     conf = df.sparkSession.conf
     if columns and conf.get("spark.sql.adaptive.enabled") == "false":
-        parts = parts or int(conf.get("spark.sql.shuffle.partitions"))
-        salted = df.withColumn(_SALT, F.spark_partition_id() % _SALTS)
-        return salted.repartition(parts, *[F.col(quote(c)) for c in columns], _SALT).drop(_SALT)
+        return spread_salted(df, columns, parts or int(conf.get("spark.sql.shuffle.partitions")))
     args = ([parts] if parts else []) + [F.col(quote(c)) for c in columns]
     return df.hint("rebalance", *args)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -63,6 +64,22 @@ def drop_table(spark: SparkSession, name: str) -> None:
             log.warning("could not delete %s", info.location, exc_info=True)
 
 
+def recover(spark: SparkSession, target: Target) -> bool:
+    """Give a table its name back if a writer died between the two renames of ``publish``; True if there is the table now."""
+    if table_exists(spark, target):
+        return True
+    database = target.schema or spark.catalog.currentDatabase()
+    aside = re.compile(re.escape(target.table.lower()) + r"_old_[0-9a-f]{16}")
+    rows = spark.sql(f"SHOW TABLES IN {quote(database)} LIKE '{target.table.lower()}_old_*'").collect()
+    names = [r.tableName for r in rows if aside.fullmatch(r.tableName)]
+    if len(names) != 1:
+        return False
+    old = Target("", False, target.schema, names[0])
+    spark.sql(f"ALTER TABLE {old.sql_name} RENAME TO {target.sql_name}")
+    log.warning("%s got its name back after a write that did not end", target.sql_name)
+    return True
+
+
 def publish(spark: SparkSession, staged: Target, target: Target) -> None:
     """Give a finished staging table its final name.
 

@@ -13,9 +13,9 @@ from tabletransfer.operators.distribution import BY_KEY, Distribution, RANDOMLY,
 from tabletransfer.plans.scripts import run_undo
 from tabletransfer.session import delete_path, path_usage, unique_name
 from tabletransfer.sinks.catalog import (
-    DISTRIBUTION, OWNED, drop_table, new_location, publish, set_properties, table_info,
+    DISTRIBUTION, OWNED, drop_table, new_location, publish, recover, set_properties, table_info,
 )
-from tabletransfer.sources.targets import Target, quote, resolve_table, table_exists
+from tabletransfer.sources.targets import Target, quote, resolve_table
 
 _BUCKET = "_transfer_bucket"
 
@@ -104,7 +104,7 @@ def write_table(
     chosen = save_mode(mode)
     spark = df.sparkSession
     target = resolve_table(spark, name, schemas)
-    exists = table_exists(spark, target)
+    exists = recover(spark, target)
     started = time.monotonic()
     if exists and chosen == IGNORE:
         return WriteReport(target.sql_name, "ignored", 0, None, None, 0)

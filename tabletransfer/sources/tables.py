@@ -8,10 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tabletransfer.operators.conform import apply_schema
-from tabletransfer.operators.distribution import REPLICATED, parse_distribution, spread
+from tabletransfer.operators.distribution import REPLICATED, parse_distribution, spread, spread_salted
 from tabletransfer.plans.filters import Predicate, split_filters
 from tabletransfer.plans.schema import schema_argument
-from tabletransfer.sinks.catalog import TableInfo, table_info
+from tabletransfer.sinks.catalog import TableInfo, recover, table_info
 from tabletransfer.session import path_usage
 from tabletransfer.sources.targets import Target, quote, refresh_tables, resolve, table_exists
 
@@ -45,7 +45,7 @@ def read_table(
     are below Spark's broadcast threshold; a larger one is joined like any other.
     """
     target = resolve(spark, name, schemas)
-    if not table_exists(spark, target):
+    if not table_exists(spark, target) and not recover(spark, target):
         raise ValueError(f"no table {target.sql_name}")
     info = _info_or_none(spark, target)
     if info and refresh:
@@ -103,8 +103,8 @@ def read_parallel(df: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     """Make sure that at least ``n`` tasks work on ``df``.
 
     A bare scan that has ``n`` file splits already stays as it is: nothing is shuffled.
-    Everything else is spread by Spark's REBALANCE, on ``by`` or evenly, which splits a hot key
-    over several tasks. No job is run to find out.
+    Everything else is spread over ``n`` tasks, evenly or on ``by``, where a hot key is split by the tasks
+    it comes from. No job is run to find out.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -112,7 +112,7 @@ def read_parallel(df: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     shuffles = any(word in plan for word in ("Exchange", "Aggregate", "Join", "Window", "Sort", "Limit"))
     if not shuffles and df.rdd.getNumPartitions() >= n:
         return df
-    return spread(df, by, n) if by else df.repartition(n)
+    return spread_salted(df, by, n) if by else df.repartition(n)
 
 
 def read_distributed(

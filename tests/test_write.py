@@ -243,3 +243,25 @@ def test_a_view_of_the_same_name_is_left_alone(spark, orders):
 def test_missing_table(spark):
     with pytest.raises(ValueError, match="no table"):
         read_table(spark, "no_such_table")
+
+
+def test_table_comes_back_after_a_crash_between_renames(spark, db):
+    from tabletransfer.sinks.catalog import recover
+    from tabletransfer.sources.tables import read_table
+    from tabletransfer.sources.targets import Target
+
+    write_table(spark.range(3), f"{db}.t", "overwrite")
+    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t_old_0123456789abcdef")
+    assert read_table(spark, f"{db}.t").count() == 3
+    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t_old_0123456789abcdef")
+    report = write_table(spark.range(4), f"{db}.t", "append")
+    assert report.action == "appended" and read_table(spark, f"{db}.t").count() == 7
+    assert not recover(spark, Target("", False, db, "never"))
+
+
+def test_partitioned_buckets_have_one_file_each(spark, db):
+    rows = spark.range(4000).selectExpr("id", "id % 3 AS p", "id % 101 AS k")
+    report = write_table(rows.repartition(8), f"{db}.t", "overwrite", distributed_by="k", buckets=4, partition_by=["p"])
+    assert report.files <= 3 * 4 * 2
+    from tabletransfer.sources.tables import read_table
+    assert read_table(spark, f"{db}.t").count() == 4000
