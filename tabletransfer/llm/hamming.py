@@ -5,6 +5,10 @@ lose least). A code is split into substrings of eight bits, and each substring i
 in at most R bits, then by the pigeonhole principle some of the m substrings differs in at
 most R // m bits, so probing each substring's buckets within that radius retrieves every code
 within R. Those are ranked again by their floats.
+
+Every query has a radius of its own: the distance of its k-th nearest code, and a slack for the order
+of codes being only roughly that of vectors. Who has too few codes within the first radius is searched
+again with a larger one, until there are enough.
 """
 
 from __future__ import annotations
@@ -22,8 +26,9 @@ from tabletransfer.llm.shared import keep, plain
 MOST_BITS, SUBSTRING = 64, 8
 #: Most vectors that the rotation is fitted on, chosen by hash of the id.
 SAMPLE = 4000
-#: The radius is the one that holds this share of the true neighbours of so many queries.
-RADIUS_QUERIES, RADIUS_SHARE = 64, 0.98
+#: The slack is the one that holds this share of the true neighbours of so many queries, and the first
+#: radius is enough for this share of them.
+RADIUS_QUERIES, RADIUS_SHARE, FIRST_SHARE = 64, 0.98, 0.9
 #: Most rows and queries on average that meet in one group.
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 4096
 
@@ -99,11 +104,11 @@ def valid_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
 def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row that ``is_query`` (a condition on ``vec_id``) selects its
-    k nearest others by Euclidean distance, among all codes within the radius.
+    k nearest others by Euclidean distance, among all codes within the query's radius.
 
     See ``valid_vectors`` for what takes part. Equal distances go by smaller id; rows that repeat an id are
-    candidates each, but no row is a neighbour of its own id. A query with no code within the radius has no row.
-    An empty table gives an empty result. Further columns are not read.
+    candidates each, but no row is a neighbour of its own id. A query has fewer than k rows only where there are
+    fewer candidates. An empty table gives an empty result. Further columns are not read.
     """
     spark = rows.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -112,7 +117,10 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
     if not sample.num_rows:
         return spark.createDataFrame([], schema)
     rotation = spark.sparkContext.broadcast(fit_rotation(_vectors(sample["embedding"])))
-    radius = _radius(rows, rows.where(is_query), rotation, k)
+    queries = keep(rows.where(is_query).withColumn("query", F.monotonically_increasing_id()), "queries")
+    sampled = _sampled(rows, queries, rotation, k)
+    slack = _slack(sampled)
+    first = min(_radius(sampled, slack), rotation.value.bits)
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,23 +131,24 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
                     [batch.column(0), batch.column(1), pa.array(codes.view(np.int64)), pa.array(shard, pa.int32())],
                     names=["vec_id", "embedding", "code", "shard"])
 
-    substrings = rotation.value.substrings
-    within = radius // substrings
+    bits, substrings = rotation.value.bits, rotation.value.substrings
 
     def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each query once for every shard that has a bucket within the substring's radius."""
         values = np.arange(256, dtype=np.uint8)
         for batch in batches:
             codes = rotation.value.codes(_vectors(batch.column(1)))
+            within = batch.column(3).to_numpy() // substrings
             for j in range(substrings):
-                near = np.bitwise_count(_substring(codes, j)[:, None] ^ values) <= within
+                near = np.bitwise_count(_substring(codes, j)[:, None] ^ values) <= within[:, None]
                 at, group = np.nonzero(near.reshape(len(codes), 16, 16).any(axis=2))
                 rows = batch.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(codes[at].view(np.int64)),
-                     pa.array(j * 16 + group, pa.int32())], names=["vec_id", "embedding", "code", "shard"])
+                    [*rows.columns, pa.array(codes[at].view(np.int64)), pa.array(j * 16 + group, pa.int32())],
+                    names=["vec_id", "embedding", "query", "radius", "code", "shard"])
 
     def met(data: pa.Table, queries: pa.Table) -> pa.Table:
+        """The k nearest of each query in the group, and in rows without a score the k least distances of codes."""
         out: list[tuple] = []
         if data.num_rows and queries.num_rows:
             j = data["shard"][0].as_py() // 16
@@ -149,27 +158,33 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
             buckets = {v: np.flatnonzero(own == v) for v in np.unique(own)}
             query_ids, query_codes = queries["vec_id"].to_numpy(), queries["code"].to_numpy().view(np.uint64)
             values = np.array(list(buckets), np.uint8)
-            for q, code, vector in zip(query_ids, query_codes, _vectors(queries["embedding"])):
+            radii = queries["radius"].to_numpy()
+            for number, q, radius, code, vector in zip(
+                    queries["query"].to_pylist(), query_ids, radii, query_codes, _vectors(queries["embedding"])):
+                within = radius // substrings
                 probed = values[np.bitwise_count(values ^ _substring(np.array([code]), j)) <= within]
                 if not len(probed):
                     continue
                 at = np.concatenate([buckets[v] for v in probed])
                 differ = codes[at] ^ code
-                good = (np.bitwise_count(differ) <= radius) & (ids[at] != q)
+                apart = np.bitwise_count(differ)
+                good = (apart <= radius) & (ids[at] != q)
                 for earlier in range(j):  # a pair is ranked where it is found first
                     good &= np.bitwise_count(_substring(differ, earlier)) > within
-                at = at[good]
+                at, apart = at[good], apart[good]
                 if len(at):
                     distance = _distances(vector, vectors[at])
                     best = _nearest(distance, ids[at], k)
-                    out.extend(zip([q] * len(best), ids[at[best]].tolist(), distance[best].tolist()))
-        columns = list(zip(*out)) or [[]] * 3
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))],
-                        names=["query_id", "vec_id", "score"])
-
-    kind = "vec_id long, embedding array<double>, code long, shard int"
-    index = rows.mapInArrow(indexed, kind)
-    queries = rows.where(is_query)
+                    out.extend(zip([number] * len(best), [q] * len(best), ids[at[best]].tolist(), distance[best].tolist(),
+                                   [None] * len(best)))
+                    least = np.sort(apart)[:k].tolist()
+                    out.extend((number, q, None, None, b) for b in least)
+        columns = list(zip(*out)) or [[]] * 5
+        return pa.table([pa.array(c, t) for c, t in zip(
+            columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32()))],
+            names=["query", "query_id", "vec_id", "score", "bits"])
+
+    index = rows.mapInArrow(indexed, "vec_id long, embedding array<double>, code long, shard int")
     query_blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
     # At most 128 shards, whatever the number of rows.
     sizes = keep(index.groupBy("shard").agg(F.count("*").alias("n")), "sizes").select(
@@ -178,21 +193,54 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
     index = (index.join(F.broadcast(sizes), "shard")
              .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
              .withColumn("queries", counted(F.lit(query_blocks))).drop("blocks"))
-    probes = (queries.mapInArrow(probing, kind).join(F.broadcast(sizes), "shard")
-              .withColumn("block", counted(F.col("blocks")))
-              .withColumn("queries", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).drop("blocks"))
     key = ["shard", "block", "queries"]
-    found = index.groupBy(*key).cogroup(probes.groupBy(*key)).applyInArrow(met, "query_id long, vec_id long, score double")
+
+    def searched(queries: DataFrame) -> DataFrame:
+        probes = (queries.select("vec_id", "embedding", "query", "radius")
+                  .mapInArrow(probing, "vec_id long, embedding array<double>, query long, radius int, code long, shard int")
+                  .join(F.broadcast(sizes), "shard").withColumn("block", counted(F.col("blocks")))
+                  .withColumn("queries", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).drop("blocks"))
+        return keep(index.groupBy(*key).cogroup(probes.groupBy(*key)).applyInArrow(
+            met, "query long, query_id long, vec_id long, score double, bits int"), "found")
+
+    nearest = Window.partitionBy("query").orderBy("score", "vec_id")
+    upwards = Window.partitionBy("query").orderBy("bits").rowsBetween(Window.unboundedPreceding, 0)
+    others = F.lit(rows.count()) - F.col("copies")
+    copies = queries.groupBy("vec_id").agg(F.count("*").alias("copies"))
+    todo = queries.join(copies, "vec_id").select(
+        "query", "vec_id", "embedding", F.lit(first).alias("radius"), F.least(F.lit(k), others).alias("need"))
+    parts = []
+    while True:
+        todo = keep(todo, "todo")
+        found = searched(todo)
+        reached = (found.where("score is null").groupBy("query", "bits").agg(F.count("*").alias("n"))
+                   .withColumn("n", F.sum("n").over(upwards)).join(todo.select("query", "need"), "query").where("n >= need")
+                   .groupBy("query").agg(F.min("bits").alias("reached")))
+        # Who has too few is probed one bit of each substring further.
+        radius = F.least(F.lit(bits), F.coalesce(F.col("reached") + slack, F.col("radius") + substrings))
+        again = keep(todo.where(F.col("radius") < bits).where("need > 0").join(reached, "query", "left")
+                     .withColumn("wider", radius.cast("int")).where("wider > radius")
+                     .select("query", "vec_id", "embedding", F.col("wider").alias("radius"), "need"), "again")
+        best = found.where("score is not null").join(again.select("query"), "query", "left_anti")
+        parts.append(best.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+                     .select("query_id", "vec_id", "score"))
+        if again.isEmpty():
+            break
+        todo = again
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.union(part)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
 
-def _radius(rows: DataFrame, queries: DataFrame, rotation, k: int) -> int:
-    """The Hamming radius that holds most of the true neighbours of some queries, found by one exact pass."""
+def _sampled(rows: DataFrame, queries: DataFrame, rotation, k: int) -> list[tuple[int, list[int]]]:
+    """For some queries the distance of the k-th nearest code, and those of the codes of the true neighbours,
+    found by one exact pass."""
     probes = queries.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(RADIUS_QUERIES).toArrow()
     if not probes.num_rows:
-        return 0
+        return []
     ids = probes["vec_id"].to_numpy()
     sent = rows.sparkSession.sparkContext.broadcast((ids, _vectors(probes["embedding"])))
 
@@ -206,14 +254,36 @@ def _radius(rows: DataFrame, queries: DataFrame, rotation, k: int) -> int:
                 distance = np.where(own == q, np.inf, _distances(vectors[n], data))
                 best = _nearest(distance, own, k)
                 best = best[np.isfinite(distance[best])]
+                least = np.sort(near[own != q, n])[:k].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([q] * len(best), pa.int64()), pa.array(own[best]), pa.array(distance[best]),
-                     pa.array(near[best, n].astype(np.int32))], names=["query_id", "vec_id", "distance", "bits"])
-
-    found = rows.mapInArrow(exact, "query_id long, vec_id long, distance double, bits int")
-    order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    bits = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).groupBy("bits").count().collect()
-    if not bits:
-        return 0
-    held = np.sort(np.repeat([r["bits"] for r in bits], [r["count"] for r in bits]))
-    return int(held[min(len(held) - 1, int(np.ceil(RADIUS_SHARE * len(held))) - 1)])
+                    [pa.array([n] * (len(best) + len(least)), pa.int32()),
+                     pa.array(own[best].tolist() + [None] * len(least), pa.int64()),
+                     pa.array(distance[best].tolist() + [None] * len(least), pa.float64()),
+                     pa.array(np.concatenate((near[best, n].astype(np.int32), least)))],
+                    names=["number", "vec_id", "distance", "bits"])
+
+    found = rows.mapInArrow(exact, "number int, vec_id long, distance double, bits int").withColumn(
+        "code", F.col("distance").isNull())
+    order = Window.partitionBy("number", "code").orderBy("distance", "bits", "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).collect()
+    kth, true = {}, {}
+    for r in best:
+        if r["code"]:
+            kth[r["number"]] = max(kth.get(r["number"], 0), r["bits"])
+        else:
+            true.setdefault(r["number"], []).append(r["bits"])
+    return [(kth[n], true[n]) for n in sorted(true)]
+
+
+def _quantile(values: list[int], share: float) -> int:
+    return int(np.sort(values)[int(np.ceil(share * len(values))) - 1]) if len(values) else 0
+
+
+def _slack(sampled: list[tuple[int, list[int]]]) -> int:
+    """How far beyond the k-th nearest code most true neighbours' codes lie at most."""
+    return max(0, _quantile([b - kth for kth, true in sampled for b in true], RADIUS_SHARE))
+
+
+def _radius(sampled: list[tuple[int, list[int]]], slack: int) -> int:
+    """The radius that all queries are searched with first; it is enough for most."""
+    return _quantile([kth + slack for kth, _ in sampled], FIRST_SHARE)

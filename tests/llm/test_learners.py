@@ -135,3 +135,18 @@ def test_terms_of_a_text_do_not_depend_on_its_neighbours():
     together = np.concatenate(list(quality.term_rows(pa.array(texts))))
     for k, text in enumerate(texts):
         assert np.allclose(together[k], next(quality.term_rows(pa.array([text])))[0])
+
+
+def test_search_of_clusters_and_an_outlier(spark):
+    """Most queries have their neighbours at few bits; an outlier gets its own all the same."""
+    r = np.random.default_rng(7)
+    centres = 4 * r.normal(size=(25, 32))
+    rows = [(i, (centres[i % 25] + 0.02 * r.normal(size=32)).tolist()) for i in range(1, 2500) if i % 100]
+    rows += [(i, (centres[(i // 100) % 25] + 0.02 * r.normal(size=32)).tolist()) for i in range(100, 6000, 100)]
+    rows += [(6000, (6 * r.normal(size=32)).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want, got = exact(rows), {}
+    for x in search(df, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(x.query_id, []).append(x.vec_id)
+    assert {q: len(v) for q, v in got.items()} == dict.fromkeys(want, 10)
+    assert sum(len(set(want[q]) & set(got[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
