@@ -80,11 +80,9 @@ def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, place, minimizer, content`` of every segment. ``place`` packs 21 bits that tell
-    texts of one id apart, 32 bits for the first window, one for a minimizer that occurs again inside
-    and 10 for the number of windows."""
+    """``doc_id, tag, place, minimizer, content`` of every segment. ``place`` packs 32 bits for the first
+    window, one for a minimizer that occurs again inside and 10 for the number of windows."""
     for batch in batches:
-        tags = batch.column(2).to_numpy()
         for row, end, data, bounds in text_slices(batch.column(1)):
             docs, places, keys, contents = [], [], [], []
             if len(data) >= LENGTH:
@@ -101,12 +99,13 @@ def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text, begin, count, least, again = (
                     text[good], begin[good], (stop - begin)[good], least[of][good], again[of][good])
                 content = Rolling(data).of(begin, begin + count + LENGTH - 1)
-                place = (tags[row + text] << 43) | ((begin - bounds[text]) << 11) | (again.astype(np.int64) << 10) | (count - 1)
+                place = ((begin - bounds[text]) << 11) | (again.astype(np.int64) << 10) | (count - 1)
                 docs, places, keys, contents = row + text, place, least.view(np.int64), content.view(np.int64)
+            of_row = pa.array(docs, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(docs, pa.int64())), pa.array(places, pa.int64()),
+                [batch.column(0).take(of_row), batch.column(2).take(of_row), pa.array(places, pa.int64()),
                  pa.array(keys, pa.int64()), pa.array(contents, pa.int64())],
-                names=["doc_id", "place", "minimizer", "content"])
+                names=["doc_id", "tag", "place", "minimizer", "content"])
 
 
 # --- the index -----------------------------------------------------------------------
@@ -284,8 +283,8 @@ def _bytes_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _tag_of(text) -> Column:
-    """Tells texts of one id apart."""
-    return F.xxhash64(text).bitwiseAND(F.lit(0x1FFFFF))
+    """Tells texts of one id apart, by all 64 bits."""
+    return F.xxhash64(text)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -295,7 +294,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     docs = plain(docs, "doc_id", "text").withColumn("tag", _tag_of("text"))
     found = keep(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(
-        _segmented, "doc_id long, place long, minimizer long, content long"), "segments")
+        _segmented, "doc_id long, tag long, place long, minimizer long, content long"), "segments")
     groups = found.groupBy("minimizer").agg(
         F.count("*").alias("times"), F.min("content").alias("one"), F.max("content").alias("other"),
         F.max(F.col("place").bitwiseAND(F.lit(1024))).alias("again"))
@@ -304,9 +303,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     mixed = shared.where("mixed")
     wanted = keep(mixed.groupBy("minimizer", "content").agg(
-        F.first("doc_id").alias("doc_id"), F.first("place").alias("place"), F.count("*").alias("n")), "wanted")
-    tag = F.shiftrightunsigned("place", 43).alias("tag")
-    per_text = wanted.groupBy("doc_id", tag).agg(F.collect_list(F.struct("place", "minimizer", "content", "n")).alias("wanted"))
+        F.first("doc_id").alias("doc_id"), F.first("tag").alias("tag"), F.first("place").alias("place"), F.count("*").alias("n")), "wanted")
+    per_text = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "minimizer", "content", "n")).alias("wanted"))
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.tag") == F.col("b.tag"))
     cut = (docs.alias("a").join(per_text.alias("b"), same).select("a.text", "b.wanted")
            .mapInArrow(_cut_out, "minimizer long, content long, n long, bytes binary"))
@@ -325,9 +323,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     begin = F.shiftrightunsigned("place", 11).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     whole = shared.where("not mixed").select(
-        "doc_id", tag, begin.alias("low"), (begin + F.col("place").bitwiseAND(F.lit(1023)).cast("int") + 1).alias("high"))
+        "doc_id", "tag", begin.alias("low"), (begin + F.col("place").bitwiseAND(F.lit(1023)).cast("int") + 1).alias("high"))
     partly = mixed.join(marks, ["minimizer", "content"]).select(
-        "doc_id", tag, (begin + F.col("low")).alias("low"), (begin + F.col("high")).alias("high"))
+        "doc_id", "tag", (begin + F.col("low")).alias("low"), (begin + F.col("high")).alias("high"))
     return whole.union(partly).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 

@@ -88,3 +88,16 @@ def test_matching_statistics(seed):
         want[a], want[b] = max(want[a], k), max(want[b], k)
     assert index.matching_statistics().tolist() == want.tolist()
     assert np.repeat(index.heads, index.lengths).tolist() == [data[i - 1] for i in rows]
+
+
+def test_many_texts_without_id(spark):
+    """Among 5000 different texts some agree in 21 bits of their hash."""
+    from pyspark.sql import functions as F
+    r = random.Random(21)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(r.randint(200, 600))) for _ in range(6000)]
+    hashed = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("bits", F.xxhash64("text").bitwiseAND(F.lit(0x1FFFFF)))
+    pairs = [x.texts for x in hashed.groupBy("bits").agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").collect()]
+    assert pairs
+    rows = [(None, t) for pair in pairs for t in pair]
+    rows += [(k, "#" + max(pair, key=len)[-210:] + "%") for k, pair in enumerate(pairs)]
+    assert sorted((tuple(r) for r in repeats(frame(spark, rows)).collect()), key=repr) == brute(rows)
