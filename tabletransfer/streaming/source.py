@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -57,6 +58,15 @@ class RowGroup:
     rows: int
 
 
+def _numbers(offsets):
+    """Dates as days and timestamps as microseconds."""
+    import pyarrow as pa
+
+    if pa.types.is_timestamp(offsets.type):
+        return offsets.cast(pa.timestamp("us", offsets.type.tz)).cast(pa.int64())
+    return offsets.cast(pa.int32()) if pa.types.is_date(offsets.type) else offsets
+
+
 @dataclass
 class OffsetSlice(InputPartition):
     """Row groups of one file, and the range to keep (start exclusive, end inclusive)."""
@@ -113,7 +123,8 @@ def footer_groups(filesystem, path: str, column: str) -> list[RowGroup]:
         group = meta.row_group(i)
         stats = group.column(position).statistics
         if stats is not None and stats.has_min_max:
-            groups.append(RowGroup(i, _plain(stats.min), _plain(stats.max), group.total_byte_size, group.num_rows))
+            rows = group.num_rows - (stats.null_count or 0 if stats.has_null_count else 0)
+            groups.append(RowGroup(i, _plain(stats.min), _plain(stats.max), group.total_byte_size, rows))
         elif group.num_rows and not (stats is not None and stats.null_count == group.num_rows):
             raise ValueError(
                 f"{path} has no statistics for {column}, so its newest offset is unknown; timestamps "
@@ -238,7 +249,7 @@ class OffsetStreamReader(DataSourceStreamReader):
         for _, path in self.order[first:]:
             groups = [g for g in self.groups[path] if g.low <= high and (low is None or g.high > low)]
             if groups and path not in self.present:
-                if self.fail_on_data_loss and not self._replaced(path, groups):
+                if self.fail_on_data_loss and not self._replaced(path):
                     raise FileNotFoundError(
                         f"{path} held rows after {low} up to {high} and is gone; with fail_on_data_loss=False "
                         "such rows are left out")
@@ -255,12 +266,45 @@ class OffsetStreamReader(DataSourceStreamReader):
                 slices.append(OffsetSlice(path, wanted, low, high))
         return slices
 
-    def _replaced(self, path: str, groups: list[RowGroup]) -> bool:
-        """Whether files that came later hold as many rows of a file that is gone, as after merging files."""
-        low, high = min(g.low for g in groups), max(g.high for g in groups)
-        later = [f for f in self.present if self.seen[f] > self.seen.get(path, 0)]
-        held = sum(g.rows for f in later for g in self.groups[f] if g.low <= high and g.high >= low)
-        return held >= sum(g.rows for g in groups)
+    def _replaced(self, path: str) -> bool:
+        """Whether files that came later hold the rows of a file that is gone, as after merging files.
+
+        All files that are gone and overlap count together, as one later row replaces one of them only. Later
+        files must have exactly as many rows inside their ranges, and the ends of each; more rows may be
+        new ones in place of lost ones, which is not told apart.
+        """
+        gone = {f for f in self.groups if f not in self.present and self.groups[f]}
+        lost, reached = {path}, [path]
+        while reached:
+            at = reached.pop()
+            more = {f for f in gone - lost if any(
+                g.low <= h.high and g.high >= h.low for g in self.groups[f] for h in self.groups[at])}
+            lost |= more
+            reached += more
+        ranges = [g for f in lost for g in self.groups[f]]
+        ends = {x for g in ranges for x in (g.low, g.high)}
+        came, held = min(self.seen.get(f, 0) for f in lost), 0
+        for file in self.present:
+            if self.seen[file] > came:
+                wanted = [g.index for g in self.groups[file] if any(g.low <= r.high and g.high >= r.low for r in ranges)]
+                for offsets in self._offsets(file, wanted):
+                    inside = np.zeros(len(offsets), bool)
+                    for r in ranges:
+                        inside |= (offsets >= r.low) & (offsets <= r.high)
+                    held += int(inside.sum())
+                    ends -= set(offsets[inside].tolist())
+        return not ends and held == sum(g.rows for g in ranges)
+
+    def _offsets(self, file: str, groups: list[int]):
+        """The offsets in some row groups, without nulls."""
+        import pyarrow.parquet as pq
+
+        if not groups:
+            return
+        filesystem, _ = open_filesystem(self.path)
+        with filesystem.open_input_file(file) as handle:
+            for batch in pq.ParquetFile(handle).iter_batches(_BATCH_ROWS, row_groups=groups, columns=[self.column]):
+                yield _numbers(batch.column(0)).drop_null().to_numpy(zero_copy_only=False)
 
     def commit(self, end: dict) -> None:
         """Nothing to release. See ``offset_update`` for telling others."""
@@ -282,10 +326,7 @@ class OffsetStreamReader(DataSourceStreamReader):
             columns = [c for c in dict.fromkeys([*wanted.names, self.column]) if c in stored]
             for batch in file.iter_batches(_BATCH_ROWS, row_groups=partition.groups, columns=columns):
                 offsets = batch.column(self.column)
-                if pa.types.is_timestamp(offsets.type):
-                    offsets = offsets.cast(pa.timestamp("us", offsets.type.tz)).cast(pa.int64())
-                elif pa.types.is_date(offsets.type):
-                    offsets = offsets.cast(pa.int32())
+                offsets = _numbers(offsets)
                 keep = pc.less_equal(offsets, partition.end)
                 if partition.start is not None:
                     keep = pc.and_(keep, pc.greater(offsets, partition.start))
