@@ -62,15 +62,17 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Projection to the latent space, the labelled vectors in it, and the share of label 1."""
+    """Projection to the latent space, the labelled vectors in it, the share of label 1, and for how many
+    labelled rows each vector stands (without it one)."""
 
     projection: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
     prior: float
+    stands_for: np.ndarray | float = 1.0
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        """Share of label 1 among the nearest labelled vectors, weighted by cosine.
+        """Share of label 1 among the nearest labelled vectors, weighted by cosine and by what they stand for.
 
         Vectors as near as the last neighbour all vote, so ties do not depend on order.
         A text without terms, or with no similar vector, gets the share among all labels.
@@ -80,7 +82,7 @@ class Model:
         near = _unit(rows @ self.projection) @ self.vectors.T
         k = min(NEIGHBOURS, near.shape[1])
         last = np.partition(near, near.shape[1] - k, axis=1)[:, -k]
-        weight = np.where(near >= last[:, None], np.maximum(near, 0), 0).astype(np.float64)
+        weight = np.where(near >= last[:, None], np.maximum(near, 0), 0).astype(np.float64) * self.stands_for
         total = weight.sum(axis=1)
         share = (weight @ self.labels) / np.maximum(total, 1e-12)
         return np.clip(np.where(total > 1e-6, share, self.prior), 0, 1)
@@ -96,7 +98,8 @@ def fit(docs: DataFrame, marks: DataFrame) -> Model:
     """Fit on the texts of ``docs`` (``doc_id, text``) that ``marks`` (``doc_id, label``) label 0 or 1.
 
     At most ``SAMPLE_PER_LABEL`` ids of each label are used, chosen by hash of the id; an id that is repeated
-    counts once, with its smallest text. Only ids are shuffled: the chosen ones, whose number is bounded,
+    counts once, with its smallest text. A row stands for (rows of its label) / (sampled rows of its label), so
+    scores keep to the table's balance of labels whether or not the sample is all. Only ids are shuffled: the chosen ones, whose number is bounded,
     are broadcast to fetch their texts. Without any row every score is 0.5.
     """
     there = docs.select("doc_id").distinct()
@@ -111,9 +114,12 @@ def fit(docs: DataFrame, marks: DataFrame) -> Model:
             terms.append(np.frombuffer(zlib.decompress(row["terms"]), np.float32))
     if not labels:
         return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
-    terms = np.stack(terms)
-    rarity = np.log((1 + len(terms)) / (1 + (terms > 0).sum(axis=0))) + 1
-    weighted = terms * rarity.astype(np.float32)
+    terms, labels = np.stack(terms), np.array(labels)
+    stands_for = np.ones(len(labels))
+    for label in counts:
+        stands_for[labels == label] = counts[label] / max((labels == label).sum(), 1)
+    rarity = np.log((1 + stands_for.sum()) / (1 + stands_for @ (terms > 0))) + 1
+    weighted = terms * rarity.astype(np.float32) * np.sqrt(stands_for)[:, None].astype(np.float32)
     random = np.random.Generator(np.random.PCG64(8))
     basis = random.standard_normal((len(terms), min(DIMENSIONS + 16, len(terms)))).astype(np.float32)
     for _ in range(4):
@@ -121,8 +127,8 @@ def fit(docs: DataFrame, marks: DataFrame) -> Model:
         basis, _ = np.linalg.qr(weighted @ right)
     _, _, axes = np.linalg.svd(basis.T @ weighted, full_matrices=False)
     projection = (axes[:DIMENSIONS].T * rarity[:, None]).astype(np.float32)
-    return Model(projection, _unit(terms @ projection).astype(np.float32), np.array(labels, np.float64),
-                 counts.get(1, 0) / max(sum(counts.values()), 1))
+    return Model(projection, _unit(terms @ projection).astype(np.float32), labels.astype(np.float64),
+                 counts.get(1, 0) / max(sum(counts.values()), 1), stands_for)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

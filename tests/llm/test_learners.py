@@ -150,3 +150,22 @@ def test_search_of_clusters_and_an_outlier(spark):
         got.setdefault(x.query_id, []).append(x.vec_id)
     assert {q: len(v) for q, v in got.items()} == dict.fromkeys(want, 10)
     assert sum(len(set(want[q]) & set(got[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_quality_scores_do_not_depend_on_the_sample(spark, monkeypatch):
+    """The same 1000 documents by all labelled rows (some 2700 to 450) and by 150 of each label."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    some = docs.where("doc_id % 10 = 0")
+    monkeypatch.setattr(quality, "SAMPLE_PER_LABEL", 10_000)
+    whole = {r.doc_id: r for r in quality.score(some, quality.learn(docs, labels)).collect()}
+    monkeypatch.setattr(quality, "SAMPLE_PER_LABEL", 150)
+    part = {r.doc_id: r for r in quality.score(some, quality.learn(docs, labels)).collect()}
+    assert sum(abs(r.score - part[i].score) for i, r in whole.items()) <= 0.01 * len(whole)
+    assert sum(r.predicted != part[i].predicted for i, r in whole.items()) <= 0.005 * len(whole)
+
+
+def test_votes_stand_for_the_labelled_rows():
+    vectors = np.eye(2, dtype=np.float32)[[0] * 5 + [0] * 5]
+    model = quality.Model(np.eye(quality.TERMS, 2, dtype=np.float32), vectors, np.repeat([1.0, 0.0], 5), 0.85,
+                          np.repeat([17.0, 3.0], 5))
+    assert model.scores(np.eye(1, quality.TERMS, dtype=np.float32)) == pytest.approx([0.85])
