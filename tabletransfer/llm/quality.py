@@ -147,6 +147,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         "doc_id", F.col("doc_id").cast("long")).mapInArrow(scored, "doc_id long, score double, predicted int")
 
 
+def passing(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows, all columns, whose own text is predicted 1."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = [sent.value.scores(block) for block in term_rows(batch.column(at))]
+            if blocks:
+                yield batch.filter(pa.array(np.concatenate(blocks) >= THRESHOLD))
+
+    return docs.mapInArrow(passed, docs.schema)
+
+
 def held_out(id_col: str = "doc_id", parts: int = 5, part: int = 0):
     """Whether the row is kept from learning; a null id is in neither group."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part, F.lit(False))
