@@ -6,7 +6,8 @@ that are sent, has reached half of that turn. Serving turns in the order of thei
 source within about a turn of its target at every point of the stream, and cutting the
 stream every ``length`` tokens fills each window. As the order is known from the queues' totals
 alone, each task finds the places of its own documents' turns without seeing others': deficits
-carry over windows and partitions alike.
+carry over windows and partitions alike. Where the queues are too many for every task to hold their
+totals, the turns are sorted by their due times instead, and a prefix sum gives the same places.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from tabletransfer.llm.shared import keep, plain
 from tabletransfer.llm.tokens import VOCABULARY, encoder, token_ids
 
 LENGTH, TURN = 1024, 128
-#: With more sources than this a queue holds the sources of one hash value.
+#: With more sources than this tasks do not hold the totals of all queues; turns are sorted for their places.
 MAX_QUEUES = 1024
+#: Turns of a queue that are made together.
+TURNS_TOGETHER = 4096
 #: Follows each document's ids.
 END_ID = 0
 
@@ -77,9 +80,11 @@ def stream_places(turns: np.ndarray, queue: np.ndarray, rates: np.ndarray, total
     return places
 
 
-def _pieces(start: np.ndarray, n: np.ndarray, queue: np.ndarray, rates: np.ndarray, totals: np.ndarray,
-            length: int) -> tuple[np.ndarray, ...]:
-    """Document number, start in it, length, place in the stream of every piece of these documents."""
+def _pieces(start: np.ndarray, n: np.ndarray, places, length: int) -> tuple[np.ndarray, ...]:
+    """Document number, start in it, length, place in the stream of every piece of these documents.
+
+    ``places`` gives the places of turns, for their numbers and those of their documents, which it gets in order.
+    """
 
     def split(begin, count, size):
         """Stretches cut at multiples of ``size``: number of the stretch, begin and count of its parts."""
@@ -90,7 +95,7 @@ def _pieces(start: np.ndarray, n: np.ndarray, queue: np.ndarray, rates: np.ndarr
         return of, first, np.minimum(begin[of] + count[of], (k + 1) * size) - first, k
 
     doc, first, count, turn = split(start, n, TURN)
-    place = stream_places(turn, queue[doc], rates, totals) + first - turn * TURN
+    place = places(turn, doc) + first - turn * TURN
     # Neighbouring turns of one document become one stretch before windows are cut.
     joined = np.zeros(len(doc), bool)
     joined[1:] = (doc[1:] == doc[:-1]) & (place[1:] == place[:-1] + count[:-1])
@@ -101,6 +106,49 @@ def _pieces(start: np.ndarray, n: np.ndarray, queue: np.ndarray, rates: np.ndarr
     return doc[of], inside[of] + at - place[of], size, at
 
 
+def _sorted_places(totals: DataFrame) -> DataFrame:
+    """``queue, turn, place`` of every turn of queues with ``queue, total, rate``, what ``stream_places`` finds.
+
+    Turns are sorted over all tasks by due time, queue and number; each sorted part adds up its own sizes, and the
+    sums of the parts, one row a part, give where each begins.
+    """
+    most = F.ceil(F.col("total") / TURN).cast("long")
+    blocks = totals.select("queue", "total", "rate", most.alias("most"), F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((most - 1) / TURNS_TOGETHER).cast("long"))).alias("block")).repartition("queue", "block")
+    first = F.col("block") * TURNS_TOGETHER
+    turns = blocks.select("queue", "total", "rate", F.explode(F.sequence(
+        first, F.least(first + TURNS_TOGETHER, "most") - 1)).alias("turn"))
+    ordered = turns.select(((F.col("turn") + 0.5) / F.col("rate")).alias("due"), "queue", "turn", F.least(
+        F.lit(TURN).cast("long"), F.col("total") - F.col("turn") * TURN).alias("size")).orderBy("due", "queue", "turn")
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            size = batch.column(3).to_numpy()
+            sums = before + np.cumsum(size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), batch.column(2), pa.array(size), pa.array(sums - size), pa.array(np.full(len(size), run))],
+                names=["queue", "turn", "size", "before", "run"])
+            before = sums[-1] if len(sums) else before
+
+    rows = keep(ordered.mapInArrow(summed, "queue string, turn long, size long, before long, run long"), "turns")
+    earlier = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy("run").agg(F.sum("size").alias("size")).select(
+        "run", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
+    return rows.join(F.broadcast(runs), "run").select("queue", "turn", (F.col("base") + F.col("before")).alias("place"))
+
+
+def _with_places(ready: DataFrame, totals: DataFrame) -> DataFrame:
+    """The documents with ``places``, those of their turns in order."""
+    turn = F.explode(F.sequence(F.floor(F.col("start") / TURN).cast("long"),
+                                F.floor((F.col("start") + F.col("n") - 1) / TURN).cast("long"))).alias("turn")
+    # Where a document starts in its queue tells it apart, as each has one id at least.
+    of_doc = (ready.select("queue", "start", turn).join(_sorted_places(totals), ["queue", "turn"])
+              .groupBy("queue", "start").agg(F.sort_array(F.collect_list(F.struct("turn", "place"))).alias("turns"))
+              .select("queue", "start", F.col("turns.place").alias("places")))
+    return ready.join(of_doc, ["queue", "start"])
+
+
 def pack(docs: DataFrame, length: int = LENGTH, weights: dict[str, float] | None = None,
          vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue`` of every piece.
@@ -109,20 +157,21 @@ def pack(docs: DataFrame, length: int = LENGTH, weights: dict[str, float] | None
     but the last is full. ``weights`` gives the sources' shares of the tokens; without it, and for
     sources not in it (which then weigh 1 token each per token they have), a source's share is that
     of its tokens, so all queues end together. When a queue is empty the others go on in their proportions.
-    ``with_ids`` adds the ids of each piece as ``ids array<int>``. Null texts are empty, a
+    Every source is a queue, however many there are; the column ``queue`` names it, and without ``weights``, from more
+    than ``MAX_QUEUES`` sources on, is only a hash of it. ``with_ids`` adds the ids of each piece as ``ids array<int>``. Null texts are empty, a
     null source is a queue of its own, repeated rows are packed each. Further columns are not read.
     """
     source = F.col("source").cast("string")
     docs = plain(docs, "doc_id", "source", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("queue"),
         "text")
-    if weights is None and docs.select("queue").distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        docs = docs.withColumn("queue", F.pmod(F.xxhash64("queue"), F.lit(MAX_QUEUES)).cast("string"))
     tokenized, width = _tokenized(vocabulary)
     tokens = keep(docs.mapInArrow(
         tokenized, "doc_id long, queue string, part long, start long, n long, ids binary"), "tokens")
     per_part = keep(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "queues")
-    total = {r["queue"]: r["n"] for r in per_part.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    sums = keep(per_part.groupBy("queue").agg(F.sum("n").alias("total")), "totals")
+    many = sums.limit(MAX_QUEUES + 1).count() > MAX_QUEUES
+    total = {} if many else {r["queue"]: r["total"] for r in sums.collect()}
     names = sorted(total)
     totals = np.array([total[q] for q in names], np.int64)
     rates = np.array([(weights or {}).get(q[1:], total[q]) for q in names], np.float64) / TURN
@@ -135,16 +184,20 @@ def pack(docs: DataFrame, length: int = LENGTH, weights: dict[str, float] | None
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                doc_id, queue, start, n, ids = batch.columns
-                doc, inside, size, place = _pieces(
-                    start.to_numpy(), n.to_numpy(), np.array([number[q] for q in queue.to_pylist()], np.int64),
-                    rates, totals, length)
+                doc_id, queue, start, n, ids, label = batch.columns[:6]
+                if many:
+                    flat = batch.column(6).flatten().to_numpy()
+                    places = lambda turn, doc: flat  # noqa: B023, E731
+                else:
+                    own = np.array([number[q] for q in queue.to_pylist()], np.int64)
+                    places = lambda turn, doc: stream_places(turn, own[doc], rates, totals)  # noqa: B023, E731
+                doc, inside, size, place = _pieces(start.to_numpy(), n.to_numpy(), places, length)
                 wide = [np.frombuffer(i.as_buffer(), width).astype("<u4") for i in ids]
                 cut = [wide[d][a:a + s] for d, a, s in zip(doc.tolist(), inside.tolist(), size.tolist())]
                 columns = [
                     doc_id.take(pa.array(doc)), pa.array(inside), pa.array(size),
                     pa.array([zlib.crc32(c) for c in cut], pa.int64()), n.take(pa.array(doc)),
-                    pa.array(place // length), pa.array(place % length), queue.take(pa.array(doc))]
+                    pa.array(place // length), pa.array(place % length), label.take(pa.array(doc))]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"]
                 if with_ids:
                     columns.append(pa.array(cut, pa.list_(pa.int32())))
@@ -152,6 +205,19 @@ def pack(docs: DataFrame, length: int = LENGTH, weights: dict[str, float] | None
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     ready = tokens.join(bases, ["queue", "part"]).select("doc_id", "queue", (F.col("start") + F.col("base")).alias("start"), "n", "ids")
+    label = F.pmod(F.xxhash64("queue"), F.lit(MAX_QUEUES)).cast("string") if many and weights is None else F.col("queue")
+    columns = ["doc_id", "queue", "start", "n", "ids", label.alias("label")]
+    if many:
+        rate = F.col("total").cast("double")
+        if weights:
+            names = docs.sparkSession.createDataFrame(
+                [(f"={s}", float(w)) for s, w in weights.items()] + [("", float(w)) for s, w in weights.items() if s == ""],
+                "queue string, weight double")
+            sums = sums.join(names, "queue", "left")
+            rate = F.coalesce("weight", rate)
+        ready = _with_places(ready, sums.select("queue", "total", (rate / TURN).alias("rate")))
+        columns.append("places")
+    ready = ready.select(*columns)
     schema = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
               "queue string" + ", ids array<int>" * with_ids)
     return ready.mapInArrow(placed, schema)

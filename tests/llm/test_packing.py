@@ -91,6 +91,20 @@ def test_mixture_with_more_sources_than_queues(spark, slow, monkeypatch):
     assert len({p.queue for p in pieces}) <= 3
 
 
+@pytest.mark.parametrize("weights", [None, {"s1": 4000.0, "s5": 90.5, "": 7.0}])
+def test_many_sources_are_packed_like_few(spark, slow, monkeypatch, weights):
+    """One queue per source at every size: places do not depend on how they are found."""
+    from tabletransfer.llm import mixture
+    monkeypatch.setattr(mixture, "TURNS_TOGETHER", 2)
+    rows = [(i, " ".join(words(i, 20 + 37 * i % 400)), "en", (f"s{i % 12}", None, "")[i % 40 // 38 + i % 40 // 39], 0) for i in range(120)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5, "doc_id")
+    few = sorted(map(tuple, pack(docs, weights=weights).drop("queue").collect()))
+    monkeypatch.setattr(mixture, "MAX_QUEUES", 3)
+    pieces = pack(docs, weights=weights, with_ids=True).collect()
+    check_cover(slow, docs.collect(), pieces)
+    assert sorted(tuple(p)[:7] for p in pieces) == few
+
+
 def test_mixture_of_odd_rows(odd_docs, no_docs, slow):
     pieces = pack(odd_docs, with_ids=True).collect()
     check_cover(slow, odd_docs.collect(), pieces)
