@@ -153,9 +153,10 @@ def passing(docs: DataFrame, model: Model) -> DataFrame:
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = [sent.value.scores(block) for block in term_rows(batch.column(at))]
-            if blocks:
-                yield batch.filter(pa.array(np.concatenate(blocks) >= THRESHOLD))
+            row = 0
+            for block in term_rows(batch.column(at)):
+                yield batch.slice(row, len(block)).filter(pa.array(sent.value.scores(block) >= THRESHOLD))
+                row += len(block)
 
     return docs.mapInArrow(passed, docs.schema)
 
