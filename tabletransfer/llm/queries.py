@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabletransfer.llm.bestfit import pack_matrix
+from tabletransfer.llm.centroids import clusters, clusters_sql
 from tabletransfer.llm.decontaminate import contamination
 from tabletransfer.llm.hamming import search
 from tabletransfer.llm.language import languages
@@ -61,7 +62,11 @@ def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_decontamination, op3_bestfit_packing, op4_mixture_packing, op5_language, op6_repeats, op7_rollups,
-    op8_quality, op9_warc, op10_multi_index_hashing)}
-ORACLES: dict[str, str] = {}
+    op8_quality, op9_warc, op10_multi_index_hashing, op11_centroids)}
+ORACLES: dict[str, str] = {"op11_centroids": clusters_sql()}
