@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabletransfer.llm.bestfit import pack_matrix
 from tabletransfer.llm.centroids import clusters, clusters_sql
 from tabletransfer.llm.decontaminate import contamination
+from tabletransfer.llm.divergence import DIVERGENCE_SQL, divergence
 from tabletransfer.llm.hamming import search
 from tabletransfer.llm.language import languages
 from tabletransfer.llm.minhash import near_duplicates
@@ -66,7 +67,11 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_decontamination, op3_bestfit_packing, op4_mixture_packing, op5_language, op6_repeats, op7_rollups,
-    op8_quality, op9_warc, op10_multi_index_hashing, op11_centroids)}
-ORACLES: dict[str, str] = {"op11_centroids": clusters_sql()}
+    op8_quality, op9_warc, op10_multi_index_hashing, op11_centroids, op12_divergence)}
+ORACLES: dict[str, str] = {"op11_centroids": clusters_sql(), "op12_divergence": DIVERGENCE_SQL}
