@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabletransfer.llm.bestfit import pack_matrix
+from tabletransfer.llm.bpe import round_trip_digests
 from tabletransfer.llm.centroids import clusters, clusters_sql
 from tabletransfer.llm.decontaminate import contamination
 from tabletransfer.llm.divergence import DIVERGENCE_SQL, divergence
@@ -71,7 +72,12 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_decontamination, op3_bestfit_packing, op4_mixture_packing, op5_language, op6_repeats, op7_rollups,
-    op8_quality, op9_warc, op10_multi_index_hashing, op11_centroids, op12_divergence)}
+    op8_quality, op9_warc, op10_multi_index_hashing, op11_centroids, op12_divergence,
+    op13_prefix_bpe)}
 ORACLES: dict[str, str] = {"op11_centroids": clusters_sql(), "op12_divergence": DIVERGENCE_SQL}
