@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabletransfer.llm.bestfit import CapacityTree, best_fit_decreasing, pack_matrix
@@ -183,6 +184,47 @@ def test_rollup_batches_count_once(spark):
     assert sorted(r.batch_id for r in rollup._folded(rollup._base()[0]).collect()) == [1, 2, 3]
 
 
+def one_batch(spark, tokens, source="x"):
+    return inserts(spark.createDataFrame([(1, source, "en", "words-1", tokens)], "doc_id long, source string, lang string, tokenizer string, tokens long"))
+
+
+def test_rollup_commit_while_compacting(spark, monkeypatch):
+    """A batch that comes between the sums and the ids of a compaction is counted once, later."""
+    rollup, other = Rollup(spark, new_path(spark, "rollup")), None
+    other = Rollup(spark, rollup.path)
+    rollup.commit(1, one_batch(spark, 5))
+    add = Rollup._sum
+    calls = []
+
+    def summed(self, base, batches):
+        result = add(self, base, batches)
+        if not calls:
+            calls.append(other.commit(2, one_batch(spark, 7)))
+        return result
+
+    monkeypatch.setattr(Rollup, "_sum", summed)
+    rollup.compact()
+    assert calls == [True] and totals(rollup) == {("x", "en", "words-1"): (2, 12)}
+    rollup.compact()
+    rollup.commit(3, one_batch(spark, 1))
+    rollup.compact()
+    assert totals(rollup) == {("x", "en", "words-1"): (3, 13)}
+    # Folders of batches that were folded before the newest base are gone.
+    assert [p.split("/")[-2] for p in rollup._complete("deltas/batch_id=*/*")] == ["batch_id=3"]
+    assert not rollup.commit(1, one_batch(spark, 5))
+
+
+def test_rollup_commit_that_dies_again(spark):
+    """A repeated commit that fails half way leaves the batch as it was."""
+    rollup = Rollup(spark, new_path(spark, "rollup"))
+    rollup.commit(1, one_batch(spark, 5))
+    broken = one_batch(spark, 5).withColumn("tokens", F.raise_error(F.lit("died")).cast("long"))
+    with pytest.raises(Exception, match="died"):
+        rollup.commit(1, broken)
+    assert totals(rollup) == {("x", "en", "words-1"): (1, 5)}
+    assert rollup.commit(1, one_batch(spark, 6)) and totals(rollup) == {("x", "en", "words-1"): (1, 6)}
+
+
 def test_rollup_query_like_brute_force(spark, slow):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
