@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -70,19 +73,96 @@ def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
     fs.delete(old, True)
 
 
+def write_new_note(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a few bytes to a file unless it exists; False if it does. The store decides between several writers."""
+    fs, p = hadoop_path(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    return True
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none, or none yet."""
+    fs, p = hadoop_path(spark, path)
+    try:
+        stream = fs.open(p)
+    except Py4JJavaError:
+        if fs.exists(p):
+            raise
+        return None
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") or None
+    finally:
+        stream.close()
+
+
+def note_age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written; 0 if it is gone."""
+    fs, p = hadoop_path(spark, path)
+    try:
+        return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+    except Py4JJavaError:
+        return 0.0
+
+
+def same_path(a: str | None, b: str | None) -> bool:
+    """Whether two paths name one place, with or without a scheme."""
+    plain = lambda path: "/" + (path or "").partition(":")[2].lstrip("/") if ":" in (path or "") else path
+    return plain(a) == plain(b)
+
+
 def write_note(spark: SparkSession, path: str, text: str) -> None:
-    """Put a few bytes into a file that appears whole, replacing an older one."""
+    """Put a few bytes into a file that appears whole, replacing an older one.
+
+    The new bytes are a file of their own, ``path`` with a rising number, before the older one is deleted, so a crash at any
+    moment leaves one of the two. ``newest_notes`` finds them.
+    """
     folder, _, name = path.rpartition("/")
-    fs, final = hadoop_path(spark, path)
+    fs, _ = hadoop_path(spark, folder)
+    stem, dot, kind = name.rpartition(".")
+    older = _versions(spark, folder).get(name, [])
+    number = older[-1][0] + 1 if older else 1
     _, draft = hadoop_path(spark, f"{folder}/_{unique_name(name)}")
+    _, final = hadoop_path(spark, f"{folder}/{stem}.v{number:09d}{dot}{kind}")
     out = fs.create(draft, True)
     try:
         out.write(text.encode())
     finally:
         out.close()
-    fs.delete(final, False)
     if not fs.rename(draft, final):
         raise OSError(f"could not write {path}")
+    for _, old in older:
+        fs.delete(hadoop_path(spark, old)[1], False)
+
+
+_VERSION = re.compile(r"(.*)\.v(\d{9})(\.\w+)")
+
+
+def _versions(spark: SparkSession, folder: str) -> dict[str, list[tuple[int, str]]]:
+    """The files that ``write_note`` left, by name; a plain file of that name counts as the oldest version."""
+    fs, p = hadoop_path(spark, folder)
+    found: dict[str, list[tuple[int, str]]] = {}
+    if fs.exists(p):
+        for status in fs.listStatus(p):
+            name = status.getPath().getName()
+            if not name.startswith(("_", ".")):
+                match = _VERSION.fullmatch(name)
+                key, number = (match[1] + match[3], int(match[2])) if match else (name, 0)
+                found.setdefault(key, []).append((number, status.getPath().toString()))
+    return {name: sorted(files) for name, files in found.items()}
+
+
+def newest_notes(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The newest file of each note below ``folder``, by the note's name."""
+    return {name: files[-1][1] for name, files in _versions(spark, folder).items()}
 
 
 def path_usage(spark: SparkSession, path: str) -> tuple[int, int]:

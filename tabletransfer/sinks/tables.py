@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from tabletransfer.operators.conform import conform
 from tabletransfer.operators.distribution import BY_KEY, Distribution, RANDOMLY, REPLICATED, parse_distribution, spread
 from tabletransfer.plans.scripts import run_undo
-from tabletransfer.session import delete_path, path_usage, unique_name
+from tabletransfer.session import path_usage, unique_name
 from tabletransfer.sinks.catalog import (
-    DISTRIBUTION, OWNED, drop_table, new_location, publish, recover, set_properties, table_info,
+    DISTRIBUTION, OWNED, discard, new_location, publish, set_properties, settle, table_info,
 )
 from tabletransfer.sources.targets import Target, quote, resolve_table
 
@@ -104,7 +104,7 @@ def write_table(
     chosen = save_mode(mode)
     spark = df.sparkSession
     target = resolve_table(spark, name, schemas)
-    exists = recover(spark, target)
+    exists = settle(spark, target)
     started = time.monotonic()
     if exists and chosen == IGNORE:
         return WriteReport(target.sql_name, "ignored", 0, None, None, 0)
@@ -136,8 +136,7 @@ def write_table(
                 set_properties(spark, staged.sql_name, **properties)
                 publish(spark, staged, target)
             except Exception:
-                spark.sql(f"DROP TABLE IF EXISTS {staged.sql_name}")
-                delete_path(spark, path)
+                discard(spark, staged, target, path)
                 raise
             files, size = path_usage(spark, path)
         spark.catalog.refreshTable(target.sql_name)

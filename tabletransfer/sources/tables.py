@@ -11,9 +11,13 @@ from tabletransfer.operators.conform import apply_schema
 from tabletransfer.operators.distribution import REPLICATED, parse_distribution, spread, spread_salted
 from tabletransfer.plans.filters import Predicate, split_filters
 from tabletransfer.plans.schema import schema_argument
-from tabletransfer.sinks.catalog import TableInfo, recover, table_info
+from tabletransfer.sinks.catalog import TableInfo, table_info, visible
 from tabletransfer.session import path_usage
-from tabletransfer.sources.targets import Target, quote, refresh_tables, resolve, table_exists
+from tabletransfer.sources.targets import Target, quote, refresh_tables, resolve
+
+
+#: How often a reader looks again for a table that writers replace again and again.
+_ATTEMPTS = 20
 
 
 def _shape(df: DataFrame, schema, columns, filters) -> DataFrame:
@@ -45,12 +49,20 @@ def read_table(
     are below Spark's broadcast threshold; a larger one is joined like any other.
     """
     target = resolve(spark, name, schemas)
-    if not table_exists(spark, target) and not recover(spark, target):
-        raise ValueError(f"no table {target.sql_name}")
-    info = _info_or_none(spark, target)
-    if info and refresh:
-        spark.catalog.refreshTable(target.sql_name)
-    df = spark.table(target.sql_name)
+    for attempt in range(_ATTEMPTS):
+        found = visible(spark, target)
+        if found is None:
+            raise ValueError(f"no table {target.sql_name}")
+        try:
+            info = _info_or_none(spark, found)
+            if info and refresh:
+                spark.catalog.refreshTable(found.sql_name)
+            df = spark.table(found.sql_name)
+            break
+        except AnalysisException:
+            # A writer may have taken the name since; then the rows are elsewhere now.
+            if attempt + 1 == _ATTEMPTS:
+                raise
     if info and _fits_broadcast(spark, info):
         df = df.hint("broadcast")
     return _shape(df, schema, columns, filters)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tabletransfer.plans.scripts import read_transfer
-from tabletransfer.session import path_exists, unique_name, write_note
+from tabletransfer.session import newest_notes, unique_name, write_note
 from tabletransfer.sources.targets import refresh_tables
 from tabletransfer.streaming.sink import EpochSink, start
 
@@ -62,8 +62,9 @@ class Ledger:
         self.path = path
         self.slots = max(_LEAST_SLOTS, int(spark.conf.get(_RETAINED)) + 1)
         self.entries: dict[int, Range] = {}
-        if path_exists(spark, path):
-            rows = spark.read.schema(self.SCHEMA).json(path).collect()
+        files = list(newest_notes(spark, path).values())
+        if files:
+            rows = spark.read.schema(self.SCHEMA).json(files).collect()
             self.entries = {entry.epoch: entry for entry in (Range(*row) for row in rows)}
 
     @property

@@ -245,18 +245,118 @@ def test_missing_table(spark):
         read_table(spark, "no_such_table")
 
 
-def test_table_comes_back_after_a_crash_between_renames(spark, db):
-    from tabletransfer.sinks.catalog import recover
-    from tabletransfer.sources.tables import read_table
-    from tabletransfer.sources.targets import Target
+class Killed(BaseException):
+    """Ends a write like the end of its process: nothing that catches errors runs."""
+
+
+def _shapes(kind):
+    """Old and new rows, and how they are written, for one catalog call and for two renames."""
+    old, new = ("id", "id + 100 AS id") if kind == "same" else ("id", "id + 100 AS id, 'x' AS more")
+    return old, new, {"partition_by": ["p"]} if kind == "partitioned" else {}
+
+
+@pytest.mark.parametrize("kind", ["same", "other columns", "partitioned"])
+def test_readers_at_every_step_see_old_or_new_rows(spark, db, monkeypatch, kind):
+    from tabletransfer.sinks import catalog
+
+    old, new, how = _shapes(kind)
+    extra = ", id % 2 AS p" if kind == "partitioned" else ""
+    rows = lambda text: spark.range(4).selectExpr(*(text + extra).split(", "))
+    write_table(rows(old), f"{db}.t", "overwrite", **how)
+    seen = []
+
+    def look(step):
+        # A reader of another session, which also must not disturb the writer.
+        seen.append((step, sorted(r.id for r in read_table(spark.newSession(), f"{db}.t").collect())))
+
+    monkeypatch.setattr(catalog, "_step", look)
+    write_table(rows(new), f"{db}.t", "overwrite", **how)
+    before, after = [0, 1, 2, 3], [100, 101, 102, 103]
+    want = [("leased", before), ("moved", after)] if kind == "same" else [("leased", before), ("aside", before), ("named", after)]
+    assert seen == want
+    assert sorted(r.id for r in read_table(spark, f"{db}.t").collect()) == after
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").where("not isTemporary").collect()] == ["t"]
+    if kind == "same":
+        assert spark.table(f"{db}.t").count() == 4  # any reader, without this library
+
+
+@pytest.mark.parametrize("kind", ["same", "other columns", "partitioned"])
+@pytest.mark.parametrize("died", ["leased", "moved", "aside", "named"])
+def test_a_dead_writer_is_cleaned_up_after_its_lease(spark, db, monkeypatch, kind, died):
+    from tabletransfer.session import hadoop_path
+    from tabletransfer.sinks import catalog
+
+    if (died == "moved") != (kind == "same") and died != "leased":
+        pytest.skip("no such step")
+    old, new, how = _shapes(kind)
+    extra = ", id % 2 AS p" if kind == "partitioned" else ""
+    rows = lambda text: spark.range(4).selectExpr(*(text + extra).split(", "))
+    write_table(rows(old), f"{db}.t", "overwrite", **how)
+
+    def die(step):
+        if step == died:
+            raise Killed
+
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "_step", die)
+        m.setattr(catalog, "LEASE_SECONDS", -1)
+        with pytest.raises(Killed):
+            write_table(rows(new), f"{db}.t", "overwrite", **how)
+    published = died in ("moved", "named")
+    start = 100 if published else 0
+    want = list(range(start, start + 4))
+    tables = lambda: {r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").where("not isTemporary").collect()}
+    left = tables()
+    for _ in range(2):  # readers see a whole table and change nothing
+        assert sorted(r.id for r in read_table(spark, f"{db}.t").collect()) == want
+    assert tables() == left
+    report = write_table(spark.range(7, 8).selectExpr("id", *(["id % 2 AS p"] if extra else [])), f"{db}.t", "append")
+    assert report.action == "appended"
+    assert sorted(r.id for r in read_table(spark, f"{db}.t").collect()) == sorted([*want, 7])
+    assert tables() == {"t"}
+    root = spark.catalog.getDatabase(db).locationUri
+    filesystem, path = hadoop_path(spark, root)
+    assert len(filesystem.listStatus(path)) == 1  # no lease, no rows of the other write
+
+
+def test_a_writer_waits_for_another_one(spark, db, monkeypatch):
+    import threading
+
+    from tabletransfer.sinks import catalog
+
+    write_table(spark.range(3), f"{db}.t", "overwrite")
+    held, go = threading.Event(), threading.Event()
+
+    def stop(step):
+        if step == "leased" and not held.is_set():
+            held.set()
+            go.wait(60)
+
+    monkeypatch.setattr(catalog, "_step", stop)
+    first = threading.Thread(target=lambda: write_table(spark.range(10, 12), f"{db}.t", "overwrite"))
+    first.start()
+    held.wait(60)
+    second = threading.Thread(target=lambda: write_table(spark.range(20, 24), f"{db}.t", "append"))
+    second.start()
+    second.join(1)
+    assert second.is_alive() and read_table(spark, f"{db}.t").count() == 3
+    go.set()
+    first.join(60)
+    second.join(60)
+    assert sorted(r.id for r in read_table(spark, f"{db}.t").collect()) == [10, 11, 20, 21, 22, 23]
+
+
+def test_a_lease_without_a_word_ends(spark, db, monkeypatch):
+    from tabletransfer.session import hadoop_path
+    from tabletransfer.sinks import catalog
 
     write_table(spark.range(3), f"{db}.t", "overwrite")
-    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t_old_0123456789abcdef")
-    assert read_table(spark, f"{db}.t").count() == 3
-    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t_old_0123456789abcdef")
-    report = write_table(spark.range(4), f"{db}.t", "append")
-    assert report.action == "appended" and read_table(spark, f"{db}.t").count() == 7
-    assert not recover(spark, Target("", False, db, "never"))
+    target = catalog.Target("", False, db, "t")
+    filesystem, path = hadoop_path(spark, catalog._lease_path(spark, target))
+    filesystem.create(path, False).close()
+    monkeypatch.setattr(catalog, "LEASE_SECONDS", -1)
+    assert write_table(spark.range(2), f"{db}.t", "append").rows == 2
+    assert read_table(spark, f"{db}.t").count() == 5 and not filesystem.exists(path)
 
 
 def test_partitioned_buckets_have_one_file_each(spark, db):
