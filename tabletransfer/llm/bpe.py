@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -106,8 +107,16 @@ class Vocabulary:
                 yield token
 
     def last_tokens(self, data: bytes) -> list[int]:
-        """The last token of each prefix of ``data`` (of 1, 2, … bytes)."""
-        return list(self.following(data, [], 0))
+        """The last token of each prefix of ``data`` (of 1, 2, … bytes); ``following`` from the start, in one loop."""
+        known, apart, lengths = [], self._apart.get, self._sizes
+        for at, token in self._suffixes.iter(data.decode("latin-1")):
+            if len(known) == at:
+                before = at - lengths[token]
+                left = known[before] if before >= 0 else -1
+                fits = apart((left << 32) + token)
+                if fits or fits is None and self.stay_apart(left, token):
+                    known.append(token)
+        return known
 
     def chain(self, data: bytes, last: list[int]) -> list[int]:
         """The encoding that last tokens stand for. A piece that is a token as a whole is that token."""
@@ -133,7 +142,7 @@ class Vocabulary:
 
     def piece_ids(self, piece: str) -> bytes:
         data = piece.encode()
-        return np.array(self.chain(data, self.last_tokens(data) if data not in self.ranks else []), "<u4").tobytes()
+        return _four_bytes(self.chain(data, self.last_tokens(data) if data not in self.ranks else []))
 
     def ids_of(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit numbers."""
@@ -160,6 +169,10 @@ class Vocabulary:
         return self._bytes[places + np.repeat(self._starts[numbers] - (ends - sizes), sizes)].tobytes()
 
 
+def _four_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _ranges(codes: Iterable[int]) -> str:
     """Code points as ranges for a character class."""
     codes = np.array(sorted(codes))
@@ -222,7 +235,7 @@ class Encoded:
 
     def stored(self) -> tuple[bytes, bytes]:
         flat = [t for tokens in self.last for t in tokens]
-        return np.array(self.starts, "<u4").tobytes(), np.array(flat, "<u4").tobytes()
+        return _four_bytes(self.starts), _four_bytes(flat)
 
     def pieces(self) -> Iterator[str]:
         for a, b in zip(self.starts, [*self.starts[1:], len(self.text)]):
@@ -368,7 +381,7 @@ def revise(rows: DataFrame, name: str = RANKS, pattern: str = public_tokenizers.
                     for edit in row["edits"] or []:
                         end = len(one.text) if edit["end"] is None else edit["end"]
                         one.replace(end if edit["start"] is None else edit["start"], end, edit["new"] or "")
-                    out.append((row["doc_id"], one.text, *one.stored(), np.array(one.ids(), "<u4").tobytes()))
+                    out.append((row["doc_id"], one.text, *one.stored(), _four_bytes(one.ids())))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()))],
                     names=["doc_id", "text", "starts", "last", "ids"])
