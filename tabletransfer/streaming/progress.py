@@ -50,6 +50,14 @@ def stop_between_batches(query: StreamingQuery, timeout: float = 60.0) -> bool:
     return idle
 
 
+def drain(query: StreamingQuery) -> None:
+    """Let a stream with a short trigger take all there is, in as many batches as its limits ask for, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 class OffsetUpdate(StreamingQueryListener):
     """Runs DML with one ``?`` for the end offset of each finished micro-batch of a query."""
 

@@ -1,17 +1,17 @@
 """A micro-batch source over parquet files, driven by an ordered offset column.
 
 Each micro-batch holds the rows with ``start < offset <= end``. The newest position
-comes from parquet footers, and footers are read once per file: those of the files that are
-there when the stream is set up by a Spark job, those of later files with the poll that finds
+comes from parquet footers, and footers are read once per file: those of many files that are
+there when the stream is set up by a Spark job, others with the poll that finds
 them. A poll costs one listing plus the footers of new files. Row groups outside the range are
-never read. A file with rows of the range that is gone fails the batch.
+never read. A file with rows of the range that is gone fails the batch, and so does one that comes
+when batches have passed its rows. With a checkpoint the footers are kept in an index next to it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from bisect import bisect_right
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -23,6 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 from tabletransfer.session import hadoop_path, scratch_path
 from tabletransfer.sinks.catalog import table_info
+from tabletransfer.streaming.fileindex import FOLDER, FileIndex, Plan, RowGroup
 
 SOURCE_NAME = "transfer_offsets"
 
@@ -30,8 +31,12 @@ LATEST, EARLIEST = "latest", "earliest"
 
 _READ_THREADS = 16
 _BATCH_ROWS = 65_536
-# Footers that a task of the set-up job reads.
+# Footers that a task of the set-up job reads; up to so many the driver reads by itself.
 _FOOTERS_PER_TASK = 256
+# Row groups whose offsets are kept in memory to cut batches inside them.
+_KEPT_OFFSETS = 8
+
+FAIL, REPORT, IGNORE = "fail", "report", "ignore"
 
 # Fixed value: Spark's folder name for a null partition value.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -49,15 +54,6 @@ def _plain(value) -> int:
     return value
 
 
-@dataclass(slots=True)
-class RowGroup:
-    index: int
-    low: int
-    high: int
-    size: int
-    rows: int
-
-
 def _numbers(offsets):
     """Dates as days and timestamps as microseconds."""
     import pyarrow as pa
@@ -159,20 +155,31 @@ class OffsetStreamReader(DataSourceStreamReader):
         self.ending = None if ending is None else json.loads(ending)
         self.split_bytes = int(options.get("split_bytes", 128 << 20))
         self.fail_on_data_loss = options.get("fail_on_data_loss", "true").lower() == "true"
+        self.late = options.get("late", FAIL if self.fail_on_data_loss else IGNORE)
+        self.max_rows = int(options["max_rows"]) if "max_rows" in options else None
+        self.max_bytes = int(options["max_bytes"]) if "max_bytes" in options else None
         self.footers = options.get("footers")
+        self.index_folder = options.get("index")
         self.schema = schema
         self._forget()
 
     def _forget(self) -> None:
-        self.groups: dict[str, list[RowGroup]] = {}
-        self.order: list[tuple[int, str]] = []  # (newest offset, file), sorted
+        self.groups: dict[str, list[RowGroup]] = {}  # of files that are known; those that batches have passed are empty
+        self.after: dict[str, int | None] = {}  # how far batches were planned when a file came
+        self.new: list[str] = []  # files that are not in the index yet
         self.present: set[str] | None = None  # the files of the newest listing
         self.seen: dict[str, int] = {}  # the listing that a file came with
         self.listings = 0
+        self.newest: int | None = None
+        self.plan: Plan | None = None
+        self.index: FileIndex | None = None
+        self.cut: dict[tuple[str, int], np.ndarray] = {}
+
+    _DRIVER_ONLY = ("groups", "after", "new", "present", "seen", "plan", "index", "cut")
 
     def __getstate__(self):
         """Tasks get the options, not the footers."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("groups", "order", "present", "seen")}
+        return {k: v for k, v in self.__dict__.items() if k not in self._DRIVER_ONLY}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -180,74 +187,159 @@ class OffsetStreamReader(DataSourceStreamReader):
 
     # -- driver side -------------------------------------------------------------
 
-    def _load_footers(self, folder: str) -> None:
-        """Take over what the footer job found, and delete it."""
+    def _set_up(self) -> dict[str, list[RowGroup]]:
+        """Take over the index, and what the footer job found, which is deleted; returns the latter."""
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        filesystem, root = open_filesystem(folder)
-        if filesystem.get_file_info(root).type == fs.FileType.NotFound:
-            return
-        for part in list_files(folder):
-            for row in pq.read_table(part, filesystem=filesystem, partitioning=None).to_pylist():
-                group = RowGroup(row["index"], row["low"], row["high"], row["size"], row["rows"])
-                self.groups.setdefault(row["path"], []).append(group)
-        self._sort(list(self.groups))
-        filesystem.delete_dir(root)
-
-    def _sort(self, added: list[str]) -> None:
-        self.order += [(max(g.high for g in self.groups[f]), f) for f in added if self.groups[f]]
-        self.order.sort()
+        if self.index_folder:
+            self.index = FileIndex(*open_filesystem(self.index_folder))
+            self.plan = self.index.plan()
+            self.groups, self.after = self.index.load(self.plan.start if self.plan else None)
+            ends = [g.high for groups in self.groups.values() for g in groups]
+            self.newest = max([*ends, *([self.plan.end] if self.plan and self.plan.end is not None else [])], default=None)
+        found: dict[str, list[RowGroup]] = {}
+        if self.footers:
+            filesystem, root = open_filesystem(self.footers)
+            if filesystem.get_file_info(root).type != fs.FileType.NotFound:
+                for part in list_files(self.footers):
+                    for row in pq.read_table(part, filesystem=filesystem, partitioning=None).to_pylist():
+                        group = RowGroup(row["index"], row["low"], row["high"], row["size"], row["rows"])
+                        found.setdefault(row["path"], []).append(group)
+                filesystem.delete_dir(root)
+            self.footers = None
+        return found
 
     def _refresh(self) -> None:
         """List the files and read the footers of new ones, which are immutable."""
-        if self.footers:
-            self._load_footers(self.footers)
-            self.footers = None
+        given = self._set_up() if self.present is None else {}
         self.present = set(list_files(self.path))
         new = [f for f in self.present if f not in self.groups]
         self.listings += 1
         for path in self.present:
             self.seen.setdefault(path, self.listings)
         filesystem, _ = open_filesystem(self.path)
+        read = lambda f: given.get(f) or footer_groups(filesystem, f, self.column)
         with ThreadPoolExecutor(_READ_THREADS) as pool:
-            read = lambda f: footer_groups(filesystem, f, self.column)
             for path, groups in zip(new, pool.map(read, new)):
-                self.groups[path] = groups
-        self._sort(new)
+                after = self.plan.end if self.plan else None
+                if self.late == FAIL and self._late(path, groups, after) and not self._merged(path, groups, after):
+                    raise ValueError(
+                        f"{path} came when batches had passed some of its rows, up to {after}; late='report' leaves such rows "
+                        "to late_rows, late='ignore' drops them")
+                self.groups[path], self.after[path] = groups, after
+                self.new.append(path)
+                self.newest = max([g.high for g in groups] + ([self.newest] if self.newest is not None else []), default=None)
+
+    def _late(self, path: str, groups: list[RowGroup], after: int | None) -> bool:
+        """Whether a new file has rows of the stream that no batch will read."""
+        if after is None:
+            return False
+        first = self.plan.first
+        passed = [g for g in groups if g.low <= after and (first is None or g.high > first)]
+        if any(g.high <= after and (first is None or g.low > first) for g in passed):
+            return True
+        for offsets in self._offsets(path, [g.index for g in passed]):
+            inside = offsets <= after
+            if first is not None:
+                inside &= offsets > first
+            if inside.any():
+                return True
+        return False
 
     def _newest(self) -> int | None:
         """The newest offset that was ever seen, so the position does not go back when files go."""
         self._refresh()
-        return self.order[-1][0] if self.order else None
+        return self.newest
 
     def initialOffset(self) -> dict:
         if self.starting == EARLIEST:
             return {"offset": None}
         if self.starting == LATEST:
-            return {"offset": self._newest()}
+            self.started = self._newest()
+            return {"offset": self.started}
         return {"offset": json.loads(self.starting)["offset"]}
 
     def latestOffset(self) -> dict:
         newest = self._newest()
         if newest is not None and self.ending is not None:
             newest = min(newest, self.ending)
+        if newest is not None and (self.max_rows or self.max_bytes):
+            newest = self._bounded(newest)
+        if self.index and self.new:
+            # Before the batch that reads them is planned, so a batch that runs again knows its files.
+            self.index.add({f: self.groups[f] for f in self.new}, self.after)
+            self.new = []
         return {"offset": newest}
 
+    def _bounded(self, newest: int) -> int:
+        """The last offset of a batch from the planned position on that holds at most ``max_rows`` rows and ``max_bytes``
+        bytes; a single offset with more is a batch of its own."""
+        start = self._position()
+        groups = [(g, path) for path, own in self.groups.items() for g in own
+                  if g.low <= newest and (start is None or g.high > start) and path in self.present]
+        groups.sort(key=lambda item: item[0].low)
+        ends = [newest]
+        for limit, weight in ((self.max_rows, lambda g: g.rows), (self.max_bytes, lambda g: g.size)):
+            if limit:
+                ends.append(self._cut(groups, start, newest, limit, weight))
+        return min(ends)
+
+    def _position(self) -> int | None:
+        if self.plan:
+            return self.plan.end
+        if self.starting == LATEST:
+            return self.started if hasattr(self, "started") else self.newest
+        return None if self.starting == EARLIEST else json.loads(self.starting)["offset"]
+
+    def _cut(self, groups: list[tuple[RowGroup, str]], start: int | None, newest: int, limit: int, weight) -> int:
+        total = np.cumsum([weight(g) for g, _ in groups])
+        over = int(np.searchsorted(total, limit, side="right"))
+        if over == len(groups):
+            return newest
+        before = groups[over][0].low - 1
+        if over and before >= groups[0][0].low and (start is None or before > start):
+            return before  # row groups that begin up to here hold no more, so no offset needs to be read
+        offsets, shares = np.zeros(0, np.int64), np.zeros(0)
+        for at, (group, path) in enumerate(groups):
+            own = self._sorted_offsets(path, group.index)
+            own = own[own <= newest] if start is None else own[(own > start) & (own <= newest)]
+            offsets = np.concatenate((offsets, own))
+            shares = np.concatenate((shares, np.full(len(own), weight(group) / max(group.rows, 1))))
+            order = np.argsort(offsets, kind="stable")
+            offsets, shares = offsets[order], shares[order]
+            over = int(np.searchsorted(np.cumsum(shares), limit, side="right"))
+            following = groups[at + 1][0].low if at + 1 < len(groups) else None
+            if over < len(offsets) and (following is None or following > offsets[over]):
+                break
+        if over >= len(offsets):
+            return newest
+        # All rows of one offset go together.
+        first = int(np.searchsorted(offsets, offsets[over], side="left"))
+        return int(offsets[first - 1] if first else offsets[over])
+
+    def _sorted_offsets(self, path: str, group: int) -> np.ndarray:
+        key = (path, group)
+        if key not in self.cut:
+            while len(self.cut) >= _KEPT_OFFSETS:
+                self.cut.pop(next(iter(self.cut)))
+            self.cut[key] = np.sort(np.concatenate([np.zeros(0, np.int64), *self._offsets(path, [group])]))
+        return self.cut[key]
+
     def partitions(self, start: dict, end: dict) -> list[OffsetSlice]:
         """Cut by row groups. The file list is fixed here, once for the whole batch."""
         low, high = start["offset"], end["offset"]
         slices: list[OffsetSlice] = []
-        if high is None:
-            return slices
+        if high is None or high == low:
+            return slices  # Spark also asks for an empty range before it repeats a batch
         if low is not None and high < low:
             raise ValueError(f"the newest offset went back from {low} to {high}")
         if self.present is None:
             self._refresh()
-        # Nothing is forgotten here: Spark may ask for an earlier range again.
-        first = 0 if low is None else bisect_right(self.order, low, key=lambda entry: entry[0])
-        for _, path in self.order[first:]:
-            groups = [g for g in self.groups[path] if g.low <= high and (low is None or g.high > low)]
+        for path, own in sorted(self.groups.items()):
+            missed = self.after.get(path)
+            begin = low if missed is None else missed if low is None else max(low, missed)
+            groups = [g for g in own if g.low <= high and (begin is None or g.high > begin)]
             if groups and path not in self.present:
                 if self.fail_on_data_loss and not self._replaced(path):
                     raise FileNotFoundError(
@@ -258,42 +350,90 @@ class OffsetStreamReader(DataSourceStreamReader):
             size = 0
             for group in groups:
                 if wanted and size + group.size > self.split_bytes:
-                    slices.append(OffsetSlice(path, wanted, low, high))
+                    slices.append(OffsetSlice(path, wanted, begin, high))
                     wanted, size = [], 0
                 wanted.append(group.index)
                 size += group.size
             if wanted:
-                slices.append(OffsetSlice(path, wanted, low, high))
+                slices.append(OffsetSlice(path, wanted, begin, high))
+        self._planned(low, high)
         return slices
 
+    def _planned(self, low: int | None, high: int) -> None:
+        """Note a plan, and let go of row groups that lie before it; Spark repeats the newest batch only."""
+        again = self.plan and (self.plan.start, self.plan.end) == (low, high)
+        if again or self.plan and self.plan.end is not None and high <= self.plan.end:
+            return
+        self.plan = Plan(self.plan.first if self.plan else low, low, high)
+        if self.index:
+            if self.new:
+                self.index.add({f: self.groups[f] for f in self.new}, self.after)
+                self.new = []
+            self.index.note(self.plan)
+        if low is not None and self.index:
+            for path, own in self.groups.items():
+                if own and all(g.high <= low for g in own):
+                    self.groups[path] = []
+
+    def _stored_groups(self, files: set[str]) -> dict[str, list[RowGroup]]:
+        """Row groups of known files, also of those that batches have passed."""
+        if self.index and any(not self.groups[f] for f in files):
+            stored, _ = self.index.load(None)
+            return {f: stored.get(f) or self.groups[f] for f in files}
+        return {f: self.groups[f] for f in files}
+
     def _replaced(self, path: str) -> bool:
-        """Whether files that came later hold the rows of a file that is gone, as after merging files.
+        """Whether files that came later hold the rows of a file that is gone, as after merging files."""
+        gone = self._stored_groups({f for f in self.groups if f not in self.present})
+        return self._stand_in(gone, {path}) is not None
+
+    def _merged(self, path: str, groups: list[RowGroup], after: int) -> bool:
+        """Whether the rows of a new file that batches have passed are those of files that are gone."""
+        gone = self._stored_groups({f for f in self.groups if f not in self.present})
+        passed = [g for g in groups if g.low <= after]
+        lost = {f for f, own in gone.items() if any(g.low <= h.high and g.high >= h.low for g in own for h in passed)}
+        ranges = self._stand_in(gone, lost) if lost else None
+        if ranges is None:
+            return False
+        for offsets in self._offsets(path, [g.index for g in passed]):
+            offsets = offsets[offsets <= after]
+            inside = np.zeros(len(offsets), bool)
+            for r in ranges:
+                inside |= (offsets >= r.low) & (offsets <= r.high)
+            if not inside.all():
+                return False
+        return True
+
+    def _stand_in(self, gone: dict[str, list[RowGroup]], lost: set[str]) -> list[RowGroup] | None:
+        """The ranges of lost files, if files that came later hold their rows.
 
         All files that are gone and overlap count together, as one later row replaces one of them only. Later
         files must have exactly as many rows inside their ranges, and the ends of each; more rows may be
         new ones in place of lost ones, which is not told apart.
         """
-        gone = {f for f in self.groups if f not in self.present and self.groups[f]}
-        lost, reached = {path}, [path]
+        lost, reached = set(lost), list(lost)
         while reached:
             at = reached.pop()
-            more = {f for f in gone - lost if any(
-                g.low <= h.high and g.high >= h.low for g in self.groups[f] for h in self.groups[at])}
+            more = {f for f in gone if f not in lost and any(
+                g.low <= h.high and g.high >= h.low for g in gone[f] for h in gone[at])}
             lost |= more
             reached += more
-        ranges = [g for f in lost for g in self.groups[f]]
+        ranges = [g for f in lost for g in gone[f]]
         ends = {x for g in ranges for x in (g.low, g.high)}
         came, held = min(self.seen.get(f, 0) for f in lost), 0
+        filesystem, _ = open_filesystem(self.path)
         for file in self.present:
             if self.seen[file] > came:
-                wanted = [g.index for g in self.groups[file] if any(g.low <= r.high and g.high >= r.low for r in ranges)]
+                # A file of this listing may not be known yet.
+                own = self._stored_groups({file})[file] if file in self.groups else footer_groups(filesystem, file, self.column)
+                wanted = [g.index for g in own if any(g.low <= r.high and g.high >= r.low for r in ranges)]
                 for offsets in self._offsets(file, wanted):
                     inside = np.zeros(len(offsets), bool)
                     for r in ranges:
                         inside |= (offsets >= r.low) & (offsets <= r.high)
                     held += int(inside.sum())
                     ends -= set(offsets[inside].tolist())
-        return not ends and held == sum(g.rows for g in ranges)
+        return ranges if not ends and held == sum(g.rows for g in ranges) else None
 
     def _offsets(self, file: str, groups: list[int]):
         """The offsets in some row groups, without nulls."""
@@ -362,6 +502,10 @@ def read_stream_offsets(
     schema: T.StructType | None = None,
     split_bytes: int = 128 << 20,
     fail_on_data_loss: bool = True,
+    late: str | None = None,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """Stream the rows of a parquet folder, or of an append-only table, by ``offset_col``.
 
@@ -372,7 +516,23 @@ def read_stream_offsets(
     whose offset is null belong to no range and are never read. Only ``columns`` are
     read from the files. A file that vanishes before its rows were read fails the stream;
     with ``fail_on_data_loss=False`` its rows are left out instead.
+
+    A file that comes with rows up to the end of a batch that is planned already is late. ``late="fail"`` (the
+    default) fails the stream, ``"report"`` leaves such rows to ``late_rows``, ``"ignore"`` (the default with
+    ``fail_on_data_loss=False``) drops them; its other rows are read as usual. ``max_rows`` and ``max_bytes``
+    (as in the footers) cut a long history into many batches; under ``available_now`` a run is one batch
+    then, so use ``processing_time`` and ``drain``.
+
+    ``checkpoint``, the one that ``write_stream`` gets, is where an index of the files is kept. With it a restart reads no
+    footer again, late files are found across restarts, and a batch that runs again reads the files of its first run. Without
+    it these are known for one run.
     """
+    if late not in (None, FAIL, REPORT, IGNORE):
+        raise ValueError(f"late must be {FAIL}, {REPORT} or {IGNORE}, not {late!r}")
+    if late == REPORT and not checkpoint:
+        raise ValueError("late='report' needs checkpoint=")
+    if any(limit is not None and limit < 1 for limit in (max_rows, max_bytes)):
+        raise ValueError("max_rows and max_bytes must be at least 1")
     if "/" in source:
         path, stored = source, schema or spark.read.parquet(source).schema
     else:
@@ -393,8 +553,19 @@ def read_stream_offsets(
         .option("path", path).option("offset_col", offset_col)
         .option("starting", starting).option("split_bytes", str(split_bytes))
         .option("fail_on_data_loss", str(fail_on_data_loss).lower())
-        .option("footers", write_footers(spark, path, offset_col, list_files(path)))
     )
+    known: dict = {}
+    if checkpoint:
+        folder = hadoop_path(spark, f"{checkpoint.rstrip('/')}/{FOLDER}")
+        folder = folder[0].makeQualified(folder[1]).toString()
+        reader = reader.option("index", folder)
+        _, known = FileIndex(*open_filesystem(folder)).load(None)
+    files = [f for f in list_files(path) if f not in known]
+    if len(files) > _FOOTERS_PER_TASK:
+        reader = reader.option("footers", write_footers(spark, path, offset_col, files))
+    for name, value in (("late", late), ("max_rows", max_rows), ("max_bytes", max_bytes)):
+        if value is not None:
+            reader = reader.option(name, str(value))
     if ending is not None:
         reader = reader.option("ending", json.dumps(_plain(ending)))
     return reader.load()
