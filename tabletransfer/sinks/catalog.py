@@ -8,7 +8,7 @@ import time
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tabletransfer.session import delete_path, note_age, path_exists, read_note, same_path, unique_name, write_new_note
 from tabletransfer.sources.targets import Target, table_exists
@@ -48,6 +48,31 @@ def table_info(spark: SparkSession, name: str) -> TableInfo:
     )
 
 
+@dataclass(frozen=True)
+class WriteMetrics:
+    """What one write command stored; None where it is not known."""
+
+    rows: int | None
+    files: int | None
+    bytes: int | None
+
+
+def write_metrics(result: DataFrame) -> WriteMetrics | None:
+    """What an INSERT wrote, from the metrics of its command that Spark also shows in its UI; None for other results."""
+    done = result._jdf.queryExecution().commandExecuted()
+    if done.getClass().getSimpleName() != "CommandResult":
+        return None
+    plan = done.commandPhysicalPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    found, metrics = {}, plan.metrics().iterator()
+    while metrics.hasNext():
+        metric = metrics.next()
+        found[metric._1()] = metric._2().value()
+    names = ("numOutputRows", "numFiles", "numOutputBytes")
+    return WriteMetrics(*[found.get(n) for n in names]) if any(n in found for n in names) else None
+
+
 def new_location(spark: SparkSession, target: Target) -> str:
     """A fresh folder next to the other tables of the target's database."""
     database = target.schema or spark.catalog.currentDatabase()

@@ -13,7 +13,8 @@ from tabletransfer.operators.distribution import BY_KEY, Distribution, RANDOMLY,
 from tabletransfer.plans.scripts import run_undo
 from tabletransfer.session import path_usage, unique_name
 from tabletransfer.sinks.catalog import (
-    DISTRIBUTION, OWNED, discard, new_location, publish, set_properties, settle, table_info,
+    DISTRIBUTION, OWNED, discard, new_location, publish, set_properties, settle, table_info, write_metrics,
+    WriteMetrics,
 )
 from tabletransfer.sources.targets import Target, quote, resolve_table
 
@@ -25,7 +26,7 @@ _MODES = {"append": APPEND, "overwrite": OVERWRITE, "ignore": IGNORE, "error": E
 
 @dataclass(frozen=True)
 class WriteReport:
-    """What one write did. Files and bytes are known for newly written tables only."""
+    """What one write did: its rows, and the files and bytes that it added."""
 
     table: str
     action: str
@@ -118,7 +119,8 @@ def write_table(
     try:
         if exists and chosen == APPEND:
             action = "appended"
-            _insert(df, target, seen, writers)
+            done = _insert(df, target, seen, writers)
+            files, size = (done.files, done.bytes) if done else (None, None)
         else:
             action = "replaced" if exists else "created"
             staged = Target("", False, target.schema, unique_name(f"{target.table}_new"))
@@ -166,7 +168,7 @@ def _create(df: DataFrame, staged: Target, path: str, seen: Observation, dist: D
     writer.saveAsTable(staged.sql_name)
 
 
-def _insert(df: DataFrame, target: Target, seen: Observation, writers: int | None) -> None:
+def _insert(df: DataFrame, target: Target, seen: Observation, writers: int | None) -> WriteMetrics | None:
     """Insert by name. Spark's commit protocol shows the rows only when all tasks are done."""
     spark = df.sparkSession
     info = table_info(spark, target.sql_name)
@@ -186,7 +188,7 @@ def _insert(df: DataFrame, target: Target, seen: Observation, writers: int | Non
     view = unique_name("rows")
     out.createOrReplaceTempView(view)
     try:
-        spark.sql(f"INSERT INTO {target.sql_name} BY NAME SELECT * FROM {view}")
+        return write_metrics(spark.sql(f"INSERT INTO {target.sql_name} BY NAME SELECT * FROM {view}"))
     finally:
         spark.catalog.dropTempView(view)
 

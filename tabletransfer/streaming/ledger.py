@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, replace
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tabletransfer.plans.scripts import read_transfer
-from tabletransfer.session import newest_notes, unique_name, write_note
+from tabletransfer.session import unique_name
 from tabletransfer.sources.targets import refresh_tables
+from tabletransfer.streaming.epochs import EpochLog, Ledger, Range, update_position
 from tabletransfer.streaming.sink import EpochSink, start
 
 LATEST, EARLIEST = "latest", "earliest"
@@ -26,61 +28,9 @@ LATEST, EARLIEST = "latest", "earliest"
 # Fixed value: how often the position is polled when the caller sets no trigger.
 DEFAULT_POLL = "100 milliseconds"
 
-# The ledger keeps at least so many ranges, and more where Spark's checkpoint keeps more
-# batches; older ones are overwritten in turn.
-_LEAST_SLOTS = 128
-_RETAINED = "spark.sql.streaming.minBatchesToRetain"
-
 Source = Callable[[SparkSession, str | None, str, int], DataFrame]
 
 
-@dataclass(frozen=True)
-class Range:
-    """One noted batch: rows after ``start`` up to ``end``. ``epoch`` -1 is the start mark.
-
-    ``stored`` says that the rows are in the sink and only ``offset_update`` is left to do.
-    """
-
-    tick: int
-    epoch: int
-    start: str | None
-    end: str | None
-    stored: bool | None = False
-
-
-class Ledger:
-    """Small files with one range each, in the checkpoint folder; a bounded number of them.
-
-    Ranges are found by their tick, so a checkpoint that is set back by several ticks finds the
-    range of each.
-    """
-
-    SCHEMA = "tick long, epoch long, start string, end string, stored boolean"
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-        self.slots = max(_LEAST_SLOTS, int(spark.conf.get(_RETAINED)) + 1)
-        self.entries: dict[int, Range] = {}
-        files = list(newest_notes(spark, path).values())
-        if files:
-            rows = spark.read.schema(self.SCHEMA).json(files).collect()
-            self.entries = {entry.epoch: entry for entry in (Range(*row) for row in rows)}
-
-    @property
-    def last(self) -> Range | None:
-        return self.entries[max(self.entries)] if self.entries else None
-
-    def at(self, tick: int) -> Range | None:
-        """The range that was noted for a tick, if it was a batch."""
-        return next((e for e in self.entries.values() if e.tick == tick and e.epoch >= 0), None)
-
-    def note(self, entry: Range) -> None:
-        write_note(self.spark, f"{self.path}/{entry.epoch % self.slots}.json", json.dumps(asdict(entry)))
-        self.entries.pop(entry.epoch - self.slots, None)
-        self.entries[entry.epoch] = entry
-
-
 def current_offset(spark: SparkSession, offset_select: str | None) -> str | None:
     """The newest position as JSON text; without a query, the current time."""
     if offset_select is None:
@@ -144,12 +94,6 @@ def stream_transfer(
             position = None if starting == EARLIEST else starting
         return Range(tick, -1, position, position)
 
-    def update(session: SparkSession, end: str) -> None:
-        if callable(offset_update):
-            offset_update(session, end)
-        elif offset_update:
-            session.sql(offset_update, args=[end])
-
     def run(tick_df: DataFrame, tick: int) -> None:
         session = tick_df.sparkSession
         ledger = state.get("ledger")
@@ -168,9 +112,11 @@ def stream_transfer(
             entry = Range(tick, entry.epoch + 1, entry.end, end)
             ledger.note(entry)
         if not entry.stored:
-            sink(rows_of(session, entry.start, entry.end, entry.epoch), entry.epoch)
+            began = time.time()
+            done = sink(rows_of(session, entry.start, entry.end, entry.epoch), entry.epoch)
+            EpochLog(session, checkpoint).note(entry.epoch, began, done, entry.start, entry.end)
         try:
-            update(session, entry.end)
+            update_position(session, offset_update, entry.end)
         except Exception as error:
             if not autocommit:
                 raise

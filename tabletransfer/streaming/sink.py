@@ -12,13 +12,15 @@ from tabletransfer.operators.distribution import BY_KEY, Distribution, parse_dis
 from tabletransfer.plans.schema import column_ddl
 from tabletransfer.plans.scripts import run_undo, write_transfer
 from tabletransfer.session import unique_name
-from tabletransfer.sinks.catalog import DISTRIBUTION, OWNED, new_location, table_info
+from tabletransfer.sinks.catalog import DISTRIBUTION, OWNED, TableInfo, WriteMetrics, new_location, table_info, write_metrics
 from tabletransfer.sinks.tables import OVERWRITE, write_table
 from tabletransfer.sources.targets import Target, quote, resolve_table, table_exists
+from tabletransfer.streaming.epochs import Update, keeping_log
 
 EPOCH_COLUMN = "batch_id"
 
-EpochSink = Callable[[DataFrame, int], None]
+#: Stores a micro-batch; what it returns, if it does, goes into the epoch log.
+EpochSink = Callable[[DataFrame, int], WriteMetrics | None]
 
 _OUTPUT_MODES = ("append", "update", "complete")
 
@@ -53,14 +55,15 @@ def epoch_table(df: DataFrame, name: str, schemas=None, dist: Distribution | Non
     return target, T.StructType([f for f in stored if f.name != EPOCH_COLUMN])
 
 
-def write_epoch(df: DataFrame, target: Target, columns: T.StructType, epoch: int) -> None:
+def write_epoch(df: DataFrame, target: Target, columns: T.StructType, epoch: int,
+                info: TableInfo | None = None) -> WriteMetrics | None:
     """Store one micro-batch in partition ``batch_id = epoch``, replacing what is there.
 
     A replayed batch overwrites its own partition only, so rows are never doubled.
     """
     spark = df.sparkSession
     view = unique_name("epoch")
-    info = table_info(spark, target.sql_name)
+    info = info or table_info(spark, target.sql_name)
     further = [c for c in info.partition_columns if c != EPOCH_COLUMN]
     fitted = conform(df, columns)
     if further or info.bucket_columns:
@@ -68,7 +71,7 @@ def write_epoch(df: DataFrame, target: Target, columns: T.StructType, epoch: int
     fitted.createOrReplaceTempView(view)
     parts = ", ".join([f"{EPOCH_COLUMN} = {int(epoch)}", *[quote(c) for c in further]])
     try:
-        spark.sql(f"INSERT OVERWRITE {target.sql_name} PARTITION ({parts}) SELECT * FROM {view}")
+        return write_metrics(spark.sql(f"INSERT OVERWRITE {target.sql_name} PARTITION ({parts}) SELECT * FROM {view}"))
     finally:
         spark.catalog.dropTempView(view)
 
@@ -85,19 +88,21 @@ def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None,
     if mode == "update":
         raise ValueError("update mode needs a script that says how to merge; a table takes append or complete")
 
-    found: list[tuple[Target, T.StructType]] = []
+    found: list[tuple[Target, T.StructType, TableInfo]] = []
 
-    def store(df: DataFrame, epoch: int) -> None:
+    def store(df: DataFrame, epoch: int) -> WriteMetrics | None:
         if mode == "complete":
-            write_table(df, name, OVERWRITE, writers=writers, schemas=schemas, undo=undo,
-                        distributed_by=distributed_by, partition_by=partition_by)
-            return
+            report = write_table(df, name, OVERWRITE, writers=writers, schemas=schemas, undo=undo,
+                                 distributed_by=distributed_by, partition_by=partition_by)
+            return WriteMetrics(report.rows, report.files, report.bytes)
         try:
             if EPOCH_COLUMN in df.columns:
                 df = df.drop(EPOCH_COLUMN)
             if not found:
-                found.append(epoch_table(df, name, schemas, dist, partition_by))
-            write_epoch(df.repartition(writers) if writers else df, *found[0], epoch)
+                target, columns = epoch_table(df, name, schemas, dist, partition_by)
+                found.append((target, columns, table_info(df.sparkSession, target.sql_name)))
+            target, columns, info = found[0]
+            return write_epoch(df.repartition(writers) if writers else df, target, columns, epoch, info)
         except Exception as error:
             run_undo(df.sparkSession, undo, error)
             raise
@@ -112,8 +117,8 @@ def script_sink(script: str, stream_mode: str = "append", undo=None) -> EpochSin
     """
     mode = _check_mode(stream_mode).capitalize()
 
-    def store(df: DataFrame, epoch: int) -> None:
-        write_transfer(df, script, epoch=epoch, stream_mode=mode, undo=undo)
+    def store(df: DataFrame, epoch: int) -> WriteMetrics | None:
+        return write_metrics(write_transfer(df, script, epoch=epoch, stream_mode=mode, undo=undo))
 
     return store
 
@@ -151,11 +156,20 @@ def write_stream(
     query_name: str | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
+    offset_update: Update = None,
+    autocommit: bool = True,
 ) -> StreamingQuery:
-    """Stream into a table (``name``) or through a script (``script``)."""
+    """Stream into a table (``name``) or through a script (``script``).
+
+    After an epoch is stored, ``offset_update`` gets its end position as JSON: DML with one ``?`` or a callable
+    ``(spark, end)``. If it fails, so does the stream. After a restart only the update is repeated, with
+    ``autocommit=False`` the whole batch. It may run twice for one position, after a crash between it and
+    Spark's commit. ``epochs.epoch_log`` tells what every epoch did.
+    """
     if (name is None) == (script is None):
         raise ValueError("give either name= or script=")
     sink = (table_sink(name, stream_mode, schemas, undo, writers) if name
             else script_sink(script, stream_mode, undo))
+    sink = keeping_log(sink, checkpoint, offset_update, autocommit)
     return start(df, sink, checkpoint, stream_mode, query_name or unique_name("transfer"),
                  available_now, processing_time)
