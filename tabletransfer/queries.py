@@ -10,6 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tabletransfer.api import load, save, stream
@@ -31,8 +32,10 @@ from tabletransfer.sinks.tables import write_table
 from tabletransfer.sources.generator import generate, uuid_rows
 from tabletransfer.sources.jdbc import modulo_predicates
 from tabletransfer.sources.tables import read_distributed, read_parallel, read_query, read_table
+from tabletransfer.streaming.epochs import epoch_log
+from tabletransfer.streaming.fileindex import late_rows
 from tabletransfer.streaming.ledger import stream_transfer
-from tabletransfer.streaming.progress import progress_report, with_delay
+from tabletransfer.streaming.progress import drain, progress_report, with_delay
 from tabletransfer.streaming.sink import table_sink, write_stream
 from tabletransfer.streaming.source import read_stream_offsets
 
@@ -467,6 +470,27 @@ def write_report(spark, folder):
     return report.to_df(spark).select("action", F.col("rows").alias("n_rows"))
 
 
+@query("SELECT 'appended' AS action, count(*) AS n_rows, true AS stored FROM lineitem")
+def write_append_report(spark, folder):
+    """An append reports what it added, not what the table holds."""
+    (lineitem,) = views(spark, folder, "lineitem")
+    db = scratch_database(spark)
+    first = write_table(lineitem, f"{db}.t", "append")
+    report = write_table(lineitem, f"{db}.t", "append")
+    stored = report.files is not None and report.files <= first.files and 0 < report.bytes <= first.bytes * 2
+    return report.to_df(spark).select("action", F.col("rows").alias("n_rows"), F.lit(stored).alias("stored"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, true AS shaped FROM orders")
+def write_partitioned_buckets(spark, folder):
+    (orders,) = views(spark, folder, "orders")
+    db = scratch_database(spark)
+    write_table(orders, f"{db}.t", "append", partition_by=["o_orderstatus"], distributed_by="o_custkey", buckets=4)
+    info = table_info(spark, f"{db}.t")
+    shaped = (info.partition_columns, info.bucket_columns, info.num_buckets) == (["o_orderstatus"], ["o_custkey"], 4)
+    return read_table(spark, f"{db}.t").select(*orders.columns, F.lit(shaped).alias("shaped"))
+
+
 @query("SELECT c_custkey, c_name, true AS undone FROM customer")
 def write_rollback(spark, folder):
     customer, orders = views(spark, folder, "customer", "orders")
@@ -611,6 +635,16 @@ def text_roundtrip_ascii(spark, folder):
     return decode_rows(lines, kept.schema, delimiter="|", null_token=LOSSLESS_NULL)
 
 
+@query("SELECT doc_id, text, true AS ascii FROM documents")
+def text_unicode_escapes(spark, folder):
+    """Texts of any language as lines of ASCII, and back."""
+    (documents,) = views(spark, folder, "documents")
+    kept = documents.select("doc_id", "text")
+    lines = encode_rows(kept, ascii_only=True, null_token=LOSSLESS_NULL)
+    ascii_only = not lines.where(F.octet_length(lines.columns[0]) != F.char_length(lines.columns[0])).limit(1).collect()
+    return decode_rows(lines, kept.schema, null_token=LOSSLESS_NULL).withColumn("ascii", F.lit(ascii_only))
+
+
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def text_files_roundtrip(spark, folder):
     (conversations,) = views(spark, folder, "conversations")
@@ -929,3 +963,120 @@ def row_timestamp_column(spark, folder):
     stamped = lineitem.selectExpr("getRowTimestamp() AS seen_at", "transferVersion() AS version")
     return stamped.groupBy("version").agg(
         F.count("*").alias("n"), (F.countDistinct("seen_at") > 1).alias("several"), (F.min("seen_at") >= F.lit(before)).alias("later"))
+
+
+@query("""
+SELECT event_id, user_id, event_id % 3 = 1 AND event_id <= (SELECT max(event_id) FROM events WHERE event_id % 3 <> 1) AS late
+FROM events
+""")
+def stream_late_files(spark, folder):
+    """A third of the events come when batches have passed most of them; on-time and late rows are all rows."""
+    db = scratch_database(spark)
+    path, checkpoint = f"{scratch_of(spark, db)}/feed", f"{scratch_of(spark, db)}/checkpoint"
+    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "user_id")
+    for part in ("event_id % 3 <> 1", "event_id % 3 = 1"):
+        events.where(part).write.mode("append").parquet(path)
+        rows = read_stream_offsets(spark, path, "event_id", starting="earliest", late="report", checkpoint=checkpoint)
+        write_stream(rows, checkpoint, name=f"{db}.target", available_now=True).awaitTermination()
+    on_time = read_table(spark, f"{db}.target").select("event_id", "user_id", F.lit(False).alias("late"))
+    return on_time.union(late_rows(spark, checkpoint, "event_id", events.schema).select("event_id", "user_id", F.lit(True)))
+
+
+@query("""
+SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // ((count(*) OVER () + 4) // 5) AS batch_id FROM events
+""")
+def stream_bounded(spark, folder):
+    """A history of events in one file, moved in five batches of equal size."""
+    db = scratch_database(spark)
+    path, checkpoint = f"{scratch_of(spark, db)}/feed", f"{scratch_of(spark, db)}/checkpoint"
+    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id")
+    events.repartition(1).write.parquet(path)
+    rows = read_stream_offsets(spark, path, "event_id", starting="earliest", max_rows=(events.count() + 4) // 5, checkpoint=checkpoint)
+    drain(write_stream(rows, checkpoint, name=f"{db}.target", processing_time="0 seconds"))
+    return read_table(spark, f"{db}.target").select("event_id", "batch_id")
+
+
+_ENDS = "(SELECT max(event_id) * t // 10 FROM events)"
+
+
+@query(f"""
+SELECT '{{"offset": ' || {_ENDS} || '}}' AS doc, (SELECT count(*) FROM events) AS n_rows FROM (VALUES (4), (7), (10)) v(t)
+""")
+def stream_files_offset_update(spark, folder):
+    """Every epoch of a stream over files tells its end to a table."""
+    db = scratch_database(spark)
+    spark.sql(f"CREATE TABLE {db}.positions (doc STRING) USING parquet")
+    for tenths in (4, 7, 10):
+        rows = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_id"], "earliest",
+                                   ending=_newest(spark, folder) * tenths // 10)
+        write_stream(rows, f"{scratch_of(spark, db)}/checkpoint", name=f"{db}.target", available_now=True,
+                     offset_update=f"INSERT INTO {db}.positions VALUES (?)").awaitTermination()
+    return read_query(spark, f"SELECT doc, (SELECT count(*) FROM {db}.target) AS n_rows FROM {db}.positions")
+
+
+@query(f"""
+WITH ends AS (SELECT row_number() OVER (ORDER BY t) - 1 AS epoch, {_ENDS} AS stop,
+              lag({_ENDS}, 1, -1) OVER (ORDER BY t) AS start FROM (VALUES (4), (7), (10)) v(t))
+SELECT epoch, count(*) AS n_rows, stop AS end_offset, true AS stored
+FROM ends JOIN events ON event_id > start AND event_id <= stop GROUP BY epoch, stop
+""")
+def stream_epoch_log(spark, folder):
+    """What each epoch of a stream over files stored, from the log next to its checkpoint."""
+    db = scratch_database(spark)
+    top = _newest(spark, folder)
+    for ending in (top * 4 // 10, top * 7 // 10, top):
+        _run_to(spark, folder, db, ending, columns=["event_id"])
+    return epoch_log(spark, f"{scratch_of(spark, db)}/checkpoint").select(
+        "epoch", F.col("rows").alias("n_rows"), F.get_json_object("end_offset", "$.offset").cast("long").alias("end_offset"),
+        ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("stored"))
+
+
+@query(f"""
+WITH ends AS (SELECT row_number() OVER (ORDER BY t) - 1 AS epoch, {_ENDS} AS stop,
+              lag({_ENDS}, 1, -1) OVER (ORDER BY t) AS start FROM (VALUES (4), (7), (10)) v(t))
+SELECT epoch, count(*) AS n_rows, '{{"k":' || stop || '}}' AS end_offset
+FROM ends JOIN events ON event_id > start AND event_id <= stop GROUP BY epoch, stop
+""")
+def stream_sql_progress(spark, folder):
+    """The same log of a stream whose position is a SQL query."""
+    views(spark, folder, "events")
+    db = scratch_database(spark)
+    spark.sql(f"CREATE TABLE {db}.positions (doc STRING) USING parquet")
+    for tenths in (4, 7, 10):
+        _sql_offset_run(spark, db, tenths)
+    return epoch_log(spark, f"{scratch_of(spark, db)}/checkpoint").select("epoch", F.col("rows").alias("n_rows"), "end_offset")
+
+
+@query("SELECT event_id, user_id, 0::BIGINT AS batch_id, 2 AS n_runs, 1::BIGINT AS n_updates FROM events")
+def stream_autocommit_off(spark, folder):
+    """An update that fails once takes its batch along: both run again, and the rows are there once."""
+    views(spark, folder, "events")
+    db = scratch_database(spark)
+    spark.sql(f"CREATE TABLE {db}.positions (doc STRING) USING parquet")
+    store, runs = table_sink(f"{db}.target"), []
+
+    def counted(rows, epoch):
+        runs.append(epoch)
+        return store(rows, epoch)
+
+    def told(session, end):
+        if len(runs) == 1:
+            raise ConnectionError("the listener is away")
+        session.sql(f"INSERT INTO {db}.positions VALUES (?)", args=[end])
+
+    def once():
+        stream_transfer(
+            spark,
+            """INSERT INTO <ext_table> SELECT event_id, user_id FROM events
+               WHERE event_id <= CAST(get_json_object('<end_offset_json>', '$.k') AS BIGINT)""",
+            counted, f"{scratch_of(spark, db)}/checkpoint", starting="earliest", autocommit=False, available_now=True,
+            offset_select="SELECT to_json(named_struct('k', max(event_id))) FROM events", offset_update=told,
+        ).awaitTermination()
+
+    try:
+        once()
+    except StreamingQueryException:
+        once()
+    n_updates = spark.table(f"{db}.positions").count()
+    return read_table(spark, f"{db}.target").select(
+        "event_id", "user_id", "batch_id", F.lit(len(runs)).alias("n_runs"), F.lit(n_updates).cast("long").alias("n_updates"))
