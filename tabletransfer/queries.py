@@ -29,6 +29,7 @@ from tabletransfer.plans.scripts import read_transfer, write_transfer
 from tabletransfer.session import delete_path, scratch_database, scratch_path
 from tabletransfer.sinks.catalog import table_info
 from tabletransfer.sinks.tables import write_table
+from tabletransfer.sinks.transactions import write_transaction
 from tabletransfer.sources.generator import generate, uuid_rows
 from tabletransfer.sources.jdbc import modulo_predicates
 from tabletransfer.sources.tables import read_distributed, read_parallel, read_query, read_table
@@ -491,6 +492,32 @@ def write_partitioned_buckets(spark, folder):
     return read_table(spark, f"{db}.t").select(*orders.columns, F.lit(shaped).alias("shaped"))
 
 
+@query("""
+SELECT 'kept' AS tab, c_custkey AS k, 1 AS part FROM customer
+UNION ALL SELECT 'kept', o_custkey, 2 FROM orders WHERE o_totalprice > 100000
+UNION ALL SELECT 'totals', count(*), 2 FROM orders WHERE o_totalprice > 100000
+""")
+def write_block_transaction(spark, folder):
+    """A block of two statements that is published whole, after one that failed and left nothing."""
+    customer, orders = views(spark, folder, "customer", "orders")
+    db = scratch_database(spark)
+    write_table(customer.selectExpr("c_custkey AS k", "1 AS part"), f"{db}.kept", "append", partition_by=["part"])
+    spark.sql(f"CREATE TABLE {db}.totals (n BIGINT) USING parquet")
+    script = f"""BEGIN
+      INSERT INTO {db}.kept SELECT o_custkey, 2 FROM <ext_table>;
+      INSERT OVERWRITE {db}.totals SELECT count(*) + %s FROM {db}.kept WHERE part = 2;
+    END"""
+    rows = orders.where("o_totalprice > 100000")
+    try:
+        write_transaction(rows, script % "raise_error('refused')")
+    except Exception as error:
+        if "refused" not in str(error):
+            raise
+    write_transaction(rows, script % "0")
+    kept = read_table(spark, f"{db}.kept").select(F.lit("kept").alias("tab"), "k", "part")
+    return kept.union(read_table(spark, f"{db}.totals").select(F.lit("totals"), "n", F.lit(2)))
+
+
 @query("SELECT c_custkey, c_name, true AS undone FROM customer")
 def write_rollback(spark, folder):
     customer, orders = views(spark, folder, "customer", "orders")
