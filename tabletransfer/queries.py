@@ -971,6 +971,22 @@ def stream_complete(spark, folder):
     return read_table(spark, f"{db}.target")
 
 
+@query("SELECT user_id, count(*) AS n, max(event_id) AS newest FROM events GROUP BY 1")
+def stream_update_mode(spark, folder):
+    """Counts by user, merged into a table by three batches, the last of which runs twice."""
+    db = scratch_database(spark)
+    top, checkpoint = _newest(spark, folder), f"{scratch_of(spark, db)}/checkpoint"
+    for ending in (top * 4 // 10, top * 7 // 10, top, top):
+        rows = read_stream_offsets(spark, f"{folder}/events.parquet", "event_id", ["event_id", "user_id"], "earliest", ending=ending)
+        counts = rows.groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_id").alias("newest"))
+        write_stream(counts, checkpoint, name=f"{db}.target", stream_mode="update", keys=["user_id"], buckets=8,
+                     available_now=True).awaitTermination()
+        if ending == top:
+            for name in ("2", ".2.crc"):
+                delete_path(spark, f"{checkpoint}/commits/{name}")
+    return read_table(spark, f"{db}.target").select("user_id", "n", "newest")
+
+
 @query("SELECT 0 AS batch, count(*) AS n, true AS delayed FROM events")
 def batch_id_column(spark, folder):
     db = scratch_database(spark)

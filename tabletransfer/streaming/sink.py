@@ -16,12 +16,16 @@ from tabletransfer.sinks.catalog import DISTRIBUTION, OWNED, TableInfo, WriteMet
 from tabletransfer.sinks.tables import OVERWRITE, write_table
 from tabletransfer.sources.targets import Target, quote, resolve_table, table_exists
 from tabletransfer.streaming.epochs import Update, keeping_log
+from tabletransfer.streaming.merge import merge_epoch, merge_table
 
 EPOCH_COLUMN = "batch_id"
 
 #: Stores a micro-batch; what it returns, if it does, goes into the epoch log.
 EpochSink = Callable[[DataFrame, int], WriteMetrics | None]
 
+#: Parts of a table of merges, if the caller gives no number; choose it so that a part is some hundred MB.
+DEFAULT_BUCKETS = 32
+
 _OUTPUT_MODES = ("append", "update", "complete")
 
 
@@ -77,17 +81,23 @@ def write_epoch(df: DataFrame, target: Target, columns: T.StructType, epoch: int
 
 
 def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None, writers: int | None = None,
-               distributed_by: str | None = None, partition_by: Sequence[str] = ()) -> EpochSink:
-    """A sink that keeps a table: appended batches, or the whole result in complete mode.
+               distributed_by: str | None = None, partition_by: Sequence[str] = (), keys: Sequence[str] = (),
+               order_by: str | None = None, buckets: int | None = None) -> EpochSink:
+    """A sink that keeps a table: appended batches, the whole result in complete mode, or in update mode the newest
+    row of each of ``keys`` (of several in a batch the one with the greatest ``order_by``), in ``buckets`` parts.
 
     ``writers`` limits the tasks that write a batch, and so the number of its files.
     ``distributed_by`` and ``partition_by`` shape a table that the stream creates, as in ``write_table``.
     """
     dist = parse_distribution(distributed_by)
     mode = _check_mode(stream_mode)
-    if mode == "update":
-        raise ValueError("update mode needs a script that says how to merge; a table takes append or complete")
-
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs keys= to merge by, or a script that says how")
+    if mode != "update" and (keys or order_by or buckets):
+        raise ValueError("keys, order_by and buckets belong to update mode")
+    if mode == "update" and (dist or partition_by):
+        raise ValueError("a table of merges is laid out by its keys")
+    merged: list[tuple[Target, T.StructType, int]] = []
     found: list[tuple[Target, T.StructType, TableInfo]] = []
 
     def store(df: DataFrame, epoch: int) -> WriteMetrics | None:
@@ -96,6 +106,11 @@ def table_sink(name: str, stream_mode: str = "append", schemas=None, undo=None,
                                  distributed_by=distributed_by, partition_by=partition_by)
             return WriteMetrics(report.rows, report.files, report.bytes)
         try:
+            if mode == "update":
+                if not merged:
+                    merged.append(merge_table(df, name, keys, buckets or DEFAULT_BUCKETS, schemas))
+                target, columns, parts = merged[0]
+                return merge_epoch(df, target, columns, keys, parts, order_by)
             if EPOCH_COLUMN in df.columns:
                 df = df.drop(EPOCH_COLUMN)
             if not found:
@@ -158,6 +173,9 @@ def write_stream(
     processing_time: str | None = None,
     offset_update: Update = None,
     autocommit: bool = True,
+    keys: Sequence[str] = (),
+    order_by: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Stream into a table (``name``) or through a script (``script``).
 
@@ -168,7 +186,7 @@ def write_stream(
     """
     if (name is None) == (script is None):
         raise ValueError("give either name= or script=")
-    sink = (table_sink(name, stream_mode, schemas, undo, writers) if name
+    sink = (table_sink(name, stream_mode, schemas, undo, writers, keys=keys, order_by=order_by, buckets=buckets) if name
             else script_sink(script, stream_mode, undo))
     sink = keeping_log(sink, checkpoint, offset_update, autocommit)
     return start(df, sink, checkpoint, stream_mode, query_name or unique_name("transfer"),
