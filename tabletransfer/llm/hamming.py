@@ -107,17 +107,17 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
     k nearest others by Euclidean distance, among all codes within the query's radius.
 
     See ``valid_vectors`` for what takes part. Equal distances go by smaller id; rows that repeat an id are
-    candidates each, but no row is a neighbour of its own id. A query has fewer than k rows only where there are
+    queries and candidates each, and only the query's own row is not its neighbour. A query has fewer than k rows only where there are
     fewer candidates. An empty table gives an empty result. Further columns are not read.
     """
     spark = rows.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    rows = keep(valid_vectors(rows), "vectors")
+    rows = keep(valid_vectors(rows).withColumn("row", F.monotonically_increasing_id()), "vectors")
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
     if not sample.num_rows:
         return spark.createDataFrame([], schema)
     rotation = spark.sparkContext.broadcast(fit_rotation(_vectors(sample["embedding"])))
-    queries = keep(rows.where(is_query).withColumn("query", F.monotonically_increasing_id()), "queries")
+    queries = keep(rows.where(is_query).withColumn("query", F.col("row")), "queries")
     sampled = _sampled(rows, queries, rotation, k)
     slack = _slack(sampled)
     first = min(_radius(sampled, slack), rotation.value.bits)
@@ -128,8 +128,8 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
             for j in range(rotation.value.substrings):
                 shard = j * 16 + (_substring(codes, j) >> 4).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(codes.view(np.int64)), pa.array(shard, pa.int32())],
-                    names=["vec_id", "embedding", "code", "shard"])
+                    [*batch.columns, pa.array(codes.view(np.int64)), pa.array(shard, pa.int32())],
+                    names=["vec_id", "embedding", "row", "code", "shard"])
 
     bits, substrings = rotation.value.bits, rotation.value.substrings
 
@@ -152,7 +152,7 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
         out: list[tuple] = []
         if data.num_rows and queries.num_rows:
             j = data["shard"][0].as_py() // 16
-            ids, vectors = data["vec_id"].to_numpy(), _vectors(data["embedding"])
+            ids, vectors, numbers = data["vec_id"].to_numpy(), _vectors(data["embedding"]), data["row"].to_numpy()
             codes = data["code"].to_numpy().view(np.uint64)
             own = _substring(codes, j)
             buckets = {v: np.flatnonzero(own == v) for v in np.unique(own)}
@@ -168,7 +168,7 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
                 at = np.concatenate([buckets[v] for v in probed])
                 differ = codes[at] ^ code
                 apart = np.bitwise_count(differ)
-                good = (apart <= radius) & (ids[at] != q)
+                good = (apart <= radius) & (numbers[at] != number)
                 for earlier in range(j):  # a pair is ranked where it is found first
                     good &= np.bitwise_count(_substring(differ, earlier)) > within
                 at, apart = at[good], apart[good]
@@ -184,7 +184,7 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
             columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32()))],
             names=["query", "query_id", "vec_id", "score", "bits"])
 
-    index = rows.mapInArrow(indexed, "vec_id long, embedding array<double>, code long, shard int")
+    index = rows.mapInArrow(indexed, "vec_id long, embedding array<double>, row long, code long, shard int")
     query_blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
     # At most 128 shards, whatever the number of rows.
     sizes = keep(index.groupBy("shard").agg(F.count("*").alias("n")), "sizes").select(
@@ -205,10 +205,8 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
 
     nearest = Window.partitionBy("query").orderBy("score", "vec_id")
     upwards = Window.partitionBy("query").orderBy("bits").rowsBetween(Window.unboundedPreceding, 0)
-    others = F.lit(rows.count()) - F.col("copies")
-    copies = queries.groupBy("vec_id").agg(F.count("*").alias("copies"))
-    todo = queries.join(copies, "vec_id").select(
-        "query", "vec_id", "embedding", F.lit(first).alias("radius"), F.least(F.lit(k), others).alias("need"))
+    todo = queries.select("query", "vec_id", "embedding", F.lit(first).alias("radius"),
+                          F.lit(min(k, rows.count() - 1)).cast("long").alias("need"))
     parts = []
     while True:
         todo = keep(todo, "todo")
@@ -223,15 +221,14 @@ def search(rows: DataFrame, is_query, k: int = 10) -> DataFrame:
                      .select("query", "vec_id", "embedding", F.col("wider").alias("radius"), "need"), "again")
         best = found.where("score is not null").join(again.select("query"), "query", "left_anti")
         parts.append(best.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
-                     .select("query_id", "vec_id", "score"))
+                     .select("query", "query_id", "vec_id", "score"))
         if again.isEmpty():
             break
         todo = again
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+    return found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
 
@@ -241,14 +238,14 @@ def _sampled(rows: DataFrame, queries: DataFrame, rotation, k: int) -> list[tupl
     probes = queries.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(RADIUS_QUERIES).toArrow()
     if not probes.num_rows:
         return []
-    ids = probes["vec_id"].to_numpy()
+    ids = probes["row"].to_numpy()
     sent = rows.sparkSession.sparkContext.broadcast((ids, _vectors(probes["embedding"])))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, vectors = sent.value
         codes = rotation.value.codes(vectors)
         for batch in batches:
-            own, data = batch.column(0).to_numpy(), _vectors(batch.column(1))
+            own, data = batch.column(2).to_numpy(), _vectors(batch.column(1))
             near = np.bitwise_count(rotation.value.codes(data)[:, None] ^ codes)
             for n, q in enumerate(queries):
                 distance = np.where(own == q, np.inf, _distances(vectors[n], data))

@@ -114,6 +114,21 @@ def test_search_of_odd_vectors(spark, monkeypatch):
     assert search(df.limit(0), F.col("vec_id") % 100 == 0).collect() == []
 
 
+def test_query_rows_that_share_an_id(spark):
+    """Each is searched by itself, and is a candidate of the other one."""
+    r = np.random.default_rng(9)
+    rows = [(i, r.normal(size=16).tolist()) for i in range(1, 40)]
+    twins = [(100, rows[4][1]), (100, rows[20][1]), (200, rows[7][1]), (200, rows[7][1])]
+    df = spark.createDataFrame(rows + twins, "vec_id long, embedding array<double>")
+    found = search(df, F.col("vec_id") % 100 == 0).collect()
+    every = rows + twins
+    want = []
+    for n, (q, vector) in enumerate(twins, len(rows)):
+        near = sorted((float(np.linalg.norm(np.array(v) - vector)), i) for m, (i, v) in enumerate(every) if m != n)[:10]
+        want += [(q, rank, i, round(d, 9)) for rank, (d, i) in enumerate(near, 1)]
+    assert sorted((x.query_id, x["rank"], x.vec_id, round(x.score, 9)) for x in found) == sorted(want)
+
+
 def test_every_code_within_the_radius_is_retrieved(spark):
     """With a radius of all bits the search is exact."""
     r = np.random.default_rng(5)
