@@ -326,7 +326,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "doc_id", "tag", begin.alias("low"), (begin + F.col("place").bitwiseAND(F.lit(1023)).cast("int") + 1).alias("high"))
     partly = mixed.join(marks, ["minimizer", "content"]).select(
         "doc_id", "tag", (begin + F.col("low")).alias("low"), (begin + F.col("high")).alias("high"))
-    return whole.union(partly).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    # A row that is repeated finds each span as often; the set drops them in each task already.
+    return whole.union(partly).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
 
 
 def _by_index(cut: DataFrame) -> DataFrame:
