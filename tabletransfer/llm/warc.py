@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import io
 from collections.abc import Iterator
-from hashlib import sha256
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,8 +19,10 @@ LEAST_SHARED = 100
 RECORDS_PER_FILE = 3000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
+#: Digests that are checked.
+ALGORITHMS = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
 
-_RECORD = ("record_id string, type string, concurrent_to string, refers_to string, target_uri string, date string, "
+_RECORD = ("record_id string, type string, concurrent_to array<string>, refers_to string, target_uri string, date string, "
            "payload_digest string, payload_bytes long, page_id long, payload binary")
 
 
@@ -87,46 +90,76 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
-def parse_archive(content: bytes) -> Iterator[dict]:
-    """The records of one gzip file, of one or many members; blocks are taken by their Content-Length."""
-    stream = gzip.GzipFile(fileobj=io.BytesIO(content))
+def _fields(source) -> dict[str, list[str]]:
+    """Header lines up to an empty one; a name may come several times, a line that starts with white space goes on with the
+    one before, and bytes that are no UTF-8 are replaced."""
+    found: dict[str, list[str]] = {}
+    last: list[str] = []
+    while line := source.readline().rstrip(b"\r\n"):
+        text = line.decode("utf-8", "replace")
+        if text[0] in " \t" and last:
+            last[-1] = f"{last[-1]} {text.strip()}".strip()
+            continue
+        name, _, value = text.partition(":")
+        last = found.setdefault(name.strip().lower(), [])
+        last.append(value.strip())
+    return found
+
+
+def _fits(payload: bytes, digest: str) -> bool:
+    """Whether a digest header, ``algorithm:value`` in hexadecimal or base 32, is that of a payload; one of an unknown
+    algorithm or form says nothing."""
+    name, _, value = digest.partition(":")
+    name = name.strip().lower().replace("-", "")
+    if name not in ALGORITHMS:
+        return True
+    found = hashlib.new(name, payload).digest()
+    return value.strip().lower() == found.hex() or value.strip().upper().rstrip("=") == base64.b32encode(found).decode().rstrip("=")
 
-    def fields(source) -> dict[str, str]:
-        found = {}
-        while line := source.readline().rstrip(b"\r\n"):
-            name, _, value = line.decode().partition(":")
-            found[name.strip().lower()] = value.strip()
-        return found
 
+def parse_archive(content: bytes) -> Iterator[dict]:
+    """The records of one file, gzip of one or many members or plain; blocks are taken by their Content-Length.
+
+    Of a response ``payload_digest`` is the SHA-256 of its payload, whatever its header has; a header of a known algorithm
+    is checked. Of a revisit it is what the header has, without ``sha256:``. A record that is cut short, has no
+    length or does not fit its digest is an error; other headers may be missing.
+    """
+    stream = io.BytesIO(content)
+    if bytes(memoryview(content)[:2]) == b"\x1f\x8b":
+        stream = gzip.GzipFile(fileobj=stream)
     while line := stream.readline():
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
             raise ValueError(f"not the start of a record: {line[:40]!r}")
-        head = fields(stream)
-        size = int(head["content-length"])
-        block = stream.read(size)
-        if len(block) != size:
-            raise ValueError(f"record {head.get('warc-record-id')} is cut short")
-        kind = head["warc-type"]
-        row = {"record_id": head["warc-record-id"], "type": kind, "concurrent_to": head.get("warc-concurrent-to"),
-               "refers_to": head.get("warc-refers-to"), "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"),
-               "payload_digest": head.get("warc-payload-digest", "").removeprefix("sha256:") or None,
+        head = _fields(stream)
+        one = lambda name: next(iter(head.get(name, [])), None)
+        length = one("content-length")
+        if length is None or not length.isdigit():
+            raise ValueError(f"record {one('warc-record-id')} has no length")
+        block = stream.read(int(length))
+        if len(block) != int(length):
+            raise ValueError(f"record {one('warc-record-id')} is cut short")
+        kind, digest = one("warc-type"), one("warc-payload-digest")
+        row = {"record_id": one("warc-record-id"), "type": kind, "concurrent_to": head.get("warc-concurrent-to", []),
+               "refers_to": one("warc-refers-to"), "target_uri": one("warc-target-uri"), "date": one("warc-date"),
+               "payload_digest": digest and digest.removeprefix("sha256:"),
                "payload_bytes": None, "page_id": None, "payload": None}
         if kind in ("response", "revisit"):
             body = io.BytesIO(block)
             body.readline()
-            http = fields(body)
+            http = _fields(body)
             payload = block[body.tell():]
             if kind == "response":
-                row |= {"payload": payload, "payload_bytes": len(payload)}
-                if sha256(payload).hexdigest() != row["payload_digest"]:
+                if digest and not _fits(payload, digest):
                     raise ValueError(f"record {row['record_id']}: the payload does not fit its digest")
+                row |= {"payload": payload, "payload_bytes": len(payload), "payload_digest": hashlib.sha256(payload).hexdigest()}
             else:
-                row["payload_bytes"] = int(http["content-length"])
+                stated = next(iter(http.get("content-length", [])), "")
+                row["payload_bytes"] = int(stated) if stated.isdigit() else None
         elif kind == "metadata":
-            value = fields(io.BytesIO(block)).get("page-id")
-            row["page_id"] = int(value) if value else None
+            value = next(iter(_fields(io.BytesIO(block)).get("page-id", [])), "")
+            row["page_id"] = int(value) if value.removeprefix("-").isdigit() else None
         yield row
 
 
@@ -136,7 +169,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     ``payloads=False`` leaves payloads null after their digests were checked.
     """
     names = [c.split()[0] for c in _RECORD.split(", ")]
-    types = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    types = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
     schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in _RECORD.split(", ")])
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,17 +189,21 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
 
 def transactions(records: DataFrame) -> DataFrame:
-    """One nested row per capture: ``response`` (or revisit), and ``requests`` and ``metadata``, which name it in
-    WARC-Concurrent-To.
+    """One nested row per capture: ``response`` (or revisit), and the ``requests`` and ``metadata`` that name it in
+    WARC-Concurrent-To, or that it names there.
 
-    A capture without requests or metadata has empty lists. Records of several concurrent identifiers
-    go with the one they name. A page_id is the first that the metadata give.
+    A capture without requests or metadata has empty lists; a record that goes with several captures is in the row of
+    each, one that goes with none is in no row. A page_id is the first that the metadata give.
     """
     main = records.where("type in ('response', 'revisit')")
+    named_by_main = main.select(F.explode("concurrent_to").alias("other"), F.col("record_id").alias("capture"))
 
     def named(kind: str, alias: str, *fields: str) -> DataFrame:
-        return (records.where(F.col("type") == kind).groupBy(F.col("concurrent_to").alias("record_id"))
-                .agg(F.collect_list(F.struct(F.col("record_id").alias("record_id"), *fields)).alias(alias)))
+        own = records.where(F.col("type") == kind)
+        naming = own.select(F.explode("concurrent_to").alias("capture"), "record_id", *fields)
+        back = own.join(named_by_main, F.col("record_id") == F.col("other")).select("capture", "record_id", *fields)
+        return (naming.union(back).groupBy(F.col("capture").alias("record_id"))
+                .agg(F.array_sort(F.collect_set(F.struct("record_id", *fields))).alias(alias)))
 
     whole = (main.join(named("request", "requests", "target_uri", "date"), "record_id", "left")
              .join(named("metadata", "metadata", "page_id"), "record_id", "left"))

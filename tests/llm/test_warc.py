@@ -1,3 +1,4 @@
+import base64
 import gzip
 import hashlib
 
@@ -76,3 +77,43 @@ def test_records_of_several_members_and_damage():
         list(parse_archive(gzip.compress(record[:-6])))
     with pytest.raises(ValueError, match="digest"):
         list(parse_archive(gzip.compress(record.replace(b"hi", b"ho"))))
+
+
+def foreign(kind, number, *headers, block=b""):
+    lines = [f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{number}>\r\n".encode(), *[h.encode("latin-1") + b"\r\n" for h in headers]]
+    return b"".join(lines) + f"Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_records_of_other_writers():
+    payload = b"hello"
+    block = b"HTTP/1.1 200 OK\r\nX-Long: a\r\n b\r\n\r\n" + payload
+    sha1 = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    good = [f"WARC-Payload-Digest: sha1:{sha1}", f"WARC-Payload-Digest: sha1:{hashlib.sha1(payload).hexdigest()}",
+            f"WARC-Payload-Digest: MD5:{hashlib.md5(payload).hexdigest().upper()}", "WARC-Payload-Digest: blake9:abc", "X-None: 1"]
+    archive = b"".join(foreign("response", n, h, "WARC-Target-URI: http://x/\xe9", block=block) for n, h in enumerate(good))
+    for content in (archive, gzip.compress(archive)):
+        rows = list(parse_archive(content))
+        assert [(r["payload"], r["payload_bytes"], r["payload_digest"]) for r in rows] == [(payload, 5, hashlib.sha256(payload).hexdigest())] * 5
+        assert all(r["target_uri"].startswith("http://x/") for r in rows)
+    with pytest.raises(ValueError, match="digest"):
+        list(parse_archive(foreign("response", 1, f"WARC-Payload-Digest: sha1:{sha1}", block=block + b"!")))
+    with pytest.raises(ValueError, match="no length"):
+        list(parse_archive(b"WARC/1.0\r\nWARC-Type: response\r\n\r\n"))
+    (revisit,) = parse_archive(foreign("revisit", 7, f"WARC-Payload-Digest: sha1:{sha1}", block=b"HTTP/1.1 200 OK\r\n\r\n"))
+    assert (revisit["payload_bytes"], revisit["payload_digest"]) == (None, f"sha1:{sha1}")
+    (several,) = parse_archive(foreign("metadata", 8, "WARC-Concurrent-To: <1>", "WARC-Concurrent-To:", " <2>", block=b"page-id: x\r\n"))
+    assert several["concurrent_to"] == ["<1>", "<2>"] and several["page_id"] is None
+
+
+def test_transactions_of_other_writers(spark, tmp_path):
+    """Responses that name their request, records that name several captures or none."""
+    http = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    archive = b"".join([
+        foreign("warcinfo", "i", block=b"software: x\r\n"), foreign("response", 1, "WARC-Concurrent-To: <3>", block=http),
+        foreign("response", 2, block=http), foreign("request", 3, "WARC-Concurrent-To: <1>", block=b"GET / HTTP/1.1\r\n\r\n"),
+        foreign("request", 4, block=b"GET / HTTP/1.1\r\n\r\n"), foreign("metadata", 5, "WARC-Concurrent-To: <1>", "WARC-Concurrent-To: <2>", block=b"page-id: 9\r\n"),
+        foreign("metadata", 6, "WARC-Concurrent-To: <gone>")])
+    (tmp_path / "a.warc").write_bytes(archive)
+    rows = {r.record_id: r for r in transactions(read_archives(spark, str(tmp_path))).collect()}
+    got = {i: ([q.record_id for q in r.requests], [m.record_id for m in r.metadata], r.page_id) for i, r in rows.items()}
+    assert got == {"<1>": (["<3>"], ["<5>"], 9), "<2>": ([], ["<5>"], 9)}
