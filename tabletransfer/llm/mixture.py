@@ -157,8 +157,7 @@ def pack(docs: DataFrame, length: int = LENGTH, weights: dict[str, float] | None
     but the last is full. ``weights`` gives the sources' shares of the tokens; without it, and for
     sources not in it (which then weigh 1 token each per token they have), a source's share is that
     of its tokens, so all queues end together. When a queue is empty the others go on in their proportions.
-    Every source is a queue, however many there are; the column ``queue`` names it, and without ``weights``, from more
-    than ``MAX_QUEUES`` sources on, is only a hash of it. ``with_ids`` adds the ids of each piece as ``ids array<int>``. Null texts are empty, a
+    Every source is a queue, however many there are; the column ``queue`` names it. ``with_ids`` adds the ids of each piece as ``ids array<int>``. Null texts are empty, a
     null source is a queue of its own, repeated rows are packed each. Further columns are not read.
     """
     source = F.col("source").cast("string")
@@ -184,9 +183,9 @@ def pack(docs: DataFrame, length: int = LENGTH, weights: dict[str, float] | None
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                doc_id, queue, start, n, ids, label = batch.columns[:6]
+                doc_id, queue, start, n, ids = batch.columns[:5]
                 if many:
-                    flat = batch.column(6).flatten().to_numpy()
+                    flat = batch.column(5).flatten().to_numpy()
                     places = lambda turn, doc: flat  # noqa: B023, E731
                 else:
                     own = np.array([number[q] for q in queue.to_pylist()], np.int64)
@@ -197,7 +196,7 @@ def pack(docs: DataFrame, length: int = LENGTH, weights: dict[str, float] | None
                 columns = [
                     doc_id.take(pa.array(doc)), pa.array(inside), pa.array(size),
                     pa.array([zlib.crc32(c) for c in cut], pa.int64()), n.take(pa.array(doc)),
-                    pa.array(place // length), pa.array(place % length), label.take(pa.array(doc))]
+                    pa.array(place // length), pa.array(place % length), queue.take(pa.array(doc))]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"]
                 if with_ids:
                     columns.append(pa.array(cut, pa.list_(pa.int32())))
@@ -205,8 +204,7 @@ def pack(docs: DataFrame, length: int = LENGTH, weights: dict[str, float] | None
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     ready = tokens.join(bases, ["queue", "part"]).select("doc_id", "queue", (F.col("start") + F.col("base")).alias("start"), "n", "ids")
-    label = F.pmod(F.xxhash64("queue"), F.lit(MAX_QUEUES)).cast("string") if many and weights is None else F.col("queue")
-    columns = ["doc_id", "queue", "start", "n", "ids", label.alias("label")]
+    columns = ["doc_id", "queue", "start", "n", "ids"]
     if many:
         rate = F.col("total").cast("double")
         if weights:
