@@ -228,7 +228,9 @@ def round_trip(pages: DataFrame, path: str) -> DataFrame:
     See ``captures`` for nulls, small payloads and repeated rows. Further columns are not read.
     """
     write_archives(pages, path)
-    captured = keep(transactions(read_archives(pages.sparkSession, path, payloads=False)), "captures")
+    # Archives are parsed once; the records without their payloads are then joined several ways.
+    records = keep(read_archives(pages.sparkSession, path, payloads=False), "records")
+    captured = keep(transactions(records), "captures")
     return with_references(captured).select(
         "page_id", F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"), "refers_to")
