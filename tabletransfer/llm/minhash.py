@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket"))
     blocks = F.greatest(F.ceil(F.col("weight") / BLOCK_SHINGLES), F.ceil(F.col("n") / BLOCK_TEXTS))
     rows = (
-        labelled.where("n > 2").join(mixed, "bucket", "left_semi")
+        labelled.where("n > 2").join(mixed, "bucket", "left_semi").repartition("bucket", "doc_id")
         .withColumn("blocks", blocks.cast("long"))
         .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))

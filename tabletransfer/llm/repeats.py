@@ -10,6 +10,9 @@ equal minimizers, so segments can be indexed group by group without losing a mat
 * Groups with different segments go into indexes of about a megabyte. Each is a run-compressed
   transform with the text positions of run starts and ends, and matching statistics are
   streamed from those samples.
+* A group too large for one index is dealt into smaller pieces that are indexed in their turn: windows whose
+  hash occurs once are cut off and equal stretches of the others merge, which leaves few as a rule; where
+  many different stretches are left, each window is a piece and its hash the group.
 """
 
 from __future__ import annotations
@@ -26,8 +29,7 @@ from tabletransfer.llm.shared import Rolling, keep, mix, plain, text_slices
 LENGTH, GRAM = 200, 32
 #: Longest segment in windows; longer stretches of one minimizer are several segments.
 MOST_WINDOWS = 512
-#: Bytes of an index on average, and the most different segments of one minimizer that go into one.
-#: Larger groups are compared by hashes of their windows, spread over all tasks.
+#: Bytes of an index on average, and the most different segments of one group that go into one.
 INDEX_BYTES, GROUP_SEGMENTS = 1 << 20, 4096
 _SEPARATOR = 255  # no byte of UTF-8 text
 
@@ -219,7 +221,8 @@ _MARKS = "minimizer long, content long, low int, high int"
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in the order of their minimizer; whole groups are indexed together."""
+    """Rows come in the order of their minimizer and content; whole groups are indexed together, and what
+    a repeated row of the table brings again is left out."""
     rows: list[tuple] = []
     size = 0
 
@@ -234,6 +237,8 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if rows and row[:2] == rows[-1][:2]:
+                continue
             if size >= INDEX_BYTES and row[0] != rows[-1][0]:
                 yield done()
                 rows, size = [], 0
@@ -244,16 +249,42 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _hashed_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per window of each segment; the hash is that of its 200 bytes."""
+    """One row per window of each segment, with the hash of its 200 bytes."""
     for batch in batches:
         for minimizer, content, n, data in zip(*(c.to_pylist() for c in batch.columns)):
-            rolling, twice = (Rolling(np.frombuffer(data, np.uint8), seed) for seed in (1, 2))
             at = np.arange(len(data) - LENGTH + 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x] * len(at), pa.int64()) for x in (minimizer, content, n)]
-                + [pa.array(at, pa.int32())]
-                + [pa.array(r.of(at, at + LENGTH).view(np.int64)) for r in (rolling, twice)],
-                names=["minimizer", "content", "n", "low", "hash", "second"])
+                + [pa.array(at, pa.int32()),
+                   pa.array(Rolling(np.frombuffer(data, np.uint8), 2).of(at, at + LENGTH).view(np.int64))],
+                names=["minimizer", "content", "n", "low", "hash"])
+
+
+_PIECES = "of_minimizer long, of_content long, shift int, minimizer long, content long, n long, bytes binary"
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The stretches of the listed windows of each segment, or each window where none are listed; those have their
+    hash for a group, stretches the minimizer."""
+    for batch in batches:
+        for minimizer, content, n, data, lows in zip(*(c.to_pylist() for c in batch.columns)):
+            raw = np.frombuffer(data, np.uint8)
+            if lows is None:
+                first = np.arange(len(data) - LENGTH + 1)
+                last = first + LENGTH
+                group = Rolling(raw, 2).of(first, last).view(np.int64)
+            else:
+                listed = np.zeros(len(data), bool)
+                listed[lows] = True
+                first, stop = _ranges(listed)
+                last = stop + LENGTH - 1
+                group = np.full(len(first), minimizer, np.int64)
+            own = Rolling(raw).of(first, last).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([minimizer] * len(first), pa.int64()), pa.array([content] * len(first), pa.int64()),
+                 pa.array(first, pa.int32()), pa.array(group), pa.array(own), pa.array([n] * len(first), pa.int64()),
+                 pa.array([data[lo:hi] for lo, hi in zip(first.tolist(), last.tolist())], pa.binary())],
+                names=["of_minimizer", "of_content", "shift", "minimizer", "content", "n", "bytes"])
 
 
 # --- spans and what is left -------------------------------------------------------------
@@ -308,18 +339,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.tag") == F.col("b.tag"))
     cut = (docs.alias("a").join(per_text.alias("b"), same).select("a.text", "b.wanted")
            .mapInArrow(_cut_out, "minimizer long, content long, n long, bytes binary"))
-    large = keep(wanted.groupBy("minimizer").count().where(F.col("count") > GROUP_SEGMENTS).select("minimizer"), "large")
-    if large.isEmpty():
-        marks = _by_index(cut)
-    else:
-        cut = keep(cut.dropDuplicates(["minimizer", "content"]), "cut")
-        windows = cut.join(large, "minimizer", "left_semi").mapInArrow(
-            _hashed_windows, "minimizer long, content long, n long, low int, hash long, second long")
-        often = windows.groupBy("minimizer", "hash", "second").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
-        marks = _by_index(cut.join(large, "minimizer", "left_anti")).union(
-            windows.join(often, ["minimizer", "hash", "second"])
-            .select("minimizer", "content", "low", (F.col("low") + 1).alias("high")))
-    marks = keep(marks, "marks")
+    marks = keep(_marks(cut, wanted), "marks")
 
     begin = F.shiftrightunsigned("place", 11).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     whole = shared.where("not mixed").select(
@@ -330,9 +350,37 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return whole.union(partly).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
 
 
+def _marks(cut: DataFrame, counted: DataFrame, level: int = 0) -> DataFrame:
+    """``minimizer, content, low, high``: the repeated windows of the segments ``cut``, all found by indexes.
+
+    ``counted`` has one row per different segment. Groups within the bound go into indexes as they are. Of the others
+    the pieces do: stretches of windows whose hash occurs twice (``level`` 0), then single windows (1), of
+    which those with equal bytes are one row, so that the last groups need no bound.
+    """
+    large = keep(counted.groupBy("minimizer").count().where(F.col("count") > GROUP_SEGMENTS).select("minimizer"), "large")
+    if level == 2 or large.isEmpty():
+        return _by_index(cut)
+    hot = keep(cut.join(large, "minimizer", "left_semi").dropDuplicates(["minimizer", "content"]), "hot")
+    if level == 0:
+        windows = keep(hot.mapInArrow(_hashed_windows, "minimizer long, content long, n long, low int, hash long"), "windows")
+        often = windows.groupBy("minimizer", "hash").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+        lows = windows.join(often, ["minimizer", "hash"]).groupBy("minimizer", "content").agg(F.collect_list("low").alias("lows"))
+        hot = hot.join(lows, ["minimizer", "content"])
+    else:
+        hot = hot.withColumn("lows", F.lit(None).cast("array<int>"))
+    pieces = keep(hot.select("minimizer", "content", "n", "bytes", "lows").mapInArrow(_pieces, _PIECES), "pieces")
+    different = keep(
+        pieces.groupBy("minimizer", "content").agg(F.sum("n").alias("n"), F.first("bytes").alias("bytes")), "different")
+    found = _marks(different, different, level + 1)
+    back = pieces.drop("n", "bytes").join(found, ["minimizer", "content"]).select(
+        F.col("of_minimizer").alias("minimizer"), F.col("of_content").alias("content"),
+        (F.col("shift") + F.col("low")).alias("low"), (F.col("shift") + F.col("high")).alias("high"))
+    return _by_index(cut.join(large, "minimizer", "left_anti")).union(back)
+
+
 def _by_index(cut: DataFrame) -> DataFrame:
-    return (cut.select("minimizer", "content", "n", "bytes").repartition("minimizer").sortWithinPartitions("minimizer")
-            .mapInArrow(_indexed, _MARKS))
+    return (cut.select("minimizer", "content", "n", "bytes").repartition("minimizer")
+            .sortWithinPartitions("minimizer", "content").mapInArrow(_indexed, _MARKS))
 
 
 def _kept_parts(data: np.ndarray, spans) -> tuple[np.ndarray, int]:

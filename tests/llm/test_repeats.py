@@ -50,9 +50,41 @@ def test_like_brute_force(spark):
     assert sorted((tuple(r) for r in repeats(frame(spark, rows)).collect()), key=repr) == brute(rows)
 
 
-def test_large_groups_are_compared_by_windows(spark, monkeypatch):
+@pytest.mark.parametrize("most", [1, 3])
+def test_large_groups_are_dealt_into_pieces(spark, monkeypatch, most):
+    """With 1 the pieces are stretches and then single windows, with 3 some groups end as stretches."""
+    monkeypatch.setattr(module, "GROUP_SEGMENTS", most)
+    rows = mixed_rows() + [mixed_rows()[0]] * 2
+    assert sorted((tuple(r) for r in repeats(frame(spark, rows)).collect()), key=repr) == brute(rows)
+
+
+def test_marks_of_large_groups_come_from_the_index(spark, monkeypatch):
+    """Hashes only choose windows; a window whose hash is another's by accident stays."""
     monkeypatch.setattr(module, "GROUP_SEGMENTS", 1)
-    rows = mixed_rows()
+    texts = [" ".join(words(k, 60))[:LENGTH + 20].encode() for k in range(3)]
+    rows = [(7, k, 1, t) for k, t in enumerate(texts)] + [(7, 9, 1, texts[0][5:] + b"?")]
+    cut = spark.createDataFrame([(a, b, c, bytearray(d)) for a, b, c, d in rows],
+                                "minimizer long, content long, n long, bytes binary")
+
+    def same_hash(batches):
+        import pyarrow as pa
+        for batch in batches:
+            for minimizer, content, n, data in zip(*(c.to_pylist() for c in batch.columns)):
+                size = len(data) - 199
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x] * size, pa.int64()) for x in (minimizer, content, n)]
+                    + [pa.array(range(size), pa.int32()), pa.array([1] * size, pa.int64())],
+                    names=["minimizer", "content", "n", "low", "hash"])
+
+    monkeypatch.setattr(module, "_hashed_windows", same_hash)
+    marked = {(r.content, k) for r in module._marks(cut, cut).collect() for k in range(r.low, r.high)}
+    assert marked == {(0, k) for k in range(5, 21)} | {(9, k) for k in range(16)}
+
+
+def test_hot_group_with_repeated_rows(spark):
+    """More segments of one minimizer than an index takes: one passage in 4500 documents, each with its own ends."""
+    passage = " ".join(words(77, 80))
+    rows = [(k, f"{k:05d} " * 6 + passage + f" {k * 7:06d}" * 6) for k in range(4500)] + [(1, "00001 " * 6 + passage)] * 30
     assert sorted((tuple(r) for r in repeats(frame(spark, rows)).collect()), key=repr) == brute(rows)
 
 
