@@ -47,6 +47,25 @@ def is_json(col: Column) -> Column:
     return F.when(col.isNotNull(), F.try_parse_json(col).isNotNull())
 
 
+def json_value(col: Column, source: T.DataType) -> Column:
+    """VARIANT of a JSON text, or of any other value as it is; null for text that is not JSON or repeats a key."""
+    if isinstance(source, T.StringType):
+        return F.try_parse_json(col)
+    if isinstance(source, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_variant_object(col)
+    return col.try_cast(T.VariantType())
+
+
+def json_text(col: Column) -> Column:
+    """JSON text of a VARIANT: no white space, keys in the order of their bytes."""
+    return F.to_json(col)
+
+
+def json_part(col: Column, path: str, kind: T.DataType | str) -> Column:
+    """The part of a VARIANT at a path such as ``$.a[0].b``; null where there is none or it is not of that type."""
+    return F.try_variant_get(col, path, kind if isinstance(kind, str) else kind.simpleString())
+
+
 def is_time(col: Column, zone: bool = False) -> Column:
     return col.rlike(_TIME + (_ZONE if zone else "") + "$")
 

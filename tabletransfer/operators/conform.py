@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabletransfer.functions.values import bit_text, is_bits, is_ewkb_hex, is_time, is_uuid
+from tabletransfer.functions.values import bit_text, is_bits, is_ewkb_hex, is_time, is_uuid, json_part, json_text, json_value
 from tabletransfer.plans.schema import ExternalType, external_type
 from tabletransfer.sources.targets import quote
 
@@ -72,10 +72,14 @@ def _convert(col: Column, source: T.DataType, target: ExternalType) -> Column:
     if target.kind is None:
         if isinstance(source, T.StringType) and isinstance(target.spark_type, T.BinaryType):
             return F.try_to_binary(col, F.lit("base64"))
+        if isinstance(target.spark_type, T.VariantType):
+            return json_value(col, source)
+        if isinstance(source, T.VariantType):
+            return json_text(col) if isinstance(target.spark_type, T.StringType) else json_part(col, "$", target.spark_type)
         value = col.try_cast(target.spark_type)
         kept = _kept(col, value, source, target.spark_type)
         return value if kept is None else F.when(kept, value)
-    text = col.cast("string")
+    text = json_text(col) if isinstance(source, T.VariantType) else col.cast("string")
     if target.kind == "uuid":
         return F.when(is_uuid(text), text)
     if target.kind == "varchar":
@@ -114,7 +118,8 @@ def conform(df: DataFrame, target, on_loss: str = "error") -> DataFrame:
     """Cast by name to an existing target's columns.
 
     ``target`` is a ``StructType`` or a mapping of column → type name of the external
-    database (``uuid``, ``varchar(10)``, ``bit(4)``, ``json``, ``timestamptz`` …).
+    database (``uuid``, ``varchar(10)``, ``bit(4)``, ``json``, ``timestamptz`` …). ``json`` is text
+    that is checked and kept as it stands; ``variant`` is parsed and stored as Spark's VARIANT.
     Target columns that ``df`` lacks become null. Nothing is rounded or cut: a number whose
     fraction the target cannot hold and a time of day that becomes a date do not fit; round
     before, where that is wanted. A value that does not fit fails the
@@ -126,7 +131,8 @@ def conform(df: DataFrame, target, on_loss: str = "error") -> DataFrame:
     for name, source, value in _pairs(df, target):
         if source is not None and on_loss == "error":
             raw = F.col(quote(source))
-            message = F.concat(F.lit(f"column {name}: value does not fit the target: "), raw.cast("string"))
+            shown = json_text(raw) if isinstance(df.schema[source].dataType, T.VariantType) else raw.cast("string")
+            message = F.concat(F.lit(f"column {name}: value does not fit the target: "), shown)
             value = F.coalesce(value, F.when(raw.isNotNull(), F.raise_error(message)))
         out.append(value.alias(name))
     return df.select(*out)

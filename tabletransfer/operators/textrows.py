@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabletransfer.functions.values import base64_text, bool_from_text, bool_to_text
+from tabletransfer.functions.values import base64_text, bool_from_text, bool_to_text, json_text
 from tabletransfer.session import delete_path, replace_folder, unique_name
 from tabletransfer.sources.targets import quote
 
@@ -95,6 +95,8 @@ def _field_text(field: T.StructField, delimiter: str, ascii_only: bool) -> Colum
     kind = field.dataType
     if isinstance(kind, T.StringType):
         return escape_text(col, delimiter, ascii_only)
+    if isinstance(kind, T.VariantType):
+        return escape_text(json_text(col), delimiter, ascii_only)
     if isinstance(kind, T.BooleanType):
         return bool_to_text(col)
     if isinstance(kind, T.BinaryType):
@@ -139,6 +141,8 @@ def _field_value(text: Column, kind: T.DataType, tz: str) -> Column:
         return bool_from_text(text)
     if isinstance(kind, T.BinaryType):
         return F.try_to_binary(text, F.lit("base64"))
+    if isinstance(kind, T.VariantType):
+        return F.try_parse_json(text)
     if isinstance(kind, T.TimestampType):
         return F.when(F.length(text) >= 19, F.concat(text, F.lit(" " + tz)).try_cast(kind))
     if isinstance(kind, T.TimestampNTZType):
@@ -202,7 +206,7 @@ def decode_rows(
             value = F.when(raw.contains("\\"), checked(_unescaped(raw, delimiter))).otherwise(raw)
         elif isinstance(field.dataType, T.BooleanType):
             value = _field_value(raw, field.dataType, zone)
-        elif isinstance(field.dataType, T.BinaryType):
+        elif isinstance(field.dataType, (T.BinaryType, T.VariantType)):
             value = checked(_field_value(unescape_text(raw, delimiter), field.dataType, zone))
         else:
             value = checked(_field_value(raw, field.dataType, zone))

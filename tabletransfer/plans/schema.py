@@ -22,6 +22,7 @@ EXTERNAL_TYPE_NAMES = {
     "tinyint": "INTEGER",
     "boolean": "BOOLEAN",
     "binary": "BYTEA",
+    "variant": "JSONB",
     "timestamp": "TIMESTAMP",
     "timestamp_ntz": "TIMESTAMP",
     "date": "DATE",
@@ -44,6 +45,7 @@ _SIMPLE_TYPES = {
     "boolean": T.BooleanType(),
     "bool": T.BooleanType(),
     "bytea": T.BinaryType(),
+    "variant": T.VariantType(),
     "date": T.DateType(),
     "timestamp": T.TimestampNTZType(),
     "timestamp without time zone": T.TimestampNTZType(),

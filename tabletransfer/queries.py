@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tabletransfer.api import load, save, stream
 from tabletransfer.functions.points import ewkb_to_text, point_to_ewkb
 from tabletransfer.functions.udfs import get_batch_id, register_udfs
-from tabletransfer.functions.values import base64_text, bit_text, bool_from_text, is_ewkb_hex, is_json, is_uuid
+from tabletransfer.functions.values import (
+    base64_text, bit_text, bool_from_text, is_ewkb_hex, is_json, is_uuid, json_part, json_text,
+)
 from tabletransfer.operators.conform import conform, conform_losses
 from tabletransfer.operators.textrows import (
     LOSSLESS_NULL, decode_rows, encode_rows, local_time, pad_fraction, read_text_rows, write_text_rows,
@@ -606,6 +608,21 @@ def json_field(spark, folder):
                          is_json(F.col("props")).alias("valid"), is_json(F.col("event_type")).alias("other"))
 
 
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, coalesce(json_valid(props), false) AS stored,
+          coalesce(json_valid(props), false) AS same FROM events""")
+def json_variant(spark, folder):
+    """Text to VARIANT in a table, out as lines, read back: paths are taken from the typed value."""
+    (events,) = views(spark, folder, "events")
+    fields = {"event_id": "bigint", "props": "variant"}
+    db = scratch_database(spark)
+    write_table(conform(events.select("event_id", "props"), fields), f"{db}.events_variant", "overwrite")
+    stored = read_table(spark, f"{db}.events_variant")
+    back = decode_rows(encode_rows(stored), "event_id bigint, again variant").withColumnRenamed("event_id", "id")
+    return stored.join(back, F.col("event_id") == F.col("id")).select(
+        "event_id", json_part(F.col("again"), "$.k", "string").alias("k"), F.col("props").isNotNull().alias("stored"),
+        F.coalesce(json_text(F.col("again")) == json_text(F.col("props")), F.lit(False)).alias("same"))
+
+
 @query("SELECT o_orderkey, json_object('k', o_orderkey, 's', o_orderstatus)::VARCHAR AS doc FROM orders")
 def json_build(spark, folder):
     (orders,) = views(spark, folder, "orders")

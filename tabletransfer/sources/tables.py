@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -111,6 +111,14 @@ def read(spark: SparkSession, source: str, schemas=None, **kwargs) -> DataFrame:
     return read_table(spark, source, schemas, **kwargs)
 
 
+def _node_kinds(node) -> Iterator[str]:
+    """Class names of a plan's nodes; names of columns and tables play no part."""
+    yield node.getClass().getSimpleName()
+    children = node.children()
+    for i in range(children.size()):
+        yield from _node_kinds(children.apply(i))
+
+
 def read_parallel(df: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     """Make sure that at least ``n`` tasks work on ``df``.
 
@@ -120,9 +128,10 @@ def read_parallel(df: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    shuffles = any(word in plan for word in ("Exchange", "Aggregate", "Join", "Window", "Sort", "Limit"))
-    if not shuffles and df.rdd.getNumPartitions() >= n:
+    execution = df._jdf.queryExecution()
+    shuffles = any(word in kind for kind in _node_kinds(execution.sparkPlan())
+                   for word in ("Exchange", "Aggregate", "Join", "Window", "Sort", "Limit"))
+    if not shuffles and execution.toRdd().getNumPartitions() >= n:
         return df
     return spread_salted(df, by, n) if by else df.repartition(n)
 

@@ -174,3 +174,11 @@ def test_keys_of_all_sizes_go_into_one_part(spark):
     keys = spark.sql("SELECT explode(array(-9223372036854775808L, -5L, -1L, 0L, 3L, 9223372036854775807L, NULL)) AS k")
     parts = [F.expr(p.replace('"', "`")) for p in modulo_predicates("k", 4)]
     assert sum(keys.where(p).count() for p in parts) == 7
+
+
+def test_read_parallel_goes_by_nodes_not_names(spark):
+    """A column whose name is that of a node does not make a bare scan shuffle."""
+    bare = spark.range(0, 10, 1, 8).selectExpr("id AS Sort_key", "id AS LimitJoin")
+    assert read_parallel(bare, 6).rdd.getNumPartitions() == 8
+    assert bare._jdf.queryExecution().sparkPlan().toString() == read_parallel(bare, 6)._jdf.queryExecution().sparkPlan().toString()
+    assert read_parallel(bare.orderBy("LimitJoin"), 3).rdd.getNumPartitions() == 3

@@ -1,8 +1,9 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
+from tabletransfer.functions.values import json_part, json_text
 from tabletransfer.operators.conform import apply_schema, conform, conform_losses
 from tabletransfer.plans.schema import (
     column_ddl, column_meta, external_name, external_type, infer_schema, schema_argument, select_list,
@@ -143,3 +144,21 @@ def test_conform_long_overflow(spark):
 
 def test_same_types_cost_nothing(spark, orders, plan):
     assert plan(conform(orders, orders.schema)) == plan(orders) or "CASE" not in plan(conform(orders, orders.schema))
+
+
+def test_conform_variants(spark):
+    texts = ['{"b": [1, {"c": "x\\ty"}], "a": null}', "[]", "7", "null", '"é"', None, "{", '{"a": 1, "a": 2}', ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, c string")
+    parsed = conform(df, {"id": "integer", "c": "variant"}, on_loss="null")
+    assert parsed.schema["c"].dataType == T.VariantType()
+    again = {r.id: r.c for r in conform(parsed, {"id": "integer", "c": "text"}).collect()}
+    assert again == {0: '{"a":null,"b":[1,{"c":"x\\ty"}]}', 1: "[]", 2: "7", 3: "null", 4: '"é"', 5: None, 6: None, 7: None, 8: None}
+    assert {r.id: r.c for r in conform(parsed, {"id": "integer", "c": "integer"}, on_loss="null").collect() if r.c is not None} == {2: 7}
+    assert tuple(conform_losses(df, {"id": "integer", "c": "variant"}).head()) == (0, 3)
+    with pytest.raises(Exception, match="column c: value does not fit"):
+        conform(df, {"id": "integer", "c": "variant"}).collect()
+    parts = parsed.select("id", json_part(F.col("c"), "$.b[1].c", "string").alias("p"), json_part(F.col("c"), "$.b[0]", "date").alias("q"))
+    assert [tuple(r) for r in parts.where("p IS NOT NULL OR q IS NOT NULL").collect()] == [(0, "x\ty", None)]
+    made = conform(spark.sql("SELECT named_struct('k', 1, 'l', array(true)) AS c"), {"c": "variant"})
+    assert made.select(json_text(F.col("c"))).head()[0] == '{"k":1,"l":[true]}'
+    assert external_name(T.VariantType()) == "JSONB"

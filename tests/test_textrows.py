@@ -210,3 +210,14 @@ def test_any_strings_round_trip(spark, rows, delimiter, ascii_only):
 def test_escape_is_the_reverse_of_unescape(spark):
     df = spark.createDataFrame([("\\" * n + "n" + "\\" * m,) for n in range(5) for m in range(5)], "x string")
     assert df.where(unescape_text(escape_text(F.col("x"))) != F.col("x")).count() == 0
+
+
+@pytest.mark.parametrize("delimiter", ["\t", "|"])
+def test_variants_as_text(spark, delimiter):
+    rows = spark.sql("""SELECT id, try_parse_json(t) AS v FROM VALUES (1, '{"k": "a\\tb|c\\\\d"}'), (2, 'null'), (3, NULL), (4, '"NULL"') AS r(id, t)""")
+    want = [tuple(r) for r in rows.selectExpr("id", "to_json(v)").orderBy("id").collect()]
+    back = decode_rows(encode_rows(rows, delimiter), "id int, v variant", delimiter)
+    assert [tuple(r) for r in back.selectExpr("id", "to_json(v)").orderBy("id").collect()] == want
+    assert want[1:] == [(2, "null"), (3, None), (4, '"NULL"')]
+    bad = spark.createDataFrame([(f"1{delimiter}{{",)], "line string")
+    assert decode_rows(bad, "id int, v variant", delimiter, on_error="flag").head()._bad == "cannot read v"
