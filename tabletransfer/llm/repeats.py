@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabletransfer.llm.shared import Rolling, keep, mix, plain, text_slices
+from tabletransfer.llm.shared import Rolling, keep, mix, plain, settle, text_slices
 
 LENGTH, GRAM = 200, 32
 #: Longest segment in windows; longer stretches of one minimizer are several segments.
@@ -128,19 +128,20 @@ class RunIndex:
         for k in range(8):
             key = (key << np.uint64(8)) | padded[k:k + n]
         self._key, self._levels = key, []
-        order = np.argsort(key, kind="stable")
-        rank = self._ranked(order, key)
+        order = np.argsort(key)  # equal ones have one rank, so any order of theirs will do
+        rank = np.empty(n, np.int64)
+        tied = self._ranked(rank, order, key[order], np.arange(n))
         width = 8
-        while True:
-            self._levels.append((width, rank))
-            if np.array_equal(rank[order], np.arange(n)):
-                break
-            after = np.zeros(n, np.int64)
-            after[:n - width] = rank[width:] + 1
-            both = rank * (n + 1) + after
-            order = np.argsort(both, kind="stable")
-            rank = self._ranked(order, both)
+        self._levels.append((width, rank.copy()))
+        while len(tied):  # places of the order that are shared; what has a place of its own keeps it
+            these = order[tied]
+            after = np.where(these + width < n, rank[np.minimum(these + width, n - 1)] + 1, 0)
+            both = rank[these] * (n + 1) + after
+            again = np.argsort(both)
+            order[tied] = these[again]
+            tied = self._ranked(rank, order[tied], both[again], tied)
             width *= 2
+            self._levels.append((width, rank.copy()))
         bwt = text[order - 1]  # the row of the whole text has the last character
         turn = bwt[1:] != bwt[:-1]
         origin = int(np.flatnonzero(order == 0)[0])
@@ -157,13 +158,12 @@ class RunIndex:
         del self._key, self._levels
 
     @staticmethod
-    def _ranked(order: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """For each position how many have a smaller key."""
-        ordered = key[order]
+    def _ranked(rank: np.ndarray, these: np.ndarray, ordered: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Rank these positions, which stand in the order of ``ordered`` at ``places``, by how many have a smaller
+        key. Returns the places of equal ones."""
         new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-        return rank
+        rank[these] = places[np.maximum.accumulate(np.where(new, np.arange(len(these)), 0))]
+        return places[~(new & np.append(new[1:], True))]
 
     def _common(self, a: np.ndarray, b: np.ndarray, there: np.ndarray) -> np.ndarray:
         """Length of the common prefix of the suffixes at a and b, by the ranks of ever shorter prefixes."""
@@ -324,30 +324,39 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     A range is ``low, high`` in bytes: windows start from ``low`` up to before ``high``.
     """
     docs = plain(docs, "doc_id", "text").withColumn("tag", _tag_of("text"))
+    shared = settle(lambda: _shared(docs), "shared")
+    mixed = shared.where("mixed")
+    marks = settle(lambda: _mixed_marks(docs, mixed), "marks")
+
+    begin = F.shiftrightunsigned("place", 11).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    whole = shared.where("not mixed").select(
+        "doc_id", "tag", begin.alias("low"), (begin + F.col("place").bitwiseAND(F.lit(1023)).cast("int") + 1).alias("high"))
+    partly = mixed.join(marks, ["minimizer", "content"]).select(
+        "doc_id", "tag", (begin + F.col("low")).alias("low"), (begin + F.col("high")).alias("high"))
+    # A row that is repeated finds each span as often; the set drops them in each task already.
+    return whole.union(partly).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+
+
+def _shared(docs: DataFrame) -> DataFrame:
+    """The segments whose minimizer occurs twice; ``mixed`` are those of groups that need an index."""
     found = keep(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(
         _segmented, "doc_id long, tag long, place long, minimizer long, content long"), "segments")
     groups = found.groupBy("minimizer").agg(
         F.count("*").alias("times"), F.min("content").alias("one"), F.max("content").alias("other"),
         F.max(F.col("place").bitwiseAND(F.lit(1024))).alias("again"))
     groups = groups.where("times > 1 or again > 0").select("minimizer", F.expr("one != other or times = 1").alias("mixed"))
-    shared = keep(found.join(groups, "minimizer"), "shared")
+    return found.join(groups, "minimizer")
 
-    mixed = shared.where("mixed")
+
+def _mixed_marks(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``minimizer, content, low, high``: the repeated windows of the mixed segments, cut out of the texts."""
     wanted = keep(mixed.groupBy("minimizer", "content").agg(
         F.first("doc_id").alias("doc_id"), F.first("tag").alias("tag"), F.first("place").alias("place"), F.count("*").alias("n")), "wanted")
     per_text = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "minimizer", "content", "n")).alias("wanted"))
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.tag") == F.col("b.tag"))
     cut = (docs.alias("a").join(per_text.alias("b"), same).select("a.text", "b.wanted")
            .mapInArrow(_cut_out, "minimizer long, content long, n long, bytes binary"))
-    marks = keep(_marks(cut, wanted), "marks")
-
-    begin = F.shiftrightunsigned("place", 11).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    whole = shared.where("not mixed").select(
-        "doc_id", "tag", begin.alias("low"), (begin + F.col("place").bitwiseAND(F.lit(1023)).cast("int") + 1).alias("high"))
-    partly = mixed.join(marks, ["minimizer", "content"]).select(
-        "doc_id", "tag", (begin + F.col("low")).alias("low"), (begin + F.col("high")).alias("high"))
-    # A row that is repeated finds each span as often; the set drops them in each task already.
-    return whole.union(partly).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    return _marks(cut, wanted)
 
 
 def _marks(cut: DataFrame, counted: DataFrame, level: int = 0) -> DataFrame:
@@ -360,6 +369,8 @@ def _marks(cut: DataFrame, counted: DataFrame, level: int = 0) -> DataFrame:
     large = keep(counted.groupBy("minimizer").count().where(F.col("count") > GROUP_SEGMENTS).select("minimizer"), "large")
     if level == 2 or large.isEmpty():
         return _by_index(cut)
+    if level == 0:
+        cut = keep(cut, "cut")  # it is read twice, and takes a shuffle of all texts
     hot = keep(cut.join(large, "minimizer", "left_semi").dropDuplicates(["minimizer", "content"]), "hot")
     if level == 0:
         windows = keep(hot.mapInArrow(_hashed_windows, "minimizer long, content long, n long, low int, hash long"), "windows")

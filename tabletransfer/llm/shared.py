@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,9 @@ SLICE_BYTES = 512 << 10
 
 _U = np.uint64
 
+#: Folders of the tables kept since the innermost ``settle`` began.
+_INSIDE: ContextVar[list[str] | None] = ContextVar("inside", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
@@ -46,13 +50,40 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    inside = _INSIDE.get()
+    if inside is not None:
+        inside.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``keep`` the rows that ``make`` returns, then delete all tables that were kept while it ran.
+
+    Only the result may be used outside of ``make``: other rows made in it may read tables that are gone.
+    """
+    inside: list[str] = []
+    token = _INSIDE.set(inside)
+    try:
+        df = keep(make(), name)
+    finally:
+        _INSIDE.reset(token)
+    *gone, path = inside
+    for old in gone:
+        _delete(df.sparkSession, old)
+    outside = _INSIDE.get()
+    if outside is not None:
+        outside.append(path)
+    return df
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete the tables that the operators of this application wrote."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_folder(spark))
 
 
 def plain(df: DataFrame, *names: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -58,6 +59,36 @@ def test_large_groups_are_dealt_into_pieces(spark, monkeypatch, most):
     assert sorted((tuple(r) for r in repeats(frame(spark, rows)).collect()), key=repr) == brute(rows)
 
 
+def test_texts_are_cut_once(spark, monkeypatch):
+    """Large groups and the others come from one pass over the texts."""
+    monkeypatch.setattr(module, "GROUP_SEGMENTS", 1)
+    texts, cut_out = spark.sparkContext.accumulator(0), module._cut_out
+
+    def counted(batches):
+        for batch in batches:
+            texts.add(batch.num_rows)
+            yield from cut_out(iter([batch]))
+
+    monkeypatch.setattr(module, "_cut_out", counted)
+    rows = mixed_rows()
+    assert sorted((tuple(r) for r in repeats(frame(spark, rows)).collect()), key=repr) == brute(rows)
+    assert 0 < texts.value <= len(rows)
+
+
+@pytest.mark.parametrize("most", [1, 4096])
+def test_tables_on_the_way_are_deleted(spark, monkeypatch, most):
+    from tabletransfer.llm.shared import shared_folder
+
+    def kept():
+        return {p.name for p in Path(shared_folder(spark)).glob("*")}
+
+    monkeypatch.setattr(module, "GROUP_SEGMENTS", most)
+    before = kept()
+    out = repeats(frame(spark, mixed_rows()))
+    assert sorted(name.split("-")[0] for name in kept() - before) == ["marks", "shared"]
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == brute(mixed_rows())
+
+
 def test_marks_of_large_groups_come_from_the_index(spark, monkeypatch):
     """Hashes only choose windows; a window whose hash is another's by accident stays."""
     monkeypatch.setattr(module, "GROUP_SEGMENTS", 1)
