@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pyarrow as pa
 import pytest
 
 import corpus_pipeline
+from tabletransfer.llm.shared import shared_folder
 from tabletransfer.llm.tokens import VOCABULARY, token_ids
 
 from .conftest import SCHEMA, words
@@ -41,6 +44,20 @@ def test_one_row_of_each_copy_reaches_the_end(spark, folder):
     assert got == {i: len(ids) + 1 for i, ids in zip(want, token_ids(pa.array(list(want.values())), VOCABULARY))}
 
 
+def test_tables_on_the_way_are_deleted(spark, folder):
+    def kept():
+        return {p.name for p in Path(shared_folder(spark)).glob("*")}
+
+    before = kept()
+    out = corpus_pipeline.run(spark, folder)
+    assert [name.split("-")[0] for name in kept() - before] == ["packing"]
+    assert out.count() > 0
+    before = kept()
+    left = corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert sorted(name.split("-")[0] for name in kept() - before) == ["marks", "numbered"]
+    assert left.count() == len({r[1] for r in ROWS}) + 2
+
+
 def test_rows_without_words_are_not_copies(spark):
     rows = [(1, ""), (1, ""), (1, " "), (2, None), (2, None), (None, ""), (None, ""), (3, "one")]
     docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], SCHEMA)
