@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -10,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabletransfer.llm.shared import Rolling, keep, plain, text_slices, words_of
+from tabletransfer.llm.shared import Rolling, plain, text_slices, words_of
 
 #: Terms: single bytes, hashed pairs and triples of bytes, and how words repeat.
 PAIRS, TRIPLES, REPEATS = 1024, 2048, 4
@@ -99,21 +100,26 @@ def fit(docs: DataFrame, marks: DataFrame) -> Model:
 
     At most ``SAMPLE_PER_LABEL`` ids of each label are used, chosen by hash of the id; an id that is repeated
     counts once, with its smallest text. A row stands for (rows of its label) / (sampled rows of its label), so
-    scores keep to the table's balance of labels whether or not the sample is all. Only ids are shuffled: the chosen ones, whose number is bounded,
-    are broadcast to fetch their texts. Without any row every score is 0.5.
+    scores keep to the table's balance of labels whether or not the sample is all. Only ids are shuffled, and cached while
+    they are counted and chosen: the chosen ones, whose number is bounded, are broadcast to fetch their texts in one pass.
+    The model does not depend on how rows are dealt. Without any row every score is 0.5.
     """
     there = docs.select("doc_id").distinct()
-    known = keep(marks.where("label in (0, 1)").distinct().join(there, "doc_id", "left_semi"), "labelled")
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    labels, terms = [], []
-    for label in sorted(counts):
-        chosen = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LABEL)
+    known = marks.where("label in (0, 1)").distinct().join(there, "doc_id", "left_semi").persist()
+    try:
+        counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+        if not counts:
+            return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
+        chosen = functools.reduce(DataFrame.unionAll, [
+            known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LABEL)
+            for label in sorted(counts)])
         texts = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-        for row in texts.select("label", "text").mapInArrow(_packed, "label int, terms binary").collect():
-            labels.append(row["label"])
-            terms.append(np.frombuffer(zlib.decompress(row["terms"]), np.float32))
-    if not labels:
-        return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
+        rows = texts.select("label", "text").mapInArrow(_packed, "label int, terms binary").collect()
+    finally:
+        known.unpersist()
+    rows = sorted((r["label"], bytes(r["terms"])) for r in rows)
+    labels = [label for label, _ in rows]
+    terms = [np.frombuffer(zlib.decompress(packed), np.float32) for _, packed in rows]
     terms, labels = np.stack(terms), np.array(labels)
     stands_for = np.ones(len(labels))
     for label in counts:

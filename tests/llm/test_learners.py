@@ -1,4 +1,5 @@
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +10,7 @@ from tabletransfer.llm import hamming, quality
 from tabletransfer.llm.hamming import search
 from tabletransfer.llm.language import languages
 from tabletransfer.llm.quality import quality_scores
+from tabletransfer.llm.shared import shared_folder
 
 DATA = "/root/testdata/sf0.01"
 
@@ -184,3 +186,22 @@ def test_votes_stand_for_the_labelled_rows():
     model = quality.Model(np.eye(quality.TERMS, 2, dtype=np.float32), vectors, np.repeat([1.0, 0.0], 5), 0.85,
                           np.repeat([17.0, 3.0], 5))
     assert model.scores(np.eye(1, quality.TERMS, dtype=np.float32)) == pytest.approx([0.85])
+
+
+def test_learning_leaves_no_files_and_does_not_depend_on_partitions(spark):
+    """Labelled ids are few a task: a table of them is a file a task, and the executors start a chmod for each file."""
+    docs, labels = (spark.read.parquet(f"{DATA}/{name}.parquet") for name in ("documents", "labels"))
+    before, models = set(Path(shared_folder(spark)).glob("*")), []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in ("3", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            models.append(quality.learn(docs.repartition(int(n)), labels))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert set(Path(shared_folder(spark)).glob("*")) == before
+    few, many = models
+    assert np.array_equal(few.labels, many.labels) and np.array_equal(few.stands_for, many.stands_for)
+    assert np.array_equal(few.projection, many.projection) and np.array_equal(few.vectors, many.vectors)
+    assert len(few.labels) == docs.join(labels, "doc_id").where(~quality.held_out()).count()
